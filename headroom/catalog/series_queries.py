@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -10,6 +10,7 @@ from headroom.catalog import views as v
 from headroom.catalog.views import oracle
 from headroom.operators import quantiles as q
 from headroom.operators import series as s
+from headroom.operators.filters import slice_time_of_day
 
 NTZ = "timestamp_ntz"
 DAY0, DAY1 = datetime(2024, 1, 1), datetime(2024, 1, 2)
@@ -59,11 +60,10 @@ def double_weight(spark, sf):
 
 
 def time_slices(spark, sf):
-    slices = s.time_slices(spark, DAY0, DAY1, 6, "00:00", "23:59:59", "CET")
+    slices = s.time_slices(spark, DAY0 - timedelta(hours=1), DAY1 - timedelta(hours=1), 6, zone="CET")
     counts = v.bids(spark, sf).select("valid_from").where(F.col("valid_from") < F.lit(DAY1))
-    joined = counts.withColumnRenamed("valid_from", "t").join(
-        F.broadcast(slices), (F.col("t") >= F.col("valid_from")) & (F.col("t") < F.col("valid_to"))
-    )
+    tagged = slice_time_of_day(counts.withColumnRenamed("valid_from", "t"), slices, "t")
+    joined = tagged.join(slices, "position")
     return joined.groupBy("position", "valid_from", "valid_to", "start_time", "end_time", "number_of_points").agg(F.count("*").alias("n"))
 
 
@@ -100,8 +100,9 @@ def point_resolution(spark, sf):
 
 def quantile_spacing(spark, sf):
     table = q.quantile_spacing(spark, [(95, 100, 0.1), (90, 100, 1)])
-    ranked = v.bids(spark, sf).groupBy("product").agg(F.count("quantity").alias("n"))
-    return ranked.join(F.broadcast(table), F.lit(True)).selectExpr(
+    sizes = v.bids(spark, sf).groupBy("product").agg(F.count("quantity").alias("n"))
+    ticks = F.array(*[F.lit(t) for t in sorted({*q.spacing_ticks(95, 100, 0.1), *q.spacing_ticks(90, 100, 1)})])
+    return sizes.withColumn("tick", F.explode(ticks)).join(table, "tick").selectExpr(
         "product", "spacing_start", "spacing_step", "probability", "percentage_level", "(cast(tick as bigint)*(n-1)) div 10000 rank"
     )
 
@@ -119,8 +120,7 @@ def quantile_linear(spark, sf):
 
 
 def sliced_quantiles(spark, sf):
-    slices = s.time_slices(spark, DAY0, DAY1, 6, "00:00", "00:00", "CET")
-    slices = s.time_slices(spark, datetime(2023, 12, 31, 23), datetime(2024, 1, 1, 23), 6, None, None, "CET")
+    slices = s.time_slices(spark, DAY0 - timedelta(hours=1), DAY1 - timedelta(hours=1), 6, zone="CET")
     found = q.sliced_quantiles(v.bids(spark, sf), "quantity", slices, [(95, 100, 0.5), (90, 100, 1)], ["area", "product"])
     return found.select(
         "position", "start_time", "end_time", "spacing_start", "spacing_step", "area", "product", "percentage_level", F.round("value", 6).alias("value")
@@ -178,6 +178,10 @@ window w as (partition by g.series_id order by g.valid_from rows unbounded prece
     "double_weight": oracle("bids", """
 select valid_from, sum(case when valid_from between timestamp '2024-01-21' and timestamp '2024-01-31' then 2 else 1 end)::bigint n,
  round(sum(quantity*case when valid_from between timestamp '2024-01-21' and timestamp '2024-01-31' then 2 else 1 end),4) quantity from bids group by 1"""),
+    "time_slices": oracle("bids", SLICES + """
+select "position", timestamp '2023-12-31 23:00:00' + ("position"-1)*interval 4 hours valid_from, timestamp '2023-12-31 23:00:00' + "position"*interval 4 hours valid_to,
+ start_time, end_time, 6 number_of_points, count(*) n from (select valid_from t from bids where valid_from < timestamp '2024-01-02') join slice
+ on strftime(timezone('CET', timezone('UTC', t)),'%H:%M:%S') between start_time and end_time group by all"""),
     "position_times": oracle("steps", """select series_id, "position", valid_from, valid_to from steps"""),
     "series_bounds": oracle("steps", """select series_id, "position", series_from, series_to, 7 number_of_points from steps"""),
     "refine_points": oracle("steps", """, k as (select *, case series_id%5 when 0 then 2 when 1 then 3 else 1 end n from steps)

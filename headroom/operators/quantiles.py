@@ -12,6 +12,12 @@ from headroom.scale import as_columns, fits_one_task
 PROBABILITY_STEPS = 10_000  # probabilities are integer ten-thousandths (4 decimals)
 
 
+def spacing_ticks(start: float, stop: float, step: float) -> list[int]:
+    """Probabilities of one spacing in ten-thousandths: 1 − stop first, then multiples of the step."""
+    first, last = round((100 - stop) * 100), round((100 - start) * 100)
+    return [first, *[t for t in range(0, last + 1, round(step * 100)) if t > first]]
+
+
 def quantile_spacing(spark: SparkSession, spacings: list[tuple[float, float, float]]) -> DataFrame:
     """(start, stop, step) in percent -> one row per probability.
 
@@ -19,13 +25,7 @@ def quantile_spacing(spark: SparkSession, spacings: list[tuple[float, float, flo
     ten-thousandths, exact integer), probability, percentage_level.  The
     highest percentage comes first and has the lowest probability.
     """
-    rows = []
-    for start, stop, step in spacings:
-        first, last = round((100 - stop) * 100), round((100 - start) * 100)
-        stride = round(step * 100)
-        # points below `last` lie on multiples of the step counted from zero
-        ticks = [first, *[t for t in range(0, last + 1, stride) if t > first]]
-        rows.append((float(start), float(stop), float(step), ticks))
+    rows = [(float(a), float(b), float(c), spacing_ticks(a, b, c)) for a, b, c in spacings]
     table = spark.createDataFrame(
         rows, "spacing_start double, spacing_stop double, spacing_step double, ticks array<int>"
     )
@@ -103,7 +103,7 @@ def sliced_quantiles(
 
     by = as_columns(by)
     table = quantile_spacing(df.sparkSession, spacings)
-    ticks = sorted({row.tick for row in table.select("tick").distinct().collect()})  # bounded by the parameters
+    ticks = sorted({tick for spacing in spacings for tick in spacing_ticks(*spacing)})
     tagged = slice_time_of_day(df, slices, time)
     keys = ["position", *by]
     levels = quantile_lower(tagged, value, ticks, keys, weight, split=split)

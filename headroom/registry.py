@@ -18,3 +18,30 @@ def aggregate(how):
         return AGGREGATES[how]
     except KeyError:
         raise ValueError(f"unknown aggregate {how!r}; known: {sorted(AGGREGATES)}") from None
+
+
+def _combiners():
+    from headroom.operators import capacity, combine
+
+    return {
+        "ADD": combine.combine_add,
+        "SUBTRACT": combine.combine_subtract,
+        "MIN": combine.combine_min,
+        "MAX": combine.combine_max,
+        "ATC_SUBTRACT": capacity.net_border_capacity,
+    }
+
+
+def _exceedance():
+    from headroom.operators import exceedance
+
+    return {"PROPORTION": exceedance.exceeded_proportion, "CASCADE": exceedance.exceeded_cascade}
+
+
+def __getattr__(name: str):
+    """`COMBINE` and `EXCEEDANCE` are filled on first use (their modules import this one)."""
+    makers = {"COMBINE": _combiners, "EXCEEDANCE": _exceedance}
+    if name not in makers:
+        raise AttributeError(name)
+    globals()[name] = makers[name]()
+    return globals()[name]
