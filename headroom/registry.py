@@ -45,3 +45,24 @@ def __getattr__(name: str):
         raise AttributeError(name)
     globals()[name] = makers[name]()
     return globals()[name]
+
+
+# Payload kind -> parser (messages -> points); fill with `register_parser`.
+PARSERS: dict = {}
+
+
+def register_parser(kind: str, parser) -> None:
+    """Add or replace the parser of a payload kind (`xml`, `json`)."""
+    PARSERS[kind] = parser
+
+
+def register_combine(name: str, operator) -> None:
+    """Add a combine operator: (tables, by=…, time=…) -> table."""
+    __getattr__("COMBINE") if "COMBINE" not in globals() else None
+    globals()["COMBINE"][name] = operator
+
+
+def register_exceedance(name: str, operator) -> None:
+    """Add an exceedance operator: (joined, by=…, level=…, …) -> rows."""
+    __getattr__("EXCEEDANCE") if "EXCEEDANCE" not in globals() else None
+    globals()["EXCEEDANCE"][name] = operator

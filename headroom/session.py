@@ -16,6 +16,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
     }
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
