@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headroom.functions.numbers import clear_nan
@@ -37,9 +37,14 @@ def quantile_spacing(spark: SparkSession, spacings: list[tuple[float, float, flo
     )
 
 
+def number_array(values, kind: str = "double") -> Column:
+    """Array literal of numbers from one SQL text (a column per number is slow for long lists)."""
+    return F.expr("array(" + ",".join(f"{float(x)!r}D" if kind == "double" else str(int(x)) for x in values) + ")")
+
+
 def _ask_ranks(sizes: DataFrame, ticks: list[int]) -> DataFrame:
     """One row per group and requested tick: size of groups times the fixed list."""
-    return sizes.withColumn("tick", F.explode(F.array(*[F.lit(int(t)) for t in ticks])))
+    return sizes.withColumn("tick", F.explode(number_array(ticks, "int")))
 
 
 def quantile_lower(
@@ -72,15 +77,15 @@ def quantile_linear(
     by = as_columns(by)
     if split is None and weight is None and fits_one_task(df):
         # small plan: one built-in exact aggregate, no sorting at all
-        wanted = F.array(*[F.lit(float(p)) for p in probs])
+        wanted = number_array(probs)
         clean = clear_nan(F.col(value).cast("double"))
         found = df.groupBy(*by).agg(F.percentile(clean, wanted).alias("__values"))
-        pairs = F.explode(F.arrays_zip(wanted.alias("probability"), F.col("__values").alias("value")))
-        return found.select(*by, pairs.alias("__pair")).select(*by, "__pair.probability", "__pair.value")
+        rows = found.select(*by, F.posexplode("__values").alias("__i", "value"))
+        return rows.select(*by, F.element_at(wanted, F.col("__i") + 1).alias("probability"), "value")
     counts = value_counts(df, value, by, weight)
     asked = (
         group_sizes(counts, by)
-        .withColumn("probability", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
+        .withColumn("probability", F.explode(number_array(probs)))
         .withColumn("__place", F.col("probability") * (F.col("n") - 1))
         .withColumn("__share", F.col("__place") - F.floor("__place"))
         .withColumn("__side", F.explode(F.array(F.lit(0), F.lit(1))))
