@@ -11,6 +11,7 @@ from headroom.operators import capacity as cap
 from headroom.operators import columns as c
 from headroom.operators import combine as cb
 from headroom.operators import triples as tr
+from headroom.operators.filters import pick_group_argmax
 from headroom.operators.quantiles import quantile_lower
 
 BY = ["area", "product", "direction"]
@@ -47,7 +48,10 @@ TREE = {"SUBTRACT": [{"ADD": [{"product": "SA_mFRR", "kind": "volume"}, {"produc
 
 def combine_tree(spark, sf):
     rename = {"product": {"SA_mFRR": "all", "DA_mFRR": "all", "aFRR": "all"}}
-    result = cb.combine_tree(v.bids(spark, sf), TREE, ["area", "product"], "quantity", replace=rename, exclusive=("exclusive_id", "quantity", "id"), align=False)
+    def one_per_group(rows, keys):
+        return pick_group_argmax(rows, ["exclusive_id", *keys], "quantity", tie="id")
+
+    result = cb.combine_tree(v.bids(spark, sf), TREE, ["area", "product"], "quantity", replace=rename, prepare=one_per_group, align=False)
     return result.withColumn("value", F.round("value", 6))
 
 

@@ -9,12 +9,13 @@ local to a partition.
 from __future__ import annotations
 
 import functools
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from headroom.scale import as_columns, join_null_safe
+from headroom.scale import as_columns, cut_lineage, join_null_safe
 
 
 def pivot_products(df: DataFrame, value: str, by, time=("valid_from", "valid_to"), how: str = "sum") -> DataFrame:
@@ -98,36 +99,56 @@ def combine_max(tables, by=None, time=("valid_from", "valid_to"), how: str = "in
     return _combine(tables, by, time, how, lambda a, b: F.greatest(a, b))
 
 
+def tree_leaves(tree: dict, operators: dict) -> list[dict]:
+    """Filter specs of a tree, left to right."""
+    name = next(iter(tree)) if len(tree) == 1 else None
+    if name in operators and isinstance(tree[name], list):
+        return [leaf for part in tree[name] for leaf in tree_leaves(part, operators)]
+    return [tree]
+
+
 def combine_tree(
     df: DataFrame, tree: dict, by, value: str, time=("valid_from", "valid_to"), how: str = "sum", replace: dict | None = None,
-    align: bool = True, exclusive: tuple[str, str, str] | None = None, steps: dict | None = None, operators: dict | None = None,
+    align: bool = True, prepare: Callable[[DataFrame, list[str]], DataFrame] | None = None, steps: dict | None = None,
+    operators: dict | None = None,
 ) -> DataFrame:
     """Value of a nested operator tree `{OP: [tree or filter, …]}` over one point table.
 
-    A leaf is a filter spec; its rows may be reduced to one bid per exclusive
-    group (`exclusive` = group, quantity, tie columns), step-filled (`steps` =
-    arguments of `fill_steps`), renamed (`replace`) and pivoted.  Operands of an operator
-    are aligned to the finest step among them first.
+    A leaf is a filter spec; its rows may be thinned by `prepare(rows, keys)`
+    (e.g. one bid per exclusive group and `keys`), step-filled (`steps` =
+    arguments of `fill_steps`), renamed (`replace`) and pivoted.  Operands of
+    an operator are aligned to the finest step among them first.
+
+    All leaves are taken in one pass over the point table: a row is tagged with
+    the leaves it belongs to.  The pivoted cells (time × product) and every
+    combined table are checkpointed, so neither the big scan nor the plan grows
+    with the depth of the tree.
     """
     from headroom.operators.columns import replace_values
-    from headroom.operators.filters import pick_group_argmax
     from headroom.operators.series import align_resolutions, fill_steps
     from headroom.registry import COMBINE
-    from headroom.sources.points import filter_by_spec
-
-    operators = operators or COMBINE
-    name = next(iter(tree)) if len(tree) == 1 else None
-    if name in operators and isinstance(tree[name], list):
-        parts = [combine_tree(df, t, by, value, time, how, replace, align, exclusive, steps, operators) for t in tree[name]]
-        if len(parts) > 1 and align:
-            parts = align_resolutions(parts, "value", by, "lower", *time)
-        return operators[name](parts, by=by, time=time)
-    leaf = filter_by_spec(df, tree)
-    if exclusive:
-        group, quantity, tie = exclusive
-        leaf = pick_group_argmax(leaf, group, quantity, tie=tie)
+    from headroom.sources.points import spec_condition
+
+    operators, by, time = operators or COMBINE, as_columns(by), as_columns(time)
+    tests = [spec_condition(df, leaf) for leaf in tree_leaves(tree, operators)]
+    member = F.array_compact(F.array(*[F.when(test, F.lit(i)) for i, test in enumerate(tests)]))
+    rows = df.where(functools.reduce(lambda a, b: a | b, tests)).withColumn("__leaf", F.explode(member))
+    if prepare:
+        rows = prepare(rows, ["__leaf"])
     if steps:
-        leaf = fill_steps(leaf, time=time, **steps)
+        rows = fill_steps(rows, time=time, **{**steps, "types": [*as_columns(steps.get("types")), "__leaf"]})
     if replace:
-        leaf = replace_values(leaf, replace)
-    return pivot_products(leaf, value, by, time, how)
+        rows = replace_values(rows, replace)
+    cells = cut_lineage(pivot_products(rows, value, ["__leaf", *by], time, how))
+    numbers = iter(range(len(tests)))
+
+    def evaluate(node: dict) -> DataFrame:
+        name = next(iter(node)) if len(node) == 1 else None
+        if not (name in operators and isinstance(node[name], list)):
+            return cells.where(F.col("__leaf") == next(numbers)).drop("__leaf")
+        parts = [evaluate(part) for part in node[name]]
+        if len(parts) > 1 and align:
+            parts = align_resolutions(parts, "value", by, "lower", *time)
+        return cut_lineage(operators[name](parts, by=by, time=time))
+
+    return evaluate(tree)

@@ -155,13 +155,23 @@ def min_resolution(df: DataFrame, time: str = "valid_from", end: str | None = No
 def resample_table(df: DataFrame, step: int, value: str, by=None, time: str = "valid_from", end: str = "valid_to") -> DataFrame:
     """As-of resample of a whole table: each grid point takes the products of the latest table time.
 
-    Unlike `resample_ffill` a product missing at that time stays missing.
+    Unlike `resample_ffill` a product missing at that time stays missing.  Every
+    table time serves the grid points up to the next table time (the last one up
+    to its own end), so rows are joined to their time once and spread from there.
     """
     by = as_columns(by)
-    times = df.select(time, end).distinct().withColumn("__seen", epoch(time))
-    grid = resample_ffill(times, step, "__seen", [], time, end)
-    rows = df.withColumn("__seen", epoch(time)).drop(time, end)
-    return rows.join(grid, "__seen").select(time, end, *by, value)
+    kind = type_of(df, time)
+    # an effective cell may be shared by several times below the step: the last one serves it
+    cell = F.ceil(F.unix_micros(F.col("__t").cast("timestamp")) / F.lit(step * 1_000_000)) * step
+    times = df.groupBy(F.col(time).alias("__t")).agg(F.max(epoch(end)).alias("__end")).withColumn("__cell", cell.cast("bigint"))
+    # one row per distinct time: bounded by the calendar, not by the data
+    order = W.partitionBy(F.lit(0)).orderBy("__t")
+    following = F.lead("__cell").over(order)
+    served = times.withColumn("__next", F.coalesce(following, F.greatest(_floor_to(F.col("__end"), step), F.col("__cell") + step)))
+    served = served.where("__next > __cell").select("__t", "__cell", "__next")
+    cells = F.sequence(F.col("__cell"), F.col("__next") - step, F.lit(step).cast("bigint"))
+    rows = df.join(served, df[time] == F.col("__t")).drop(time, end).withColumn("__at", F.explode(cells))
+    return rows.select(from_epoch(F.col("__at"), kind).alias(time), from_epoch(F.col("__at") + step, kind).alias(end), *by, value)
 
 
 def align_resolutions(

@@ -25,10 +25,22 @@ def block_total(df: DataFrame, block: str, areas: list[str], value: str = "quant
     return df.groupBy(*as_columns(time)).agg(F.coalesce(own, parts, F.lit(0.0)).alias(value)).withColumn(region, F.lit(block))
 
 
-def share_over_target(df: DataFrame, targets: list[tuple[str, float]], value: str = "quantity", by=None) -> DataFrame:
+def distribution(df: DataFrame, value: str = "quantity", by=None) -> DataFrame:
+    """(by…, value, weight): rows per distinct value, nulls as a value of their own.
+
+    All sizing operators take this table (with `weight`) in place of the rows;
+    it is made in one pass with map-side combine.
+    """
+    return df.groupBy(*as_columns(by), F.col(value).cast("double").alias(value)).agg(F.count(F.lit(1)).alias("weight"))
+
+
+def share_over_target(df: DataFrame, targets: list[tuple[str, float]], value: str = "quantity", by=None, weight: str | None = None) -> DataFrame:
     """Percent of all rows (nulls included) with |value| over each named target."""
     by = as_columns(by)
-    shares = [percent_of(F.abs(F.col(value)) > F.lit(float(t))) for _, t in targets]
+    rows = F.lit(1) if weight is None else F.col(weight)
+    shares = [
+        F.lit(100.0) * F.coalesce(F.sum(F.when(F.abs(F.col(value)) > F.lit(float(t)), rows)), F.lit(0)) / F.sum(rows) for _, t in targets
+    ]
     wide = df.groupBy(*by).agg(*[s.alias(f"__s{i}") for i, s in enumerate(shares)])
     rows = F.array(*[
         F.struct(F.lit(n).alias("level"), F.lit(float(t)).alias("target"), F.col(f"__s{i}").alias("share"))
@@ -38,7 +50,7 @@ def share_over_target(df: DataFrame, targets: list[tuple[str, float]], value: st
 
 
 def symmetric_percentile_grid(
-    df: DataFrame, target: float, value: str = "quantity", by=None, allowed: float = 0.0, split: bool | None = None
+    df: DataFrame, target: float, value: str = "quantity", by=None, allowed: float = 0.0, weight: str | None = None, split: bool | None = None
 ) -> DataFrame:
     """For p = 0 … 0.489: lower = q(p/2), upper = q(1 − p/2) and the percent of rows around them.
 
@@ -49,13 +61,13 @@ def symmetric_percentile_grid(
     by = as_columns(by)
     top = max(490, -(-round(allowed * 10_000) // 1000))  # p below max(0.49, allowed share)
     probs = sorted({i / (2 * GRID_STEP) for i in range(top)} | {(2 * GRID_STEP - i) / (2 * GRID_STEP) for i in range(top)})
-    found = quantile_linear(df, value, probs, by, split=split)
+    found = quantile_linear(df, value, probs, by, weight, split)
     tick = F.round(F.col("probability") * (2 * GRID_STEP)).cast("int")
     bounds = (
         found.withColumn("tick", F.least(tick, F.lit(2 * GRID_STEP) - tick)).groupBy(*by, "tick")
         .agg(F.round(F.min("value"), CLEAN).alias("lower"), F.round(F.max("value"), CLEAN).alias("upper"))
     )
-    counts = value_counts(df.withColumn("__v", F.round(F.col(value).cast("double"), CLEAN)), "__v", by)
+    counts = value_counts(df.withColumn("__v", F.round(F.col(value).cast("double"), CLEAN)), "__v", by, weight)
     sides = F.array(
         F.struct(F.lit("lo").alias("side"), F.round(F.col("lower") - target, CLEAN).alias("value")),
         F.struct(F.lit("hi").alias("side"), F.round(F.col("upper") + target, CLEAN).alias("value")),
@@ -93,7 +105,8 @@ def closest_percentile(grid: DataFrame, allowed: float, by=None) -> DataFrame:
 
 
 def residual_over_target(
-    df: DataFrame, reserves: DataFrame, targets: list[tuple[str, float]], value: str = "quantity", by=None, split: bool | None = None
+    df: DataFrame, reserves: DataFrame, targets: list[tuple[str, float]], value: str = "quantity", by=None, weight: str | None = None,
+    split: bool | None = None,
 ) -> DataFrame:
     """Percent of non-null rows still beyond ±target after reserves (by…, label, down, up) are applied.
 
@@ -101,7 +114,7 @@ def residual_over_target(
     null unless down ≤ 0 ≤ up.  Looked up in the value counts like the grid.
     """
     by = as_columns(by)
-    counts = value_counts(df.withColumn("__v", F.round(F.col(value).cast("double"), CLEAN)), "__v", by)
+    counts = value_counts(df.withColumn("__v", F.round(F.col(value).cast("double"), CLEAN)), "__v", by, weight)
     asked = reserves.select(*by, "label", "down", "up", F.inline(F.array(*[
         F.struct(F.lit(n).alias("level"), F.lit(float(abs(t))).alias("target")) for n, t in targets
     ]))).select("*", F.inline(F.array(
@@ -182,7 +195,7 @@ def bootstrap_draws(sizes: DataFrame, simulations: int, samples: int, seed: int,
 
 def bootstrap_percentiles(
     df: DataFrame, probs: list[float], value: str = "quantity", by=None, simulations: int = 50, samples: int = 300_000,
-    seed: int = 1, split: bool | None = None,
+    seed: int = 1, weight: str | None = None, split: bool | None = None,
 ) -> DataFrame:
     """Percentiles of resamples with replacement: mean, std and 1.96·std over the simulations.
 
@@ -192,7 +205,7 @@ def bootstrap_percentiles(
     with the sample.
     """
     by = as_columns(by)
-    counts = value_counts(df, value, by)
+    counts = value_counts(df, value, by, weight)
     sizes = group_sizes(counts, by)
     drawn = value_counts(bootstrap_draws(sizes, simulations, samples, seed, by), "rank", [*by, "sim"])
     asks = []

@@ -81,3 +81,14 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str
     for key in keys:
         condition = condition & left[key].eqNullSafe(F.col(f"__r_{key}"))
     return left.join(renamed, condition, how).drop(*[f"__r_{k}" for k in keys])
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> str:
+    """Write a small text file (a schema, a setting) where all executors can read it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    try:
+        stream.write(bytearray(text.encode("utf-8")))
+    finally:
+        stream.close()
+    return path

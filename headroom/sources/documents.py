@@ -121,8 +121,8 @@ def read_market_xml(spark: SparkSession, path: str, doc_type: str, schema: T.Str
 def parse_market_xml(df: DataFrame, payload: str, doc_type: str, schema: T.StructType | None = None) -> DataFrame:
     """The same for documents held as text in a column (e.g. messages)."""
     kind = schema or document_schema(doc_type)
-    parsed = df.select(F.from_xml(F.col(payload), kind.simpleString(), {"rowTag": doc_type}).alias("doc"))
-    return points_from_documents(parsed.where("doc is not null"), doc_type, "doc")
+    parsed = df.select(F.from_xml(F.col(payload), kind, {"rowTag": doc_type}).alias("doc"))
+    return points_from_documents(parsed, doc_type, "doc")  # a document that does not parse has no series to explode
 
 
 def validate_market_xml(spark: SparkSession, path: str, xsd: str, doc_type: str, schema: T.StructType | None = None) -> DataFrame:
