@@ -93,7 +93,7 @@ def drain_available(spark, sf):
 
 def combine_registry(spark, sf):
     """Every registered combine operator, and one of the caller's own."""
-    registry.register_combine("MEAN", lambda tables, by=None, time=None: cb._combine(tables, by, time, "inner", lambda a, b: (a + b) / 2))
+    registry.register_combine("MEAN", lambda tables, by=None, time=None, **_: cb._combine(tables, by, time, "inner", lambda a, b: (a + b) / 2))
     by = ["area", "direction"]
     tables = [cb.pivot_products(v.bids(spark, sf).where(F.col("product") == n), "quantity", by) for n in ("SA_mFRR", "DA_mFRR")]
     rows = [

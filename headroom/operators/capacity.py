@@ -7,7 +7,7 @@ import functools
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headroom.operators.series import fill_ordered
+from headroom.operators.series import fill_ordered, resample_ffill
 from headroom.scale import as_columns, join_null_safe
 
 
@@ -21,15 +21,20 @@ def _dense(df: DataFrame, time: list[str]) -> DataFrame:
     return fill_ordered(join_null_safe(grid, df.select(*time, *border, "value"), [*time, *border], "left"), "value", border, time[0])
 
 
-def net_border_capacity(tables: list[DataFrame], by=("out_area", "in_area"), time=("valid_from", "valid_to"), fill: bool = True) -> DataFrame:
+def net_border_capacity(
+    tables: list[DataFrame], by=("out_area", "in_area"), time=("valid_from", "valid_to"), fill: bool = True, step: int | None = None, **_
+) -> DataFrame:
     """Day-ahead(a→b) − intraday(a→b) + intraday(b→a) for every day-ahead border.
 
     Inputs: (time, out_area, in_area, value), one row each.  With `fill` both
-    tables are filled forward over their own times first.
+    tables are filled forward over their own times first; `step` says that
+    those times form a gapless grid.
     """
     day_ahead, intraday = tables
     time = as_columns(time)
-    if fill:
+    if fill and step:
+        day_ahead, intraday = (resample_ffill(t, step, "value", list(by), *time, shared_range=True) for t in (day_ahead, intraday))
+    elif fill:
         day_ahead, intraday = _dense(day_ahead, time), _dense(intraday, time)
     keys = [*time, "out_area", "in_area"]
     ahead = day_ahead.select(*keys, F.col("value").alias("__da"), F.lit(None).cast("double").alias("__minus"), F.lit(None).cast("double").alias("__plus"))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from headroom.scale import as_columns, cut_lineage, join_null_safe
+from headroom.scale import as_columns, cut_lineage, epoch, join_null_safe
 
 
 def pivot_products(df: DataFrame, value: str, by, time=("valid_from", "valid_to"), how: str = "sum") -> DataFrame:
@@ -79,22 +79,22 @@ def _add(a: Column, b: Column) -> Column:
     return F.coalesce(a + b, a, b)
 
 
-def combine_add(tables, by=None, time=("valid_from", "valid_to"), how: str = "inner") -> DataFrame:
+def combine_add(tables, by=None, time=("valid_from", "valid_to"), how: str = "inner", **_) -> DataFrame:
     """Sum per time and product, skipping nulls."""
     return _combine(tables, by, time, how, _add)
 
 
-def combine_subtract(tables, by=None, time=("valid_from", "valid_to"), how: str = "inner") -> DataFrame:
+def combine_subtract(tables, by=None, time=("valid_from", "valid_to"), how: str = "inner", **_) -> DataFrame:
     """First table minus the others; a null on either side gives null."""
     return _combine(tables, by, time, how, lambda a, b: a - b, propagate=True)
 
 
-def combine_min(tables, by=None, time=("valid_from", "valid_to"), how: str = "inner") -> DataFrame:
+def combine_min(tables, by=None, time=("valid_from", "valid_to"), how: str = "inner", **_) -> DataFrame:
     """Smallest value per time and product, skipping nulls."""
     return _combine(tables, by, time, how, lambda a, b: F.least(a, b))
 
 
-def combine_max(tables, by=None, time=("valid_from", "valid_to"), how: str = "inner") -> DataFrame:
+def combine_max(tables, by=None, time=("valid_from", "valid_to"), how: str = "inner", **_) -> DataFrame:
     """Largest value per time and product, skipping nulls."""
     return _combine(tables, by, time, how, lambda a, b: F.greatest(a, b))
 
@@ -120,12 +120,11 @@ def combine_tree(
     an operator are aligned to the finest step among them first.
 
     All leaves are taken in one pass over the point table: a row is tagged with
-    the leaves it belongs to.  The pivoted cells (time × product) and every
-    combined table are checkpointed, so neither the big scan nor the plan grows
-    with the depth of the tree.
+    the leaves it belongs to.  The pivoted cells (time × product) and the result
+    are written tables, so neither the big scan nor later plans repeat it.
     """
     from headroom.operators.columns import replace_values
-    from headroom.operators.series import align_resolutions, fill_steps
+    from headroom.operators.series import fill_steps, resample_table
     from headroom.registry import COMBINE
     from headroom.sources.points import spec_condition
 
@@ -140,15 +139,27 @@ def combine_tree(
     if replace:
         rows = replace_values(rows, replace)
     cells = cut_lineage(pivot_products(rows, value, ["__leaf", *by], time, how))
+    length = F.abs(epoch(time[-1]) - epoch(time[0]))
+    found = cells.groupBy("__leaf").agg(F.min(length).alias("step")).collect() if align else []  # one row per leaf
+    leaf_steps = {row["__leaf"]: row.step for row in found}
     numbers = iter(range(len(tests)))
 
-    def evaluate(node: dict) -> DataFrame:
+    def evaluate(node: dict) -> tuple[DataFrame, int | None, bool]:
+        """(table, its step, whether it already lies on a gapless grid of that step)."""
         name = next(iter(node)) if len(node) == 1 else None
         if not (name in operators and isinstance(node[name], list)):
-            return cells.where(F.col("__leaf") == next(numbers)).drop("__leaf")
+            number = next(numbers)
+            return cells.where(F.col("__leaf") == number).drop("__leaf"), leaf_steps.get(number), False
         parts = [evaluate(part) for part in node[name]]
-        if len(parts) > 1 and align:
-            parts = align_resolutions(parts, "value", by, "lower", *time)
-        return cut_lineage(operators[name](parts, by=by, time=time))
-
-    return evaluate(tree)
+        known = [step for _, step, _ in parts if step]
+        step = min(known) if known else None
+        tables = [table for table, _, _ in parts]
+        aligned = align and len(parts) > 1 and step is not None
+        if aligned:
+            tables = [
+                table if done and own == step else resample_table(table, step, "value", by, *time) for table, own, done in parts
+            ]
+        return operators[name](tables, by=by, time=time, step=step if aligned else None), step, aligned
+
+    table, _, _ = evaluate(tree)
+    return cut_lineage(table)

@@ -73,10 +73,15 @@ def quantile_lower(
 def quantile_linear(
     df: DataFrame, value: str, probs: list[float], by=None, weight: str | None = None, split: bool | None = None
 ) -> DataFrame:
-    """Linearly interpolated percentiles per group -> (by…, probability, value)."""
+    """Linearly interpolated percentiles per group -> (by…, probability, value).
+
+    `split=False` says that a group is known to be small, `True` that it is
+    not; by default the plan's size estimate decides.
+    """
     by = as_columns(by)
-    if split is None and weight is None and fits_one_task(df):
-        # small plan: one built-in exact aggregate, no sorting at all
+    split = not fits_one_task(df) if split is None else split
+    if not split and weight is None:
+        # small groups: one built-in exact aggregate, no sorting at all
         wanted = number_array(probs)
         clean = clear_nan(F.col(value).cast("double"))
         found = df.groupBy(*by).agg(F.percentile(clean, wanted).alias("__values"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -80,18 +81,27 @@ def _floor_to(seconds: Column, step: int) -> Column:
     return (F.floor(seconds / F.lit(step)) * step).cast("bigint")
 
 
-def _grid_bounds(df: DataFrame, step: int, by: list[str], time: str, end: str | None, shared: bool) -> DataFrame:
-    """First and last grid cell per group, or one common range for all groups."""
-    low = _floor_to(F.min(epoch(time)), step)
-    high = _floor_to(F.max(epoch(time)), step)
-    if end is not None:
-        high = F.greatest(high, _floor_to(F.max(epoch(end)), step) - step)
-    if not shared:
-        return df.groupBy(*by).agg(low.alias("__first"), high.alias("__last"))
-    span = df.agg(low.alias("__first"), high.alias("__last"))
-    return df.select(*by).distinct().withColumns(
-        {"__first": span.select("__first").scalar(), "__last": span.select("__last").scalar()}
-    )
+# Grids this coarse hold at most half a million cells per year and product, however much data
+# there is, so one task per product is enough; finer grids are cut into chunks of time.
+COARSE_STEP = 60
+
+
+def _cells(start: Column, stop: Column, step: int) -> Column:
+    """Grid cells in [start, stop); none if empty."""
+    return F.when(stop > start, F.sequence(start, stop - step, F.lit(step).cast("bigint"))).otherwise(F.array().cast("array<bigint>"))
+
+
+def _shared_span(df: DataFrame, low: Column, high: Column) -> tuple[Column, Column]:
+    """Lowest and highest of two columns over the whole table, as scalar subqueries of one aggregate."""
+    span = df.agg(F.min(low).alias("__lo"), F.max(high).alias("__hi"))
+    return span.select("__lo").scalar(), span.select("__hi").scalar()
+
+
+def _out(frame: DataFrame, by: list[str], time: str, end: str | None, step: int, kind: str, value: str) -> DataFrame:
+    columns = [*[F.col(k) for k in by], from_epoch(F.col("cell"), kind).alias(time)]
+    if end:
+        columns.append(from_epoch(F.col("cell") + step, kind).alias(end))
+    return frame.select(*columns, value)
 
 
 def resample_ffill(
@@ -100,44 +110,92 @@ def resample_ffill(
 ) -> DataFrame:
     """Regular grid holding the last known value at or before each grid point.
 
-    The grid is anchored at midnight UTC; points before the first observation
-    stay null.  With an `end` column the last interval is filled up to its own
-    end.  `shared_range` gives every product the range of the whole table.
+    The grid is anchored at midnight UTC (steps divide a day); points before
+    the first observation stay null.  With an `end` column the last interval is
+    filled up to its own end.  `shared_range` gives every product the range of
+    the whole table.
+
+    Observations are first reduced to one per product and grid point (map-side
+    combine).  Each then serves the points up to the next one, so there is no
+    join with a grid.  `split` cuts products into chunks of time instead (the
+    default for steps under a minute).
     """
     step, by, tie = duration_seconds(step), as_columns(by), as_columns(tie)
     end = end if end in df.columns else None
-    known = df.where(F.col(value).isNotNull())
+    split = step < COARSE_STEP if split is None else split
     micros = F.unix_micros(F.col(time).cast("timestamp"))
     # an observation takes effect at the first grid point not before it
     cell = (F.ceil(micros / F.lit(step * 1_000_000)) * step).cast("bigint")
-    latest = known.groupBy(*by, cell.alias("cell")).agg(F.max_by(value, F.struct(time, *tie)).alias(value))
-    grid = time_grid(_grid_bounds(df, step, by, time, end, shared_range), step, "__first", "__last")
-    points = grid.withColumns({value: F.lit(None).cast(df.schema[value].dataType), "__grid": F.lit(1)}).unionByName(
-        latest.withColumn("__grid", F.lit(0))
-    ).withColumn("__at", F.timestamp_seconds("cell"))
-    filled = fill_ordered(points, value, by, "__at", tie="__grid", split=split).where("__grid = 1")
+    low = _floor_to(epoch(time), step)
+    high = F.greatest(low, _floor_to(epoch(end), step) - step) if end else low
+    known = F.when(F.col(value).isNotNull(), F.struct(time, *tie))
+    latest = df.groupBy(*by, cell.alias("cell")).agg(
+        F.max_by(value, known).alias(value), F.min(low).alias("__low"), F.max(high).alias("__high")
+    )
     kind = type_of(df, time)
-    out = [*[F.col(k) for k in by], from_epoch(F.col("cell"), kind).alias(time)]
-    if end:
-        out.append(from_epoch(F.col("cell") + step, kind).alias(end))
-    return filled.select(*out, value)
+    if split:
+        return _out(_ffill_chunks(latest, step, value, by, shared_range), by, time, end, step, kind, value)
+    product = W.partitionBy(*by)
+    ordered = product.orderBy("cell")
+    if shared_range:
+        first, last = _shared_span(df, low, high)
+    else:
+        first, last = F.min("__low").over(product), F.max("__high").over(product)
+    upto = F.last(value, ignorenulls=True).over(ordered.rowsBetween(W.unboundedPreceding, W.currentRow))
+    served = latest.select(
+        *by, "cell", upto.alias(value), first.alias("__first"), last.alias("__last"),
+        F.row_number().over(ordered).alias("__rn"), F.lead("cell").over(ordered).alias("__next"),
+    )
+    stop = F.coalesce(F.col("__next"), F.col("__last") + step)
+    spans = F.array(
+        F.struct(_cells(F.col("cell"), F.least(stop, F.col("__last") + step), step).alias("cells"), F.col(value).alias(value)),
+        # points before the first observation
+        F.struct(
+            F.when(F.col("__rn") == 1, _cells(F.col("__first"), F.least(F.col("cell"), F.col("__last") + step), step)).alias("cells"),
+            F.lit(None).cast(df.schema[value].dataType).alias(value),
+        ),
+    )
+    points = served.select(*by, F.inline(spans)).withColumn("cell", F.explode("cells"))
+    return _out(points, by, time, end, step, kind, value)
+
+
+def _ffill_chunks(latest: DataFrame, step: int, value: str, by: list[str], shared: bool) -> DataFrame:
+    """The same from reduced observations, with every product cut into chunks of time."""
+    bounds = latest.groupBy(*by).agg(F.min("__low").alias("__first"), F.max("__high").alias("__last"))
+    if shared:
+        first, last = _shared_span(latest, F.col("__low"), F.col("__high"))
+        bounds = bounds.withColumns({"__first": first, "__last": last})
+    grid = time_grid(bounds, step, "__first", "__last").withColumns(
+        {value: F.lit(None).cast(latest.schema[value].dataType), "__grid": F.lit(1)}
+    )
+    seen = latest.select(*by, "cell", value).withColumn("__grid", F.lit(0))
+    points = grid.unionByName(seen).withColumn("__at", F.timestamp_seconds("cell"))
+    return fill_ordered(points, value, by, "__at", tie="__grid", split=True).where("__grid = 1")
 
 
 def resample_mean(
     df: DataFrame, step: str | int, value: str, by=None, time: str = "valid_from", end: str | None = "valid_to",
     shared_range: bool = False,
 ) -> DataFrame:
-    """Mean per grid cell; cells without data are null."""
+    """Mean per grid cell; cells without data are null.
+
+    Empty cells are emitted by the cell before them, not by a join with a grid.
+    """
     step, by = duration_seconds(step), as_columns(by)
     end = end if end in df.columns else None
-    means = df.groupBy(*by, _floor_to(epoch(time), step).alias("cell")).agg(F.avg(value).alias(value))
-    bounds = _grid_bounds(df, step, by, time, None, shared_range)
-    joined = join_null_safe(time_grid(bounds, step, "__first", "__last"), means, [*by, "cell"], "left")
-    kind = type_of(df, time)
-    out = [*[F.col(k) for k in by], from_epoch(F.col("cell"), kind).alias(time)]
-    if end:
-        out.append(from_epoch(F.col("cell") + step, kind).alias(end))
-    return joined.select(*out, value)
+    cell = _floor_to(epoch(time), step)
+    means = df.groupBy(*by, cell.alias("cell")).agg(F.avg(value).alias(value))
+    ordered = W.partitionBy(*by).orderBy("cell")
+    first, last = _shared_span(df, cell, cell) if shared_range else (F.col("cell"), F.col("cell"))
+    spread = means.select(
+        *by, "cell", value, F.lead("cell").over(ordered).alias("__next"), F.row_number().over(ordered).alias("__rn"),
+        first.alias("__first"), last.alias("__last"),
+    )
+    stop = F.coalesce(F.col("__next"), F.greatest(F.col("__last"), F.col("cell")) + step)
+    before = F.when(F.col("__rn") == 1, _cells(F.col("__first"), F.col("cell"), step)).otherwise(F.array().cast("array<bigint>"))
+    points = spread.withColumn("__cell", F.explode(F.concat(before, _cells(F.col("cell"), stop, step))))
+    filled = points.select(*by, F.when(F.col("__cell") == F.col("cell"), F.col(value)).alias(value), F.col("__cell").alias("cell"))
+    return _out(filled, by, time, end, step, type_of(df, time), value)
 
 
 def min_resolution(df: DataFrame, time: str = "valid_from", end: str | None = None) -> DataFrame:
@@ -179,10 +237,11 @@ def align_resolutions(
 ) -> list[DataFrame]:
     """All tables at the finest (`lower`, as-of fill) or coarsest (`upper`, mean) step among them.
 
-    Runs one small aggregate per table to learn its step.
+    Runs one aggregate over the tables' time columns to learn their steps.
     """
-    found = [min_resolution(t, time, end).first()[0] for t in tables]
-    steps = [s for s in found if s]
+    each = [min_resolution(t, time, end) for t in tables]
+    found = functools.reduce(DataFrame.unionByName, each).collect()  # one row per table
+    steps = [row.resolution for row in found if row.resolution]
     if not steps:
         return tables
     step = min(steps) if to == "lower" else max(steps)

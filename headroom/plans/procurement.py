@@ -26,12 +26,13 @@ def available_quantiles(
 ) -> DataFrame:
     """Combined table (time × product -> value) -> quantiles per slice and spacing.
 
-    The last `weight_period` of the data counts twice.
+    The last `weight_period` of the data counts twice.  A product has one cell
+    per grid point of the period, so a task per product and slice is enough.
     """
     kept = slice_time(negative_policy(cells, policy, "value", by), period)
     bounds = data_range(kept, *period, "valid_from", "valid_to")
     weighted = double_weight(kept, bounds.select("period_end").scalar(), weight_period, weight="__weight")
-    return sliced_quantiles(weighted, "value", slices, spacings, by, weight="__weight")
+    return sliced_quantiles(weighted, "value", slices, spacings, by, weight="__weight", split=False)
 
 
 def _window(df: DataFrame, period: tuple, lookback: str) -> DataFrame:

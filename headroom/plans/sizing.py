@@ -34,10 +34,14 @@ def control_errors(
 
 
 def sizing_percentiles(df: DataFrame, percents: list[float] | None = None, value: str = "quantity", by: str = "region") -> DataFrame:
-    """Interpolated percentiles per region, with the label of each."""
+    """Interpolated percentiles per region, with the label of each.
+
+    `df` is the filled grid: a region has one row per grid point, a size set by
+    the calendar, so the built-in aggregate holds it.
+    """
     labels = z.percentile_labels(percents or PERCENTS)
     names = F.create_map(*[F.lit(x) for p, n in labels.items() for x in (float(p), n)])
-    found = quantile_linear(df, value, list(labels), by)
+    found = quantile_linear(df, value, list(labels), by, split=False)
     return found.withColumn("percentile", F.element_at(names, F.col("probability")))
 
 

@@ -57,7 +57,7 @@ def register_parser(kind: str, parser) -> None:
 
 
 def register_combine(name: str, operator) -> None:
-    """Add a combine operator: (tables, by=…, time=…) -> table."""
+    """Add a combine operator: (tables, by=…, time=…, step=…) -> table."""
     __getattr__("COMBINE") if "COMBINE" not in globals() else None
     globals()["COMBINE"][name] = operator
 

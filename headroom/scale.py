@@ -44,12 +44,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder (eager)."""
+    """The result as a table written to the shared folder (one job), read back.
+
+    Later plans start from its files: lost executors only cost their own tasks,
+    and the file sizes give Catalyst a true size for its join choices.
+    """
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    path = scratch_path(spark, "table")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def as_columns(keys) -> list[str]:
