@@ -156,8 +156,8 @@ select area, direction, "level", version_number, sender, round(proposed,6) propo
 from t where zr>zp and abs(realised/used*al-realised)>1e-9"""),
     "unified_level": oracle("proposed", """select area, direction, min("level")::double "level", 'min' strategy from proposed group by all
 union all select area, direction, median("level")::double, 'median' from proposed group by all union all select area, direction, max("level")::double, 'max' from proposed group by all"""),
-    "next_version": oracle("proposed realised", """select r.area, r.direction, r."level", sender, r."value", cast(coalesce((select greatest(max(cast(version_number as int)),1)+1 from proposed p
- where p.area=r.area and p.direction=r.direction and p."level"=r."level" and p."level">96 ),1) as int) version_number from realised r"""),
+    "next_version": oracle("proposed realised", """select r.area, r.direction, r."level", sender, r."value", cast((select case when count(*)=0 then 1 else greatest(max(cast(version_number as int)),1)+1 end from proposed p
+ where p.area=r.area and p.direction=r.direction and p."level"=r."level" and p."level">96) as int) version_number from realised r"""),
     "split_by_receiver": oracle("realised", """select sender receiver, area, direction, "level", round("value",1) "value" from
  (select *, row_number() over (partition by sender, area, direction order by received desc, "level" desc) k from realised where sender in (0,2)) where k=1"""),
     "proposed_vs_realised_report": oracle("proposed realised", _NEWEST + """

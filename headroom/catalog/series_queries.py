@@ -48,7 +48,7 @@ def align_resolutions(spark, sf):
 
 
 def fill_steps(spark, sf):
-    filled = s.fill_steps(v.steps(spark, sf), ["series_id", "type"])
+    filled = s.fill_steps(v.steps(spark, sf), ["series_id", "type"], split=False)  # seven positions a series
     return filled.select("series_id", "type", "series_from", "series_to", "valid_from", "valid_to", "resolution", "position", "quantity")
 
 

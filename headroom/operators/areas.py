@@ -37,37 +37,33 @@ def correction_keys(spark, rows=None) -> DataFrame:
     return spark.createDataFrame(rows or CORRECTION_ROWS, CORRECTION_SCHEMA)
 
 
-def _match(label, area: str):
-    """Label equals the id, contains the name, names the operator or equals the short code of an area."""
-    text = F.upper(label)
-    parts = [
-        text == F.upper(f"{area}.mrid"),
-        F.contains(text, F.upper(f"{area}.name")),
-        text == F.upper(f"{area}.party_mrid"),
-        F.contains(text, F.upper(f"{area}.party_name")),
-        text == F.upper(f"{area}.code"),
-    ]
-    return [F.coalesce(p, F.lit(False)) for p in parts]
-
-
-def align_labels(df: DataFrame, columns, areas: DataFrame, attribute: str = "name", order: str | None = None) -> DataFrame:
+def align_labels(df: DataFrame, columns, areas: DataFrame, attribute: str = "name", order: str = "mrid") -> DataFrame:
     """Labels replaced by an attribute of the first area (in `order`) they match; others stay.
 
-    Only the distinct labels are compared with the areas; the found names are
-    joined back by equality.  Distinct labels and areas are both dictionaries.
+    A label matches an area if it equals its id, code or operator id, or
+    contains its name or operator name (case-insensitive).  Containment is an
+    equality too: the distinct labels are cut into their substrings of name
+    length, so both tests are equi joins and no label is compared with every area.
     """
-    from pyspark.sql import Window as W
-
-    order = order or "mrid"
+    have = set(areas.columns)
+    keys = F.array_compact(F.array(*[
+        F.when(F.col(c).isNotNull(), F.struct(F.upper(c).alias("key"), F.lit(whole).alias("whole")))
+        for c, whole in (("mrid", True), ("name", False), ("party_mrid", True), ("party_name", False), ("code", True)) if c in have
+    ]))
+    known = areas.select(F.col(order).alias("__order"), F.col(attribute).alias("__found"), F.inline(keys)).where("key <> ''")
+    parts = known.where("not whole").agg(F.min(F.length("key")).alias("lo"), F.max(F.length("key")).alias("hi"))
+    shortest, longest = parts.select("lo").scalar(), parts.select("hi").scalar()
     for name in as_columns(columns):
         labels = df.select(F.col(name).alias("__label")).distinct().where("__label is not null")
-        tests = _match(F.col("__label"), "a")
-        hits = labels.join(areas.alias("a"), tests[0] | tests[1] | tests[2] | tests[3] | tests[4])
-        first = W.partitionBy("__label").orderBy(f"a.{order}")
-        found = (
-            hits.select("__label", F.col(f"a.{attribute}").alias("__found"), F.row_number().over(first).alias("__rn"))
-            .where("__rn = 1").drop("__rn")
+        text, size = F.upper("__label"), F.length("__label")
+        pieces = (
+            labels.where(size >= shortest)
+            .withColumn("__n", F.explode(F.sequence(shortest, F.least(longest, size))))
+            .withColumn("__s", F.explode(F.sequence(F.lit(1), size - F.col("__n") + 1)))
+            .select("__label", F.substring(text, F.col("__s"), F.col("__n")).alias("key"), F.lit(False).alias("whole"))
         )
+        asked = labels.select("__label", text.alias("key"), F.lit(True).alias("whole")).unionByName(pieces).distinct()
+        found = asked.join(known, ["key", "whole"]).groupBy("__label").agg(F.min_by("__found", "__order").alias("__found"))
         df = (
             df.join(found, df[name] == F.col("__label"), "left")
             .withColumn(name, F.coalesce("__found", name)).drop("__label", "__found")

@@ -118,7 +118,7 @@ def next_version(df: DataFrame, keys, stored: DataFrame, version: str = "version
     keys = as_columns(keys)
     highest = stored.groupBy(*keys).agg(F.max(F.col(version).try_cast("bigint")).alias("__max"))
     joined = join_null_safe(df.drop(version), highest, keys, "left")
-    return joined.withColumn(version, F.coalesce(F.greatest(F.col("__max"), F.lit(1)) + 1, F.lit(1)).cast("int")).drop("__max")
+    return joined.withColumn(version, F.when(F.col("__max").isNull(), 1).otherwise(F.greatest(F.col("__max"), F.lit(1)) + 1).cast("int")).drop("__max")
 
 
 def split_by_receiver(

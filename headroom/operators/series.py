@@ -256,8 +256,11 @@ def fill_steps(
 ) -> DataFrame:
     """Curves given as steps: every position between series start and end, fields filled forward.
 
-    `start`/`end` clamp the emitted range (query window).  Rows that share a
-    series and time are all kept.
+    `start`/`end` clamp the emitted range (query window); rows outside it or
+    off the grid do not count.  Rows that share a series and time are all kept.
+    `split=False` says that a series fits one task (few positions); then rows
+    spread themselves over the gaps after them.  Otherwise rows are joined with
+    the grid and long series are filled in chunks.
     """
     types, tie = as_columns(types), as_columns(tie)
     first, last = time
@@ -269,6 +272,37 @@ def fill_steps(
         low = F.greatest(low, epoch(F.lit(start)))
     if end is not None:
         high = F.least(high, epoch(F.lit(end)))
+    split = not fits_one_task(df) if split is None else split
+    if not split:
+        series = W.partitionBy(*keys)
+        step = parse_iso_duration(F.min(resolution).over(series))
+        rows = df.withColumns({"__low": low, "__high": high, "__step": step, "__t": epoch(first)})
+        on_grid = (
+            (F.col("__t") >= F.col("__low")) & (F.col("__t") + F.col("__step") <= F.col("__high"))
+            & ((F.col("__t") - F.col("__low")) % F.col("__step") == 0) & (epoch(last) == F.col("__t") + F.col("__step"))
+        )
+        ordered = series.orderBy("__t", *tie)
+        later = series.orderBy("__t").rangeBetween(1, W.unboundedFollowing)
+        place = F.row_number().over(ordered)
+        placed = rows.where(on_grid).withColumns(
+            {
+                **{c: F.last(c, ignorenulls=True).over(ordered.rowsBetween(W.unboundedPreceding, W.currentRow)) for c in fields},
+                "__next": F.min("__t").over(later), "__first": place == 1, "__after": F.lead("__t").over(ordered),
+            }
+        )
+        # the last row of a time also stands for the empty positions after it
+        stop = F.coalesce(F.col("__next"), F.col("__high"))
+        own = F.array(F.col("__t"))
+        gap = F.when(
+            F.col("__after").isNull() | (F.col("__after") > F.col("__t")), _steps(F.col("__t") + F.col("__step"), stop, F.col("__step"))
+        ).otherwise(F.array().cast("array<bigint>"))
+        ahead = F.when(F.col("__first"), _steps(F.col("__low"), F.col("__t"), F.col("__step"))).otherwise(F.array().cast("array<bigint>"))
+        spread = placed.withColumn("__at", F.explode(F.concat(ahead, own, gap)))
+        before = F.col("__at") < F.col("__t")
+        return spread.select(
+            *keys, from_epoch(F.col("__at"), kind).alias(first), from_epoch(F.col("__at") + F.col("__step"), kind).alias(last),
+            *[F.when(~before, F.col(c)).alias(c) for c in fields],
+        )
     step = parse_iso_duration(F.min(resolution)).alias("__step")
     series = df.groupBy(*keys).agg(step).withColumns({"__low": low, "__high": high})
     grid = (
@@ -277,7 +311,12 @@ def fill_steps(
         .select(*keys, from_epoch(F.col("__at"), kind).alias(first), from_epoch(F.col("__at") + F.col("__step"), kind).alias(last))
     )
     placed = join_null_safe(grid, df, [*keys, *time], "left")
-    return fill_ordered(placed, fields, keys, first, tie=tie, split=split)
+    return fill_ordered(placed, fields, keys, first, tie=tie, split=True)
+
+
+def _steps(start: Column, stop: Column, step: Column) -> Column:
+    """start, start + step … below stop; none if empty."""
+    return F.when(stop > start, F.sequence(start, stop - step, step)).otherwise(F.array().cast("array<bigint>"))
 
 
 def double_weight(df: DataFrame, end, period: str | int, time: str = "valid_from", weight: str | None = None) -> DataFrame:

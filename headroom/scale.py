@@ -33,8 +33,10 @@ def shared_dir(spark: SparkSession) -> str:
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = tempfile.mkdtemp(prefix="headroom-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        context = spark.sparkContext
+        if context.getCheckpointDir() is None:
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="headroom-"))
+        path = context.getCheckpointDir()
     return path
 
 

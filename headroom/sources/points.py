@@ -67,14 +67,15 @@ def spec_condition(df: DataFrame, spec) -> Column:
         elif key == "should":
             tests.append(_any_of([spec_condition(df, s) for s in (value if isinstance(value, list) else [value])]))
         elif key == "must_not":
-            tests += [~spec_condition(df, s) for s in (value if isinstance(value, list) else [value])]
+            # a row without the field is not excluded
+            tests += [~F.coalesce(spec_condition(df, s), F.lit(False)) for s in (value if isinstance(value, list) else [value])]
         elif key in ("match", "term"):
             tests.append(spec_condition(df, value))
         elif key == "range":
             for name, bounds in value.items():
                 kind = df.schema[name].dataType
                 compare = {"gte": operator.ge, "gt": operator.gt, "lte": operator.le, "lt": operator.lt}
-                tests += [F.coalesce(compare[op](quoted(name), F.lit(b).cast(kind)), F.lit(False)) for op, b in bounds.items()]
+                tests += [compare[op](quoted(name), F.lit(b).cast(kind)) for op, b in bounds.items()]
         elif key == "exists":
             tests.append(quoted(value["field"]).isNotNull())
         elif key == "match_all":
@@ -83,12 +84,12 @@ def spec_condition(df: DataFrame, spec) -> Column:
             name = key.removesuffix(".keyword") if key not in df.columns else key
             kind = df.schema[name].dataType
             options = [F.lit(v).try_cast(kind) for v in (value if isinstance(value, (list, tuple)) else [value])]
-            tests.append(F.coalesce(quoted(name).isin(options), F.lit(False)))
+            tests.append(quoted(name) == options[0] if len(options) == 1 else quoted(name).isin(options))
     return _all_of(tests)
 
 
 def filter_by_spec(df: DataFrame, spec: dict, *more: dict) -> DataFrame:
-    """Rows meeting a dict spec; further specs are ANDed.
+    """Rows meeting a dict spec; further specs are ANDed.  Plain comparisons, so they reach the scan.
 
     `{column: value}` pairs are ANDed and a list means OR; the keys `bool`,
     `must`, `should`, `must_not`, `filter`, `range` and `exists` nest.
