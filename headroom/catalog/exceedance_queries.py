@@ -137,6 +137,15 @@ _NEWEST = """, pl as (select * from (select *, max(cast(version_number as int))
 _JOINED = _NEWEST + """,
  j as (select p.area, p.direction, p."level", p.version_number, sender, p."value"/4 proposed, r."value" realised from pl p join rn r on p.area=r.area and p.direction=r.direction and p."level"=r."level")"""
 
+# one step per level, from the highest down
+CASCADE = _JOINED + """ /*recursive*/,
+ l as (select *, row_number() over (partition by area,direction order by "level" desc) k from (select area, direction, "level", sum(realised) used, min(proposed) prop from j group by all)),
+ d as (select area, direction, "level", k, used, greatest(least(prop,used),0) al, greatest(least(prop,used),0) run from l where k=1
+  union all select l.area, l.direction, l."level", l.k, l.used, greatest(least(l.prop-d.run,l.used),0), d.run+greatest(least(l.prop-d.run,l.used),0)
+  from d join l on l.area=d.area and l.direction=d.direction and l.k=d.k+1),
+ x as (select j.*, used, al, case when used>proposed then realised end er, case when used>proposed then proposed end ep from j join d using (area,direction,"level")),
+ t as (select *, sum(er) over (partition by area,direction) zr, sum(ep) over (partition by area,direction) zp from x)"""
+
 ORACLE = {
     "join_realised_proposed": oracle("proposed realised", _NEWEST + """
 select p.area, p.direction, p."level", version_number, sender, round(p."value",6) proposed, round(r."value",6) realised from pl p join rn r on p.area=r.area and p.direction=r.direction and p."level"=r."level\""""),
@@ -145,13 +154,7 @@ select p.area, p.direction, p."level", version_number, sender, round(p."value",6
 select 'common' "mode", area, direction, lx "level", version_number, sender, round(proposed,6) proposed, round(realised,6) realised, round(norm/s,6) norm,
  round(norm/s*px,6) exceeded, round(norm/s*px,6) "value" from n where s>1
 union all select 'own', area, direction, "level", version_number, sender, round(proposed,6), round(realised,6), round(norm/s,6), round(norm/s*proposed,6), round(-(realised-norm/s*proposed),6) from n where s>1"""),
-    # proposed values rise as the level falls, where the cascade equals a running minimum
-    "exceeded_cascade": oracle("proposed realised", _JOINED + """, l as (select area, direction, "level", sum(realised) used, min(proposed) prop from j group by all),
- c as (select *, sum(used) over w s from l window w as (partition by area,direction order by "level" desc)),
- m as (select *, s + least(0, min(prop-s) over w) r from c window w as (partition by area,direction order by "level" desc rows unbounded preceding)),
- d as (select *, r - coalesce(lag(r) over (partition by area,direction order by "level" desc),0) al from m),
- x as (select j.*, used, al, case when used>proposed then realised end er, case when used>proposed then proposed end ep from j join d using (area,direction,"level")),
- t as (select *, sum(er) over (partition by area,direction) zr, sum(ep) over (partition by area,direction) zp from x)
+    "exceeded_cascade": oracle("proposed realised", CASCADE + """
 select area, direction, "level", version_number, sender, round(proposed,6) proposed, round(realised,6) realised, round(realised/used*al,6) exceeded, round(realised/used*al,6) "value"
 from t where zr>zp and abs(realised/used*al-realised)>1e-9"""),
     "unified_level": oracle("proposed", """select area, direction, min("level")::double "level", 'min' strategy from proposed group by all

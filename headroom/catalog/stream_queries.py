@@ -152,16 +152,15 @@ _PAIR = """, a as (select valid_from, area, direction, sum(quantity) q from bids
 ORACLE = {
     "stream_points": oracle("realised", """select area, direction, "level", sender, round("value" + case when "level"%4=0 then 500 else 0 end,6) "value" from realised where sender<>1"""),
     "stream_latest_by_key": oracle("bids", "select valid_from, area, max(id) id from bids group by 1,2"),
-    "stream_exceeded_check": oracle("proposed realised", ex._JOINED + ex.ORACLE["exceeded_cascade"].split("sender, p.\"value\"/4 proposed, r.\"value\" realised from pl p join rn r on p.area=r.area and p.direction=r.direction and p.\"level\"=r.\"level\")")[1].replace(
-        'select area, direction, "level", version_number, sender, round(proposed,6) proposed, round(realised,6) realised, round(realised/used*al,6) exceeded, round(realised/used*al,6) "value"',
-        'select area, direction, "level", sender receiver, round(realised/used*al,1) "value"')),
+    "stream_exceeded_check": oracle("proposed realised", ex.CASCADE + """
+select area, direction, "level", sender receiver, round(realised/used*al,1) "value" from t where zr>zp and abs(realised/used*al-realised)>1e-9"""),
     "drain_available": oracle("bids", "select area, count(*) n, round(sum(quantity),4) quantity from bids group by 1"),
     "combine_registry": oracle("bids", _PAIR + """, u as (select 'ADD' operator, area, direction, coalesce(x+y,x,y) z from j union all select 'MIN', area, direction, least(x,y) from j
  union all select 'MAX', area, direction, greatest(x,y) from j union all select 'MEAN', area, direction, case when x is not null and y is not null then (x+y)/2 else coalesce(x,y) end from j)
 select operator, area, direction, count(z) n, round(sum(z),4) "value" from u group by all"""),
-    "exceedance_registry": oracle("proposed realised", ex._JOINED + """, l as (select area, direction, "level", sum(realised) used, min(proposed) prop from j group by all)
+    "exceedance_registry": oracle("proposed realised", ex.CASCADE + """
 select 'PROPORTION' operator, area, count(*) n from (select *, sum(realised/proposed) over (partition by area,direction) s from j) where s>1 group by area
-union all select 'CASCADE', area, count(*) from j group by area"""),
+union all select 'CASCADE', area, count(*) from t where zr>zp and abs(realised/used*al-realised)>1e-9 group by area"""),
     "aggregate_by_name": oracle("bids", """select 'min' how, valid_from, valid_to, area, product, round(min(quantity),6) "value" from bids group by all
 union all select 'max', valid_from, valid_to, area, product, round(max(quantity),6) from bids group by all
 union all select 'median', valid_from, valid_to, area, product, round(median(quantity),6) from bids group by all

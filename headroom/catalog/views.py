@@ -133,4 +133,5 @@ def oracle(names: str, body: str) -> str:
     """SQL text: the named views as CTEs, then `body` (its own CTEs first if it starts with a comma)."""
     ctes = ",\n".join(f"{n} as ({SQL_VIEWS[n]})" for n in names.split())
     joiner = "" if body.lstrip().startswith(",") else "\n"
-    return f"with {ctes}{joiner}{body}" if ctes else body
+    recursive = "recursive " if "/*recursive*/" in body else ""
+    return f"with {recursive}{ctes}{joiner}{body}" if ctes else body

@@ -101,12 +101,14 @@ def list_lengths(df: DataFrame) -> dict[str, int]:
     """Longest list per array path in the schema, found by one aggregate over the table."""
     lengths: dict[str, Column] = {}
 
+    def field_of(column: Column, name: str, lifted: bool) -> Column:
+        return F.transform(column, lambda x: x.getField(name)) if lifted else column.getField(name)
+
     def walk(column: Column, kind: T.DataType, path: str, lifted: bool) -> None:
         # `lifted`: the column holds an array of the values at this path
         if isinstance(kind, T.StructType):
             for field in kind.fields:
-                inner = F.transform(column, lambda x, n=field.name: x.getField(n)) if lifted else column.getField(field.name)
-                walk(inner, field.dataType, f"{path}.{field.name}", lifted)
+                walk(field_of(column, field.name, lifted), field.dataType, f"{path}.{field.name}", lifted)
         elif isinstance(kind, T.ArrayType):
             lengths[path] = F.array_max(F.transform(column, F.size)) if lifted else F.size(column)
             walk(F.flatten(column) if lifted else column, kind.elementType, path, True)
