@@ -118,8 +118,8 @@ def sliced_quantiles(
     keys = ["position", *by]
     levels = quantile_lower(tagged, value, ticks, keys, weight, split=split)
     return (
-        levels.join(F.broadcast(table.drop("percentage_level", "probability")), "tick")
-        .join(F.broadcast(slices), "position")
+        levels.join(table.drop("percentage_level", "probability"), "tick")
+        .join(slices, "position")
         .drop("tick")
     )
 

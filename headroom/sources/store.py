@@ -27,7 +27,8 @@ def keyed_rows(df: DataFrame, id_fields, order, delimiter: str = "-") -> DataFra
     return dedupe_last(with_id(df, id_fields, delimiter), "id_key", order)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def store_exists(spark: SparkSession, path: str) -> bool:
+    """Whether anything has been stored at `path` yet."""
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     found = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(
         spark._jvm.org.apache.hadoop.fs.Path(f"{path}/month=*")
@@ -45,7 +46,7 @@ def upsert_by_key(df: DataFrame, target: str, id_fields, order, time: str = "val
     """
     spark = df.sparkSession
     fresh = keyed_rows(df, id_fields, order, delimiter).withColumn("month", F.date_format(F.col(time).cast("timestamp"), "yyyy-MM"))
-    if _exists(spark, target):
+    if store_exists(spark, target):
         months = [r.month for r in fresh.select("month").distinct().collect()]  # a batch spans few months
         stored = spark.read.parquet(target).where(F.col("month").cast("string").isin(months))
         stored = stored.withColumn("month", F.col("month").cast("string"))

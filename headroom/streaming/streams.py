@@ -15,8 +15,8 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from headroom.operators.exceedance import join_realised_proposed, next_version, split_by_receiver
 from headroom.operators.merge import update_by_key
-from headroom.scale import as_columns
-from headroom.sources.store import read_store, upsert_by_key
+from headroom.scale import as_columns, join_null_safe
+from headroom.sources.store import read_store, store_exists, upsert_by_key
 
 MESSAGE_SCHEMA = "headers map<string,string>, payload string, received timestamp"
 
@@ -93,14 +93,19 @@ def stream_exceeded_check(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        newest = batch
-        try:
-            before = read_store(spark, stored)
-            newest = next_version(batch, ids, before)
-        except Exception:  # the first batch: no store yet
-            newest = batch.withColumn("version_number", F.lit(1))
+        marked = batch.withColumn("batch", F.lit(batch_id))
+        if store_exists(spark, stored):
+            before = read_store(spark, stored).drop("id_key")
+            newest = next_version(marked, ids, before.where(F.col("batch") != batch_id))
+            # a batch that runs again after a failure keeps the versions it gave out the first time
+            given = before.where(F.col("batch") == batch_id).groupBy(*ids).agg(F.max("version_number").alias("__given"))
+            newest = join_null_safe(newest, given, ids, "left").withColumn(
+                "version_number", F.coalesce("__given", "version_number")
+            ).drop("__given")
+        else:
+            newest = marked.withColumn("version_number", F.lit(1))
         upsert_by_key(newest, stored, ids, [received])
-        merged = read_store(spark, stored).drop("id_key")
+        merged = read_store(spark, stored).drop("id_key", "batch")
         touched = batch.select(*keys).distinct()
         realised = merged.join(touched, keys, "left_semi")
         joined = join_realised_proposed(proposed, realised, keys, level, sender, received)

@@ -277,3 +277,37 @@ def test_period_bounds_couple_to_the_validity_period(spark):
     got = [(r.valid_from, r.valid_to, r.data_from, r.data_to) for r in s.period_bounds(df).collect()]
     assert got[0] == (T0 + 3 * day, T0 + 5 * day, T0 + day - 60 * day, T0 + day)
     assert got[1] == (T0 + 3 * day, T0 + 5 * day, T0 - 60 * day, T0)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_groups_are_limited_or_combined_before_the_shuffle(spark):
+    df = spark.range(1000).selectExpr("id", "id % 3 k", "id * 1.0D v")
+    for picked in (f.dedupe_last(df, "k", "v"), f.pick_group_argmax(df, "k", "v", tie="id"), m.distinct_rows(df, "k", "id")):
+        plan = _plan(picked)
+        assert "WindowGroupLimit" in plan and plan.rindex("Partial") > plan.rindex("Exchange hashpartitioning")
+    assert "partial_max" in _plan(f.filter_group_extreme(df, {"v": "max"}, "k"))
+
+
+def test_combine_shuffles_once(spark):
+    df = cells(spark, [(0, "a", 1.0)])
+    plan = _plan(cb.combine_add([df, df, df], "area"))
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_forecast_reads_the_points_once(spark, sf):
+    from headroom.catalog import plan_queries, views
+
+    seen = []
+    bids = views.bids(spark, sf)
+    marked = bids.where(F.col("id") >= 0)
+    tree = {"SUBTRACT": [{"ADD": [{"product": "SA_mFRR"}, {"product": "DA_mFRR"}]}, {"product": "aFRR"}]}
+
+    def prepare(rows_, keys):
+        seen.append(rows_._jdf.queryExecution().optimizedPlan().toString().count("Relation ["))
+        return rows_
+
+    cb.combine_tree(marked, tree, ["area"], "quantity", prepare=prepare)
+    assert seen == [1] and "bid_forecast" in plan_queries.QUERIES
