@@ -102,11 +102,10 @@ def read_matrix_json(spark, sf):
 
 
 def read_json_points(spark, sf):
-    path = scratch_path(spark, "points")
-    day = F.date_format(F.col("valid_from").cast("timestamp"), "yyyy-MM-dd")
-    lists = v.bids(spark, sf).groupBy(day.alias("day"), "area").agg(F.to_json(F.collect_list(F.struct("id", F.struct(F.col("quantity").alias("value")).alias("available")))).alias("value"))
-    lists.repartition("day", "area").write.partitionBy("day", "area").text(path)
-    points = mx.read_json_points(spark, path, "id bigint, available struct<value:double>")
+    """Lists of at most 500 points each, as one message holds them."""
+    point = F.struct("id", "area", F.struct(F.col("quantity").alias("value")).alias("available"))
+    lists = v.bids(spark, sf).groupBy(F.floor(F.col("id") / 500).alias("list")).agg(F.to_json(F.collect_list(point)).alias("value"))
+    points = mx.parse_json_points(lists, "value", "id: bigint, area: string, available: struct<value: double>")
     return points.select("id", "area", F.col("available.value").alias("value"))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from headroom.catalog import views as v
 from headroom.catalog.views import oracle
+from headroom.scale import literal_table
 from headroom.operators import exceedance as x
 from headroom.operators import filters as f
 from headroom.operators import merge as m
@@ -53,7 +54,7 @@ def next_version(spark, sf):
 
 def split_by_receiver(spark, sf):
     rows = v.realised(spark, sf).withColumnRenamed("sender", "receiver")
-    known = spark.createDataFrame([(0,), (2,), (9,)], "receiver int")
+    known = literal_table(spark, [(0,), (2,), (9,)], "receiver int")
     return x.split_by_receiver(rows, known, KEYS, ["received", "level"]).select("receiver", *KEYS, "level", "value")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from headroom.catalog import views as v
 from headroom.catalog.views import oracle
+from headroom.scale import literal_table
 from headroom.operators import areas as a
 from headroom.operators import columns as c
 from headroom.operators import filters as f
@@ -104,7 +105,7 @@ def slice_time(spark, sf):
 
 
 def slice_time_of_day(spark, sf):
-    slices = spark.createDataFrame([(1, "22:00:00", "05:59:59", "CET"), (2, "05:00:00", "12:29:59", "CET")], "position int, start_time string, end_time string, time_zone string")
+    slices = literal_table(spark, [(1, "22:00:00", "05:59:59", "CET"), (2, "05:00:00", "12:29:59", "CET")], "position int, start_time string, end_time string, time_zone string")
     return f.slice_time_of_day(v.bids(spark, sf).select("id", "valid_from"), slices)
 
 

@@ -13,6 +13,7 @@ from headroom.catalog.exceedance_queries import _NEWEST, KEYS
 from headroom.catalog.series_queries import SLICES
 from headroom.catalog.stream_queries import ORACLE as STREAM_ORACLE
 from headroom.catalog.views import oracle
+from headroom.scale import literal_table
 from headroom.operators import areas as a
 from headroom.operators.series import resample_mean, time_slices
 from headroom.plans import procurement as pr
@@ -61,7 +62,7 @@ def limited_bids(spark, sf):
 
 def realised_check(spark, sf):
     proposed = v.proposed(spark, sf).withColumn("value", F.col("value") / 4)
-    receivers = spark.createDataFrame([(0,), (1,), (2,)], "receiver int")
+    receivers = literal_table(spark, [(0,), (1,), (2,)], "receiver int")
     return rl.realised_check(proposed, v.realised(spark, sf), receivers, KEYS, tie="value").select("receiver", *KEYS, "level", "value")
 
 

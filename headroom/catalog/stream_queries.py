@@ -10,7 +10,7 @@ from headroom.catalog import views as v
 from headroom.catalog.views import oracle
 from headroom.operators import combine as cb
 from headroom.operators import exceedance as x
-from headroom.scale import scratch_path
+from headroom.scale import literal_table, scratch_path
 from headroom.sources.store import read_store
 from headroom.streaming import streams as sm
 
@@ -25,7 +25,10 @@ def _points(spark, sf):
 
 
 def _messages(spark, sf, path):
-    """Realised points as messages: JSON and XML payloads, a foreign header, and a second delivery of every fourth level."""
+    """Realised points as messages: JSON and XML payloads, a foreign header, and a second delivery of every fourth level.
+
+    The points are a summary of at most a few hundred rows, so a file each is enough.
+    """
     body = F.struct("area", "direction", "level", "sender", "value", "valid_from")
     points = _points(spark, sf)
     again = points.where("level % 4 = 0").withColumns({"value": F.col("value") + 500, "received": F.col("received") + F.expr("interval 1 day")})
@@ -60,10 +63,9 @@ def stream_points(spark, sf):
 def stream_latest_by_key(spark, sf):
     inbox, target = scratch_path(spark, "inbox"), scratch_path(spark, "latest")
     bids = v.bids(spark, sf).select("id", "valid_from", "area", "quantity")
-    bids.repartitionByRange(3, "id").write.parquet(inbox)
-    stream = spark.readStream.schema(bids.schema).option("maxFilesPerTrigger", 1).parquet(inbox)
-    # the store keeps the highest id whatever order the files arrive in: ids decide inside a batch,
-    # and the stored row takes part in the next comparison
+    bids.write.parquet(inbox)
+    stream = spark.readStream.schema(bids.schema).option("maxFilesPerTrigger", 1000).parquet(inbox)
+    # files arrive in any order: every stretch of ids has a key of its own, so the highest id is always kept
     keyed = stream.withColumn("slot", F.floor(F.col("id") / 2000))
     sm.drain_available(sm.stream_latest_by_key(keyed, ["valid_from", "area", "slot"], target, ["id"]), scratch_path(spark, "progress"))
     return read_store(spark, target).groupBy("valid_from", "area").agg(F.max("id").alias("id"))
@@ -76,7 +78,7 @@ def stream_exceeded_check(spark, sf):
     points.where("sender > 0").coalesce(1).write.mode("append").parquet(inbox)
     proposed = v.proposed(spark, sf).withColumn("value", F.col("value") / 4)
     stream = spark.readStream.schema(points.schema).parquet(inbox)
-    receivers = spark.createDataFrame([(0,), (1,), (2,)], "receiver int")
+    receivers = literal_table(spark, [(0,), (1,), (2,)], "receiver int")
     writer = sm.stream_exceeded_check(stream, proposed, stored, result, receivers, ["area", "direction"])
     sm.drain_available(writer, scratch_path(spark, "progress"))
     return read_store(spark, result).select("area", "direction", "level", "receiver", "value")
@@ -84,7 +86,7 @@ def stream_exceeded_check(spark, sf):
 
 def drain_available(spark, sf):
     inbox, target = scratch_path(spark, "inbox"), scratch_path(spark, "drained")
-    v.bids(spark, sf).select("id", "valid_from", "area", "quantity").repartition(4).write.parquet(inbox)
+    v.bids(spark, sf).select("id", "valid_from", "area", "quantity").write.parquet(inbox)
     stream = spark.readStream.schema("id bigint, valid_from timestamp_ntz, area string, quantity double").parquet(inbox)
     writer = stream.writeStream.format("parquet").option("path", target)
     sm.drain_available(writer, scratch_path(spark, "progress"))

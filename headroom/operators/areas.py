@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headroom.scale import as_columns
+from headroom.scale import as_columns, literal_table
 
 # Bidding areas with their operators, and the control block.
 AREA_ROWS = [
@@ -29,12 +29,12 @@ CORRECTION_SCHEMA = "area string, direction string, out_area string, in_area str
 
 
 def default_areas(spark) -> DataFrame:
-    return spark.createDataFrame(AREA_ROWS, AREA_SCHEMA)
+    return literal_table(spark, AREA_ROWS, AREA_SCHEMA)
 
 
 def correction_keys(spark, rows=None) -> DataFrame:
     """The bridge table area × direction -> border; six pairs of two."""
-    return spark.createDataFrame(rows or CORRECTION_ROWS, CORRECTION_SCHEMA)
+    return literal_table(spark, rows or CORRECTION_ROWS, CORRECTION_SCHEMA)
 
 
 def align_labels(df: DataFrame, columns, areas: DataFrame, attribute: str = "name", order: str = "mrid") -> DataFrame:
@@ -82,7 +82,7 @@ def border_pairs(areas: DataFrame, borders: list[tuple[str, str]], key: str = "m
     """Both ordered pairs of area ids for each pair of country names (case-insensitive)."""
     spark = areas.sparkSession
     both = [(a.lower(), b.lower()) for a, b in borders] + [(b.lower(), a.lower()) for a, b in borders]
-    pairs = spark.createDataFrame(sorted(set(both)), "__from string, __to string")
+    pairs = literal_table(spark, sorted(set(both)), "__from string, __to string")
     left = areas.select(F.lower("name").alias("__from"), F.col(key).alias("out_id"))
     right = areas.select(F.lower("name").alias("__to"), F.col(key).alias("in_id"))
     return pairs.join(left, "__from").join(right, "__to").where("out_id <> in_id").select("out_id", "in_id")

@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from headroom.functions.times import to_zone
-from headroom.scale import as_columns, join_null_safe
+from headroom.scale import as_columns, join_null_safe, time_literal
 
 
 def filter_equals(df: DataFrame, pairs: dict) -> DataFrame:
@@ -69,7 +69,7 @@ def pick_group_argmax(df: DataFrame, group, by: str, how: str = "max", tie=None,
 def slice_time(df: DataFrame, bounds, time: str = "valid_from") -> DataFrame:
     """Rows between the smallest and largest of the given bounds, both included."""
     kind = df.schema[time].dataType.simpleString()
-    known = [F.lit(b).cast(kind) for b in bounds if b is not None]
+    known = [time_literal(b, kind) for b in bounds if b is not None]
     if not known:
         raise ValueError("no time bound given")
     if len(known) == 1:
@@ -161,8 +161,8 @@ def data_range(df: DataFrame, start, end, time: str = "valid_from", time_end: st
     """One row: the requested period clamped to what the table holds."""
     kind = df.schema[time].dataType.simpleString()
     return df.agg(
-        F.greatest(F.min(time), F.lit(start).cast(kind)).alias("period_start"),
-        F.least(F.max(time_end or time), F.lit(end).cast(kind)).alias("period_end"),
+        F.greatest(F.min(time), time_literal(start, kind)).alias("period_start"),
+        F.least(F.max(time_end or time), time_literal(end, kind)).alias("period_end"),
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from headroom.functions.numbers import clear_nan
 from headroom.operators.ranks import group_sizes, value_counts, values_at_ranks
-from headroom.scale import as_columns, fits_one_task
+from headroom.scale import as_columns, fits_one_task, literal_table
 
 PROBABILITY_STEPS = 10_000  # probabilities are integer ten-thousandths (4 decimals)
 
@@ -26,8 +26,8 @@ def quantile_spacing(spark: SparkSession, spacings: list[tuple[float, float, flo
     highest percentage comes first and has the lowest probability.
     """
     rows = [(float(a), float(b), float(c), spacing_ticks(a, b, c)) for a, b, c in spacings]
-    table = spark.createDataFrame(
-        rows, "spacing_start double, spacing_stop double, spacing_step double, ticks array<int>"
+    table = literal_table(
+        spark, rows, "spacing_start double, spacing_stop double, spacing_step double, ticks array<int>"
     )
     return table.select("spacing_start", "spacing_stop", "spacing_step", F.explode("ticks").alias("tick")).withColumns(
         {

@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from headroom.functions.durations import DAY, duration_seconds, format_iso_duration, parse_iso_duration
-from headroom.scale import as_columns, epoch, fits_one_task, from_epoch, join_null_safe, type_of
+from headroom.scale import as_columns, epoch, fits_one_task, from_epoch, join_null_safe, literal_table, time_literal, type_of
 
 
 def fill_ordered(
@@ -269,9 +269,9 @@ def fill_steps(
     fields = [c for c in df.columns if c not in keys and c not in time]
     low, high = epoch(period[0]), epoch(period[1])
     if start is not None:
-        low = F.greatest(low, epoch(F.lit(start)))
+        low = F.greatest(low, epoch(time_literal(start)))
     if end is not None:
-        high = F.least(high, epoch(F.lit(end)))
+        high = F.least(high, epoch(time_literal(end)))
     split = not fits_one_task(df) if split is None else split
     if not split:
         series = W.partitionBy(*keys)
@@ -327,7 +327,7 @@ def double_weight(df: DataFrame, end, period: str | int, time: str = "valid_from
     """
     seconds = duration_seconds(period)
     kind = type_of(df, time)
-    stop = F.lit(end).cast(kind)
+    stop = time_literal(end, kind)
     recent = F.col(time).between(stop - F.make_dt_interval(secs=F.lit(seconds)), stop)
     copies = F.when(recent, F.lit(2)).otherwise(F.lit(1))
     if weight:
@@ -362,7 +362,7 @@ def time_slices(
     )
     if low == high and steps == 1:
         rows = [(1, valid_from.replace(tzinfo=None), valid_to.replace(tzinfo=None), None, None, None, None, 1, zone)]
-        return spark.createDataFrame(rows, schema)
+        return literal_table(spark, rows, schema)
     low, high = min(low, high), max(low, high)
     width = max((high - low) / steps, timedelta(minutes=15))
     rows = []
@@ -376,8 +376,8 @@ def time_slices(
             i + 1, begin, stop, clock(begin), clock(stop - timedelta(seconds=1)),
             int((high - low).total_seconds()), int(width.total_seconds()), steps, zone,
         ))
-    table = spark.createDataFrame(
-        rows, schema.replace("period_resolution string, point_resolution string", "period_resolution long, point_resolution long")
+    table = literal_table(
+        spark, rows, schema.replace("period_resolution string, point_resolution string", "period_resolution long, point_resolution long")
     )
     return table.withColumns(
         {c: format_iso_duration(F.col(c)) for c in ("period_resolution", "point_resolution")}

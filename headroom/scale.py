@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Largest plan (Catalyst's own estimate, bytes) that may be handled per key in
 # one task.  Anything larger takes the split form of the same operator.
@@ -75,6 +77,28 @@ def from_epoch(seconds: Column, like: str = "timestamp") -> Column:
     return F.timestamp_seconds(seconds).cast(like)
 
 
+def time_literal(value, kind: str = "timestamp") -> Column:
+    """A bound as a column of time type `kind`; naive times are UTC whatever the driver's own zone."""
+    if isinstance(value, datetime):
+        if value.tzinfo is not None:
+            value = value.astimezone(timezone.utc).replace(tzinfo=None)
+        value = value.isoformat(" ")
+    return F.lit(value).cast(kind)
+
+
+def literal_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A small parameter table as literals, so that Catalyst knows its size."""
+    fields = T._parse_datatype_string(schema).fields
+
+    def cell(value, field) -> Column:
+        kind = field.dataType.simpleString()
+        column = time_literal(value, kind) if isinstance(value, datetime) else F.lit(value).cast(kind)
+        return column.alias(field.name)
+
+    structs = [F.struct(*[cell(v, f) for v, f in zip(row, fields)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def type_of(df: DataFrame, name: str) -> str:
     return df.schema[name].dataType.simpleString()
 

@@ -52,3 +52,9 @@ def read_json_points(spark: SparkSession, path: str, schema=None) -> DataFrame:
     """Files that hold a JSON list of points -> one row per point, nested fields kept."""
     reader = spark.read.option("multiLine", True)
     return (reader.schema(schema) if schema else reader).json(path)
+
+
+def parse_json_points(df: DataFrame, payload: str, schema: str) -> DataFrame:
+    """JSON lists held in a column (e.g. messages) -> one row per point of struct `schema`."""
+    points = F.explode(F.from_json(F.col(payload), f"array<struct<{schema}>>"))
+    return df.select(*[c for c in df.columns if c != payload], points.alias("__point")).select("*", "__point.*").drop("__point")

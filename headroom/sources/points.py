@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from headroom.functions.durations import duration_seconds
 from headroom.operators.columns import quoted
-from headroom.scale import as_columns
+from headroom.scale import as_columns, epoch, time_literal
 
 
 def scan_points(spark: SparkSession, path: str, fields: list[str] | None = None, fmt: str = "parquet") -> DataFrame:
@@ -30,17 +30,17 @@ def scan_time_range(df: DataFrame, start=None, end=None, keys="valid_from", mont
     keys = as_columns(keys)
 
     def bound(value, key: str) -> Column:
-        return F.lit(value).cast(df.schema[key].dataType)
+        return time_literal(value, df.schema[key].dataType.simpleString())
 
     if start is not None:
         df = df.where(quoted(keys[0]) >= bound(start, keys[0]))
         if month:
-            df = df.where(F.col(month) >= F.date_format(F.lit(start).cast("timestamp"), "yyyy-MM"))
+            df = df.where(F.col(month) >= F.date_format(time_literal(start), "yyyy-MM"))
     if end is not None:
         last = quoted(keys[-1])
         df = df.where(last < bound(end, keys[0]) if len(keys) == 1 else last <= bound(end, keys[-1]))
         if month:
-            df = df.where(F.col(month) <= F.date_format(F.lit(end).cast("timestamp"), "yyyy-MM"))
+            df = df.where(F.col(month) <= F.date_format(time_literal(end), "yyyy-MM"))
     return df
 
 
@@ -75,7 +75,7 @@ def spec_condition(df: DataFrame, spec) -> Column:
             for name, bounds in value.items():
                 kind = df.schema[name].dataType
                 compare = {"gte": operator.ge, "gt": operator.gt, "lte": operator.le, "lt": operator.lt}
-                tests += [compare[op](quoted(name), F.lit(b).cast(kind)) for op, b in bounds.items()]
+                tests += [compare[op](quoted(name), time_literal(b, kind.simpleString())) for op, b in bounds.items()]
         elif key == "exists":
             tests.append(quoted(value["field"]).isNotNull())
         elif key == "match_all":
@@ -175,13 +175,14 @@ def time_chunks(spark: SparkSession, start: datetime, end: datetime, step: str |
     seconds = duration_seconds(step) if step is not None else int((end - start).total_seconds())
     count = max(1, -(-int((end - start).total_seconds()) // seconds))
     width = timedelta(seconds=seconds)
+    first = time_literal(start, "timestamp_ntz")
     return (
         spark.range(count)
         .select(
             F.col("id").alias("chunk"),
-            (F.lit(start).cast("timestamp_ntz") + F.col("id") * F.lit(width)).alias("chunk_from"),
+            (first + F.col("id") * F.lit(width)).alias("chunk_from"),
             F.least(
-                F.lit(start).cast("timestamp_ntz") + (F.col("id") + 1) * F.lit(width), F.lit(end).cast("timestamp_ntz")
+                first + (F.col("id") + 1) * F.lit(width), time_literal(end, "timestamp_ntz")
             ).alias("chunk_to"),
         )
     )
@@ -189,8 +190,6 @@ def time_chunks(spark: SparkSession, start: datetime, end: datetime, step: str |
 
 def tag_chunks(df: DataFrame, start: datetime, end: datetime, step: str | int, time: str = "valid_from") -> DataFrame:
     """Rows of [start, end) with the number of their chunk, by arithmetic rather than a range join."""
-    from headroom.scale import epoch
-
     inside = scan_time_range(df, start, end, time)
-    first = epoch(F.lit(start))
+    first = epoch(time_literal(start))
     return inside.withColumn("chunk", F.floor((epoch(time) - first) / duration_seconds(step)).cast("bigint"))

@@ -12,6 +12,7 @@ from headroom.catalog import stream_queries as sq
 from headroom.operators.columns import quoted
 from headroom.scale import scratch_path
 from headroom.sources import documents as d
+from headroom.sources import matrix as mx
 from headroom.sources import points as p
 from headroom.sources import store as st
 from headroom.streaming import streams as sm
@@ -58,6 +59,13 @@ def test_read_market_xml_file(spark, tmp_path):
     assert d.parse_market_xml(text, "payload", "ReserveAllocationResult_MarketDocument").count() == 3
 
 
+def test_read_json_list_files(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[{"id": 1, "v": {"x": 2.5}},\n {"id": 2}]')
+    (tmp_path / "b.json").write_text('[{"id": 3, "v": {"x": 4.0}}]')
+    points = mx.read_json_points(spark, str(tmp_path), "id int, v struct<x: double>")
+    assert rows(p.flatten_nested(points)) == [(1, 2.5), (2, None), (3, 4.0)]
+
+
 def test_documents_round_trip(spark, sf):
     assert dq.read_market_xml(spark, sf).count() == dq.parse_market_xml(spark, sf).count() == dq._result_points(spark, sf).count()
 
