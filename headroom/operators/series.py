@@ -282,16 +282,15 @@ def fill_steps(
             & ((F.col("__t") - F.col("__low")) % F.col("__step") == 0) & (epoch(last) == F.col("__t") + F.col("__step"))
         )
         ordered = series.orderBy("__t", *tie)
-        later = series.orderBy("__t").rangeBetween(1, W.unboundedFollowing)
         place = F.row_number().over(ordered)
         placed = rows.where(on_grid).withColumns(
             {
                 **{c: F.last(c, ignorenulls=True).over(ordered.rowsBetween(W.unboundedPreceding, W.currentRow)) for c in fields},
-                "__next": F.min("__t").over(later), "__first": place == 1, "__after": F.lead("__t").over(ordered),
+                "__first": place == 1, "__after": F.lead("__t").over(ordered),
             }
         )
         # the last row of a time also stands for the empty positions after it
-        stop = F.coalesce(F.col("__next"), F.col("__high"))
+        stop = F.coalesce(F.col("__after"), F.col("__high"))
         own = F.array(F.col("__t"))
         gap = F.when(
             F.col("__after").isNull() | (F.col("__after") > F.col("__t")), _steps(F.col("__t") + F.col("__step"), stop, F.col("__step"))
