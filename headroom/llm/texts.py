@@ -120,7 +120,8 @@ def shingles(hashes: np.ndarray, first: np.ndarray, length: int = 5) -> tuple[np
         out[np.repeat(offsets[whole], many[whole]) + take] = runs[np.repeat(first[whole], many[whole]) + take]
     for i in np.flatnonzero((counts > 0) & (counts < length)):
         part = hashes[first[i] : first[i + 1]]
-        out[offsets[i]] = (part * factors[: len(part)]).sum(dtype=np.uint64) + U(int(counts[i]) * 0x632BE59BD9B4E019 % (1 << 64))
+        out[offsets[i] : offsets[i] + 1] = (part * factors[: len(part)]).sum(dtype=np.uint64)
+        out[offsets[i] : offsets[i] + 1] += U(int(counts[i]) * 0x632BE59BD9B4E019 % (1 << 64))
     return mix(out), offsets
 
 
