@@ -8,12 +8,14 @@ at exactly that similarity is missed with a chance below `MISS`.
 
 Every link is confirmed on the full shingle sets:
   1. Equal sets collapse to their smallest id, however many copies there are.
-  2. Each member of a bucket is compared with the bucket's smallest id.
-  3. Members that are not in that one's component yet are compared with every
-     other member of another component, unless their distances to the smallest
-     id already differ by more than a link allows (Jaccard distance is a metric).
-Pairs left out are in one component already or can't be linked, so components
-are exact for all pairs that share a bucket.
+  2. Each member of a bucket is compared with the bucket's head, the member that
+     shares buckets with most others; those still apart get a second head.
+  3. Documents of buckets that still hold several components are ordered by their
+     rarest shingles.  A linked pair shares one among the first
+     n - 0.85 n + 1, with enough shingles left behind it in both (prefix and
+     position bounds); only such pairs are compared.
+No step lists the pairs of a bucket, and pairs left out are in one component
+already or can't be linked, so components are exact for all pairs that share a bucket.
 
 Defined results: null or wordless texts have no shingles and stand alone; a row
 whose id is null is linked with nothing and kept; rows of one id share a class;
@@ -27,7 +29,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from headroom.llm.scratch import drop_stored, stored
@@ -35,6 +37,7 @@ from headroom.llm.texts import U, documents, flat, mix, per_text, shingles, slic
 
 MISS = 1e-7
 ROWS = 5
+HEADS = 2
 
 
 def bands_for(percent: int) -> int:
@@ -147,6 +150,42 @@ def components(edges: DataFrame) -> DataFrame:
             return labels.withColumnRenamed("label", "component")
 
 
+def _crowded(members: DataFrame) -> DataFrame:
+    """Buckets of at least two documents, with their size."""
+    return members.groupBy("bucket").agg(F.count(F.lit(1)).alias("many")).filter("many > 1")
+
+
+def _headed(members: DataFrame) -> DataFrame:
+    """(bucket, doc) -> with the bucket's head: the document that meets most others over all its buckets, then the smallest."""
+    met = members.join(_crowded(members), "bucket")
+    central = met.groupBy("doc").agg(F.sum("many").alias("meets"))
+    ranked = members.join(central, "doc").select("bucket", F.struct("meets", (-F.col("doc")).alias("minus")).alias("rank"))
+    heads = ranked.groupBy("bucket").agg(F.max("rank").alias("rank")).select("bucket", (-F.col("rank.minus")).alias("head"))
+    return members.join(heads, "bucket").select("bucket", "head", "doc")
+
+
+def _unpack(batches):
+    for batch in batches:
+        for doc, component, packed in zip(batch.column(0), batch.column(1), batch.column(2)):
+            values = np.frombuffer(packed.as_buffer(), np.int64)
+            n = len(values)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, x.as_py(), np.int64)) for x in (doc, component)] + [pa.array(values)], names=["doc", "component", "shingle"])
+
+
+def _by_rare_shingles(sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (low, high) of different components that may reach the similarity, by prefix and position bounds."""
+    single = sets.select("doc", "component", "shingles").mapInArrow(_unpack, "doc long, component long, shingle long")
+    single = stored(single, "single")
+    ranked = single.join(single.groupBy("shingle").agg(F.count(F.lit(1)).alias("many")), "shingle")
+    order = Window.partitionBy("doc").orderBy("many", "shingle")
+    placed = ranked.withColumn("at", F.row_number().over(order)).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("doc")))
+    prefix = stored(placed.filter((F.col("many") > 1) & ((F.col("at") - 1) * 100 <= F.col("n") * (100 - percent))).select("shingle", "doc", "component", "n", (F.col("n") - F.col("at") + 1).alias("left")), "prefix")
+    one, two = prefix.alias("one"), prefix.alias("two")
+    enough = F.least("one.left", "two.left") * (100 + percent) >= (F.col("one.n") + F.col("two.n")) * percent
+    met = one.join(two, (F.col("one.shingle") == F.col("two.shingle")) & (F.col("one.doc") < F.col("two.doc")) & (F.col("one.component") != F.col("two.component")) & enough)
+    return met.select(F.col("one.doc").alias("low"), F.col("two.doc").alias("high")).distinct()
+
+
 def near_duplicates(docs: DataFrame, percent: int = 85, length: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept: classes of documents linked by Jaccard of at least `percent` hundredths."""
     bands = bands_for(percent)
@@ -158,33 +197,34 @@ def near_duplicates(docs: DataFrame, percent: int = 85, length: int = 5, key: st
     equal = stored(usable.groupBy("a", "b", "n").agg(F.min("doc").alias("first")), "equal")
     first = usable.join(equal.select(F.col("first").alias("doc"), "a", "b", "n"), ["doc", "a", "b", "n"], "left_semi").dropDuplicates(["doc", "a", "b"])
 
-    # 2. Buckets of at least two different sets.
+    # 2. Buckets of at least two different sets; members against heads.
     bucketed = first.select("doc", F.explode("bands").alias("bucket"))
-    heads = bucketed.groupBy("bucket").agg(F.min("doc").alias("head"), F.max("doc").alias("tail")).filter("head <> tail").select("bucket", "head")
-    members = stored(bucketed.join(heads, "bucket").select("bucket", "head", "doc"), "members")
+    members = stored(bucketed.join(_crowded(bucketed), "bucket").select("bucket", "doc"), "members")
     wanted = members.select("doc").distinct()
     sets = stored(own.filter("doc is not null").join(wanted, "doc", "left_semi").mapInArrow(lambda it: _pack(it, length), "doc long, shingles binary"), "sets")
 
     def linked(pairs: DataFrame) -> DataFrame:
-        return stored(_compared(pairs, sets).withColumn("link", F.col("same") * 100 >= F.col("union") * percent), "pairs")
-
-    direct = linked(members.filter("head <> doc").select(F.col("head").alias("low"), F.col("doc").alias("high")).distinct())
+        compared = stored(_compared(pairs, sets), "pairs")
+        return compared.filter(F.col("same") * 100 >= F.col("union") * percent).select("low", "high")
+
+    edges, active = [], members
+    for _ in range(HEADS):
+        headed = stored(_headed(active), "headed")
+        pairs = headed.filter("head <> doc").select(F.least("head", "doc").alias("low"), F.greatest("head", "doc").alias("high")).distinct()
+        edges.append(linked(pairs))
+        found = components(reduce(DataFrame.union, edges))
+        heads = found.select(F.col("doc").alias("head"), F.col("component").alias("main"))
+        placed = headed.join(found, "doc", "left").join(heads, "head", "left").filter(F.coalesce("component", "doc") != F.coalesce("main", "head"))
+        apart = placed.select("bucket", "doc")
+        active = stored(apart.join(_crowded(apart), "bucket", "left_semi"), "apart")
+
+    # 3. Documents of buckets that still hold several components, by their rarest shingles.
+    placed = members.join(found, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+    mixed = placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("bucket")
+    unsure = placed.join(mixed, "bucket", "left_semi").select("doc", "component").distinct()
+    edges.append(linked(_by_rare_shingles(sets.join(unsure, "doc"), percent)))
     copies = usable.join(equal, ["a", "b", "n"]).filter("first <> doc").select(F.col("first").alias("low"), F.col("doc").alias("high"))
-    found = components(direct.filter("link").select("low", "high"))
-
-    # 3. Members of a bucket that are still apart, against all others of the bucket in another component.
-    far = direct.select(F.col("low").alias("head"), F.col("high").alias("doc"), (1 - F.col("same") / F.col("union")).alias("far"))
-    placed = members.join(far, ["head", "doc"], "left").join(found, "doc", "left").select(
-        "bucket", "head", "doc", F.coalesce("far", F.lit(0.0)).alias("far"), F.coalesce("component", "doc").alias("component"))
-    whole = found.select(F.col("doc").alias("head"), F.col("component").alias("main"))
-    placed = placed.join(whole, "head", "left").withColumn("main", F.coalesce("main", "head"))
-    mixed = placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("many")).filter("x <> y and many > 2").select("bucket")
-    placed = stored(placed.filter("head <> doc").join(mixed, "bucket"), "placed")
-    apart = placed.filter("component <> main").select("bucket", F.col("doc").alias("one"), F.col("component").alias("one_in"), F.col("far").alias("one_far"))
-    slack = 1 - percent / 100 + 1e-9
-    others = apart.join(placed, "bucket").filter((F.col("one") != F.col("doc")) & (F.col("one_in") != F.col("component")) & (F.abs(F.col("far") - F.col("one_far")) <= slack))
-    later = linked(others.select(F.least("one", "doc").alias("low"), F.greatest("one", "doc").alias("high")).distinct())
-    edges = reduce(DataFrame.union, [x.filter("link").select("low", "high") for x in (direct, later)]).union(copies)
+    edges = reduce(DataFrame.union, edges).union(copies)
 
     final = components(edges).withColumnRenamed("doc", "node")
     result = signed.join(final, signed["doc"] == final["node"], "left")
