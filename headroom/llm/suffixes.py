@@ -28,6 +28,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -38,7 +39,7 @@ from headroom.llm.texts import U, documents, flat, mix, partitions, slices
 
 DEPTH = 50
 ANCHOR = 20
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 
 _BASE = 0xA0761D6478BD642F
 _VALUES = np.random.default_rng(9).integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -234,11 +235,11 @@ def _repeats(parts: int):
     def find(block: pa.Table, replies: pa.Table) -> pa.Table:
         ids, offsets, data = _opened(block)
         a = anchored(data, offsets)
-        first = replies.filter(pa.compute.equal(replies["digit"], 1))
+        first = replies.filter(pc.equal(replies["digit"], 1))
         verdict = _verdicts(a["digit"], first, parts)
         known, todo = verdict == 1, verdict == 2
         at = _spread(a["low"][todo], a["high"][todo])
-        second = replies.filter(pa.compute.equal(replies["digit"], 2))
+        second = replies.filter(pc.equal(replies["digit"], 2))
         at = at[_verdicts(a["suffix"][at], second, parts) == 1]
         cover = np.zeros(len(data) + 1, np.int32)
         np.add.at(cover, at, 1)
