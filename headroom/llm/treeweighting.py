@@ -144,13 +144,16 @@ class Tree:
         self.keys, self.ones, self.own = [], [], []
         zeros, ones = [], []
         for codes, n in counts:
-            node = np.concatenate([_nodes(codes, bit) for bit in range(8)])
-            one = np.concatenate([(codes >> U(7 - bit)) & U(1) for bit in range(8)]).astype(bool)
-            keys, back = np.unique(node, return_inverse=True)
-            weight = np.tile(n, 8).astype(float)
-            self.keys.append(keys)
-            ones.append(np.bincount(back, weight * one, len(keys)))
-            zeros.append(np.bincount(back, weight * ~one, len(keys)))
+            parts = []
+            for bit in range(8):  # decision points of different bits differ
+                node, back = np.unique(_nodes(codes, bit), return_inverse=True)
+                one = np.bincount(back, n * ((codes >> U(7 - bit)) & U(1)).astype(bool), len(node))
+                parts.append((node, np.bincount(back, n, len(node)) - one, one))
+            keys, zero, one = (np.concatenate(x) for x in zip(*parts))
+            order = np.argsort(keys)
+            self.keys.append(keys[order])
+            zeros.append(zero[order])
+            ones.append(one[order])
         below = None
         for d in range(len(counts) - 1, -1, -1):
             own = log_kt(zeros[d], ones[d])
@@ -165,9 +168,9 @@ class Tree:
                 children = children + log_kt(*rest)
                 mixed = np.logaddexp(np.log(0.5) + own, np.log(0.5) + children)
                 weight = np.exp(np.log(0.5) + own - mixed)
-            self.own.insert(0, weight)
+            self.own.insert(0, weight.astype(np.float32))
             below = mixed
-        self.ones = [(b + 0.5) / (a + b + 1) for a, b in zip(zeros, ones)]  # estimate of a 1 at each node
+        self.ones = [((b + 0.5) / (a + b + 1)).astype(np.float32) for a, b in zip(zeros, ones)]  # estimate of a 1 at each node
         # Per depth: the strings of kept contexts with the logs, where that depth is the last one kept, and the contexts.
         self.codes = [np.sort(c) for c, _ in counts]
         self.logs = [self.log10_probability(c, d + 1).astype(np.float32) for d, c in enumerate(self.codes)]
