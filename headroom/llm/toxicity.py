@@ -58,13 +58,15 @@ def _trained(samples: list[bytes], size: int) -> bytes:
 def _characteristic(texts: list[str], others: list[str]) -> list[bytes]:
     """Training samples: words found in far more of `texts` than of `others`, weighted by the number of texts."""
     mine, rest = Counter(), Counter()
-    for counts, side in ((mine, texts), (rest, others)):
-        for text in side:
-            counts.update(set(_WORD.findall(text.lower())))
+    for text in texts:
+        mine.update(set(_WORD.findall(text.lower())))
+    mine = {word: n for word, n in mine.items() if n >= max(3, SHARE * len(texts))}
+    for text in others:
+        rest.update(mine.keys() & set(_WORD.findall(text.lower())))
     weight = {}
     for word, n in mine.items():
         odds = np.log((n + 0.5) / (len(texts) + 1)) - np.log((rest[word] + 0.5) / (len(others) + 1))
-        if n >= max(3, SHARE * len(texts)) and odds > ODDS:
+        if odds > ODDS:
             weight[word] = n * odds
     best = sorted(weight, key=lambda w: (-weight[w], w))[: DICTIONARY // 16]
     return [f" {word} ".encode() for word in reversed(best)]
