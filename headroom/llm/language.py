@@ -102,7 +102,7 @@ class Model:
             lines = np.lib.stride_tricks.sliding_window_view(chars, ORDER) if len(chars) >= ORDER else np.zeros((0, ORDER), np.uint32)
             inside = np.ones(len(lines), bool)
             inside[(places[1:-1, None] + np.arange(-ORDER + 1, 0)).ravel()] = False  # windows that cross into the next text's lead
-            counted.append(np.unique(lines[inside], axis=0, return_counts=True))
+            counted.append(self._counted(lines, inside))
         self.alphabet = max(1, len(np.unique(np.concatenate([c[0][:, -1] for c in counted]))) if counted else 1) + 1
         self.grams, self.shares, self.contexts, self.handed = {}, {}, {}, {}
         for order in range(ORDER, 0, -1):
@@ -130,12 +130,24 @@ class Model:
         self.limits = np.full(many, np.inf)
         if many:
             data = [t.encode() for t in texts]
-            bits, size = self.entropies(np.frombuffer(b"".join(data), np.uint8), np.concatenate(([0], np.cumsum([len(t) for t in data]))))
+            whole, offsets = np.frombuffer(b"".join(data), np.uint8), np.concatenate(([0], np.cumsum([len(t) for t in data])))
+            parts = [self.entropies(whole[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) for a, b in slices(offsets)]
+            bits, size = (np.concatenate(x) for x in zip(*parts))
             for number, language in enumerate(self.languages):
                 own = bits[(labels == language) & (size > 50), number]
                 if len(own):
                     self.limits[number] = own.mean() + REJECT * own.std() + 0.1
 
+    @staticmethod
+    def _counted(lines: np.ndarray, inside: np.ndarray, step: int = 1 << 17) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct lines and their counts, a range at a time."""
+        found, counts = np.zeros((0, ORDER), np.uint32), np.zeros(0, np.int64)
+        for a in range(0, len(lines), step):
+            more, n = np.unique(lines[a : a + step][inside[a : a + step]], axis=0, return_counts=True)
+            found, back = np.unique(np.concatenate((found, more)), axis=0, return_inverse=True)
+            counts = np.bincount(back.ravel(), np.concatenate((counts, n)), len(found)).astype(np.int64)
+        return found, counts
+
     @staticmethod
     def _hash(lines: np.ndarray) -> np.ndarray:
         """Hashes of equally long lines, as `grams` gives them."""
