@@ -114,7 +114,8 @@ def upsert_by_key(spark, sf):
     keys = ["valid_from", "area", "product", "exclusive_id"]
     bids = v.bids(spark, sf).select("id", *keys, "quantity")
     st.upsert_by_key(bids.where("id % 2 = 0"), target, keys, ["id"])
-    late = bids.where("id % 3 = 0").withColumn("quantity", F.col("quantity") + 1000)
+    # corrections of stored rows, new rows, and rows older than what is stored
+    late = bids.where("id % 2 = 1 or id % 3 = 0").withColumn("quantity", F.col("quantity") + 1000)
     st.upsert_by_key(late, target, keys, ["id"])
     return st.read_store(spark, target).select("id_key", "id", *keys, F.round("quantity", 6).alias("quantity"))
 
@@ -131,9 +132,7 @@ ORACLE = {
     "read_matrix_json": oracle("imbalance", """select 'balancing_ace' mrid, valid_from, valid_to, region domain_name, case region when 'North' then 'N' when 'Mid' then 'M' end "domain",
  case region when 'North' then 'A02' else 'A01' end direction_code, 'A86' message_type, 'B33' business_type, 'A16' process_type, round(quantity,6) quantity from imbalance"""),
     "read_json_points": oracle("bids", """select id, area, quantity "value" from bids"""),
-    "upsert_by_key": oracle("bids", """, b as (select *, concat_ws('-', strftime(valid_from,'%Y-%m-%d %H:%M:%S'), area, product, exclusive_id) k from bids),
- o as (select * from (select *, row_number() over (partition by k order by id desc) r from b where id%2=0) where r=1),
- n as (select * from (select *, row_number() over (partition by k order by id desc) r from b where id%3=0) where r=1)
-select k id_key, id, valid_from, area, product, exclusive_id, round(quantity+1000,6) quantity from n
-union all select k, id, valid_from, area, product, exclusive_id, round(quantity,6) from o where k not in (select k from n)"""),
+    "upsert_by_key": oracle("bids", """, b as (select *, concat_ws('-', strftime(valid_from,'%Y-%m-%d %H:%M:%S'), area, product, exclusive_id) k from bids)
+select k id_key, id, valid_from, area, product, exclusive_id, round(quantity+case when id%2=1 or id%3=0 then 1000 else 0 end,6) quantity
+from (select *, row_number() over (partition by k order by id desc) r from b) where r=1"""),
 }

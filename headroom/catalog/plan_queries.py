@@ -71,7 +71,7 @@ REPORT_BRIDGE = [("A", "F", "A", "N"), ("A", "F", "N", "R"), ("N", "O", "N", "R"
 
 def _flows(spark, sf, factor):
     """Border capacity per level from line items: flag pairs as borders."""
-    lines = v.table(spark, sf, "lineitem").where("l_linenumber <= 5")
+    lines = v.table(spark, sf, "lineitem")
     to = F.expr("case when l_returnflag = 'N' then case when l_partkey % 2 = 0 then 'R' else 'A' end else 'N' end")
     return lines.groupBy(F.col("l_returnflag").alias("out_area"), to.alias("in_area"), (100 - F.col("l_linenumber")).alias("level")).agg(
         F.round(F.avg("l_extendedprice") / factor, 4).alias("value")
@@ -159,7 +159,7 @@ from ok join vd using (region,label) join sh using (region,"level")"""
 
 def _flow_sql(name: str, factor: int) -> str:
     return f""" {name}_c as (select l_returnflag out_area, case when l_returnflag='N' then case when l_partkey%2=0 then 'R' else 'A' end else 'N' end in_area, 100-l_linenumber "level",
-  round(avg(l_extendedprice)/{factor},4) v from lineitem where l_linenumber<=5 group by all),
+  round(avg(l_extendedprice)/{factor},4) v from lineitem group by all),
  {name} as (select area, direction, "level", min(v) lim from {name}_c join k using (out_area,in_area) group by all)"""
 
 

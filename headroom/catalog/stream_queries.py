@@ -64,10 +64,8 @@ def stream_latest_by_key(spark, sf):
     inbox, target = scratch_path(spark, "inbox"), scratch_path(spark, "latest")
     bids = v.bids(spark, sf).select("id", "valid_from", "area", "quantity")
     bids.write.parquet(inbox)
-    stream = spark.readStream.schema(bids.schema).option("maxFilesPerTrigger", 1000).parquet(inbox)
-    # files arrive in any order: every stretch of ids has a key of its own, so the highest id is always kept
-    keyed = stream.withColumn("slot", F.floor(F.col("id") / 2000))
-    sm.drain_available(sm.stream_latest_by_key(keyed, ["valid_from", "area", "slot"], target, ["id"]), scratch_path(spark, "progress"))
+    stream = spark.readStream.schema(bids.schema).option("maxFilesPerTrigger", 1).parquet(inbox)
+    sm.drain_available(sm.stream_latest_by_key(stream, ["valid_from", "area"], target, ["id"]), scratch_path(spark, "progress"))
     return read_store(spark, target).groupBy("valid_from", "area").agg(F.max("id").alias("id"))
 
 

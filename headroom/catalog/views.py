@@ -52,7 +52,7 @@ def capacity(spark, sf) -> DataFrame:
 
 def steps(spark, sf) -> DataFrame:
     lines = (
-        table(spark, sf, "lineitem").where("l_linenumber <= 7")
+        table(spark, sf, "lineitem")
         .groupBy("l_orderkey", F.col("l_linenumber").alias("position")).agg(F.max("l_quantity").alias("quantity"))
     )
     orders = table(spark, sf, "orders")
@@ -64,7 +64,7 @@ def steps(spark, sf) -> DataFrame:
 
 
 def proposed(spark, sf) -> DataFrame:
-    return table(spark, sf, "lineitem").where("l_linenumber <= 5").groupBy(
+    return table(spark, sf, "lineitem").groupBy(
         F.col("l_returnflag").alias("area"), F.col("l_linestatus").alias("direction"), "l_linenumber",
         F.expr("l_suppkey%4").alias("s"),
     ).agg(F.avg("l_extendedprice").alias("p")).selectExpr(
@@ -74,7 +74,7 @@ def proposed(spark, sf) -> DataFrame:
 
 
 def realised(spark, sf) -> DataFrame:
-    return table(spark, sf, "lineitem").where("l_linenumber <= 5").groupBy(
+    return table(spark, sf, "lineitem").groupBy(
         F.col("l_returnflag").alias("area"), F.col("l_linestatus").alias("direction"), "l_linenumber",
         F.expr("l_suppkey%3").alias("s"),
     ).agg(F.avg("l_quantity").alias("q"), F.max("l_shipdate").alias("received")).selectExpr(
@@ -116,11 +116,11 @@ SQL_VIEWS = {
  case when event_type in ('click','view') then 'DA' else 'ID' end contract, cast(1+event_id%3 as int) "position", value quantity from events""",
     "steps": """select o.o_orderkey series_id, o.o_orderdate series_from, o.o_orderdate + interval 7 days series_to, 'P1D' resolution, l."position",
  o.o_orderdate + (l."position"-1)*interval 1 day valid_from, o.o_orderdate + l."position"*interval 1 day valid_to, o.o_orderpriority "type", l.quantity
- from orders o join (select l_orderkey, l_linenumber "position", max(l_quantity) quantity from lineitem where l_linenumber<=7 group by 1,2) l on l.l_orderkey=o.o_orderkey""",
+ from orders o join (select l_orderkey, l_linenumber "position", max(l_quantity) quantity from lineitem group by 1,2) l on l.l_orderkey=o.o_orderkey""",
     "proposed": """select l_returnflag area, l_linestatus direction, 100-l_linenumber "level", cast(cast(l_suppkey%4 as int) as varchar) version_number,
- round(avg(l_extendedprice)*l_linenumber/1000,4) "value" from lineitem where l_linenumber<=5 group by l_returnflag,l_linestatus,l_linenumber,l_suppkey%4""",
+ round(avg(l_extendedprice)*l_linenumber/1000,4) "value" from lineitem group by l_returnflag,l_linestatus,l_linenumber,l_suppkey%4""",
     "realised": """select l_returnflag area, l_linestatus direction, 100-l_linenumber "level", cast(l_suppkey%3 as int) sender,
- round(avg(l_quantity)*(1+l_suppkey%3),4) "value", max(l_shipdate) received from lineitem where l_linenumber<=5 group by l_returnflag,l_linestatus,l_linenumber,l_suppkey%3""",
+ round(avg(l_quantity)*(1+l_suppkey%3),4) "value", max(l_shipdate) received from lineitem group by l_returnflag,l_linestatus,l_linenumber,l_suppkey%3""",
     "areas": """select n_nationkey id, n_name "name", concat('N',cast(n_nationkey as varchar)) code, r_name "block" from nation join region on n_regionkey=r_regionkey""",
     "triples": """select concat('o',cast(o_orderkey as varchar)) ID,'Type' KEY,'Series' "VALUE",concat('c',cast(o_custkey as varchar)) PARENT_ID from orders
  union all select concat('o',cast(o_orderkey as varchar)),'status',o_orderstatus,concat('c',cast(o_custkey as varchar)) from orders

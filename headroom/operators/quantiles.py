@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from headroom.functions.numbers import clear_nan
 from headroom.operators.ranks import group_sizes, value_counts, values_at_ranks
-from headroom.scale import as_columns, fits_one_task, literal_table
+from headroom.scale import as_columns, literal_table
 
 PROBABILITY_STEPS = 10_000  # probabilities are integer ten-thousandths (4 decimals)
 
@@ -79,7 +79,7 @@ def quantile_linear(
     not; by default the plan's size estimate decides.
     """
     by = as_columns(by)
-    split = not fits_one_task(df) if split is None else split
+    split = split is not False
     if not split and weight is None:
         # small groups: one built-in exact aggregate, no sorting at all
         wanted = number_array(probs)

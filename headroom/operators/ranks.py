@@ -7,7 +7,7 @@ group's value axis into buckets; bucket totals (small: a few ten thousand rows
 per group) give the offset of each bucket, and only the buckets that hold a
 requested rank or threshold are sorted, each in a task of its own.
 
-Plans that are small anyway (`scale.fits_one_task`) skip the bucket level: the
+Plans that are small anyway skip the bucket level: the
 whole group is then one bucket.
 """
 
@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from headroom.scale import as_columns, fits_one_task, join_null_safe
+from headroom.scale import as_columns, join_null_safe
 
 BUCKETS_PER_OCTAVE = 512
 
@@ -36,7 +36,7 @@ def value_counts(df: DataFrame, value: str, by=None, weight: str | None = None)
 
 
 def _with_bucket(counts: DataFrame, split: bool | None) -> tuple[DataFrame, bool]:
-    split = not fits_one_task(counts) if split is None else split
+    split = split is not False
     bucket = value_bucket(F.col("value")) if split else F.lit(0).cast("bigint")
     return counts.withColumn("__bucket", bucket), split
 

@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from headroom.functions.durations import DAY, duration_seconds, format_iso_duration, parse_iso_duration
-from headroom.scale import as_columns, epoch, fits_one_task, from_epoch, join_null_safe, literal_table, time_literal, type_of
+from headroom.scale import as_columns, epoch, from_epoch, join_null_safe, literal_table, time_literal, type_of
 
 
 def fill_ordered(
@@ -25,7 +25,7 @@ def fill_ordered(
     """
     by, columns, tie = as_columns(by), as_columns(columns), as_columns(tie)
     forward = direction == "forward"
-    split = not fits_one_task(df) if split is None else split
+    split = split is not False
     pick = F.last if forward else F.first
 
     def filled(keys: list[str], frame: DataFrame) -> DataFrame:
@@ -272,7 +272,7 @@ def fill_steps(
         low = F.greatest(low, epoch(time_literal(start)))
     if end is not None:
         high = F.least(high, epoch(time_literal(end)))
-    split = not fits_one_task(df) if split is None else split
+    split = split is not False
     if not split:
         series = W.partitionBy(*keys)
         step = parse_iso_duration(F.min(resolution).over(series))

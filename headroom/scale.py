@@ -1,4 +1,4 @@
-"""Helpers that keep plans safe at scale: size checks, lineage cuts, epochs."""
+"""Helpers that keep plans safe at scale: shared scratch tables, lineage cuts, epochs."""
 
 from __future__ import annotations
 
@@ -10,33 +10,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Largest plan (Catalyst's own estimate, bytes) that may be handled per key in
-# one task.  Anything larger takes the split form of the same operator.
-ONE_TASK_BYTES = 64 << 20
-
-
-def plan_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a plan; no job is run."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-
-
-def fits_one_task(df: DataFrame, limit: int = ONE_TASK_BYTES) -> bool:
-    """True when even the largest possible group of `df` fits into one task."""
-    try:
-        return plan_bytes(df) <= limit
-    except Exception:  # no JVM handle: assume large
-        return False
-
-
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the cluster's `spark.checkpoint.dir`.
 
-    Only a session without that setting (tests) gets a folder of its own.
+    Only a local session without that setting (tests) gets a folder of its own.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         context = spark.sparkContext
         if context.getCheckpointDir() is None:
+            if not context.master.startswith("local[") and context.master != "local":
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             context.setCheckpointDir(tempfile.mkdtemp(prefix="headroom-"))
         path = context.getCheckpointDir()
     return path

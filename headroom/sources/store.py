@@ -9,13 +9,11 @@ from headroom.operators.columns import quoted
 from headroom.operators.filters import dedupe_last
 from headroom.scale import as_columns
 
-ID_LENGTH = 512
-
 
 def composite_id(fields, delimiter: str = "-") -> Column:
-    """Present key fields joined and cut to 512 characters; null fields are left out."""
+    """Present key fields joined; null fields are left out."""
     parts = [quoted(f).cast("string") for f in as_columns(fields)]
-    return F.substring(F.concat_ws(delimiter, *parts), 1, ID_LENGTH)
+    return F.concat_ws(delimiter, *parts)
 
 
 def with_id(df: DataFrame, id_fields, delimiter: str = "-") -> DataFrame:
@@ -37,7 +35,8 @@ def store_exists(spark: SparkSession, path: str) -> bool:
 
 
 def upsert_by_key(df: DataFrame, target: str, id_fields, order, time: str = "valid_from", delimiter: str = "-") -> None:
-    """Merge rows into the store at `target`: a new row replaces the stored row of the same id.
+    """Merge rows into the store at `target`: of the stored and the new rows of an id the last in `order` stays,
+    on a tie the new one.
 
     The month comes from `time`, which belongs into `id_fields` so that an id
     never moves between months.  Only the months present in `df` are read and
@@ -50,8 +49,8 @@ def upsert_by_key(df: DataFrame, target: str, id_fields, order, time: str = "val
         months = [r.month for r in fresh.select("month").distinct().collect()]  # a batch spans few months
         stored = spark.read.parquet(target).where(F.col("month").cast("string").isin(months))
         stored = stored.withColumn("month", F.col("month").cast("string"))
-        kept = stored.join(fresh.select("id_key"), "id_key", "left_anti")
-        fresh = fresh.unionByName(kept, allowMissingColumns=True)
+        both = fresh.withColumn("__arrival", F.lit(1)).unionByName(stored.withColumn("__arrival", F.lit(0)), allowMissingColumns=True)
+        fresh = dedupe_last(both, "id_key", [*as_columns(order), "__arrival"]).drop("__arrival")
     (
         fresh.hint("rebalance", "month").write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(target)

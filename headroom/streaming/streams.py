@@ -125,9 +125,11 @@ def merge_realised(old: DataFrame, new: DataFrame, keys) -> DataFrame:
 
 
 def drain_available(writer: DataStreamWriter, checkpoint: str, timeout: int | None = None) -> StreamingQuery:
-    """Process all that is queued, then stop."""
+    """Process all that is queued, then stop; a query that is not done within `timeout` seconds is stopped and raises."""
     query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination(timeout)
+    if query.awaitTermination(timeout) is False:
+        query.stop()
+        raise TimeoutError(f"the queued data was not processed within {timeout} s")
     return query
 
 
