@@ -31,6 +31,11 @@ def safe_ratio(numerator: Column, denominator: Column, over_zero: float = OVER_Z
     )
 
 
+def version_number(version: Column) -> Column:
+    """Version as a whole number (`2`, `2.0`); other text is null."""
+    return F.coalesce(version.try_cast("bigint"), version.try_cast("double").try_cast("bigint"))
+
+
 def clear_nan(value: Column) -> Column:
     """NaN -> null."""
     return F.when(~F.isnan(value), value)

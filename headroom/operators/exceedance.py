@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headroom.functions.numbers import safe_ratio
+from headroom.functions.numbers import safe_ratio, version_number
 from headroom.operators.filters import dedupe_last, latest_version
 from headroom.scale import as_columns, join_null_safe
 
@@ -50,7 +50,7 @@ def exceeded_proportion(
     """
     by = as_columns(by)
     rows = joined.withColumns(
-        {"__norm": safe_ratio(F.col("realised"), F.col("proposed")), "__v": F.coalesce(F.col(version).try_cast("bigint"), F.lit(-1))}
+        {"__norm": safe_ratio(F.col("realised"), F.col("proposed")), "__v": F.coalesce(version_number(F.col(version)), F.lit(-1))}
     )
     per_version = rows.groupBy(*by, level, "__v").agg(
         F.sum("__norm").alias("__s"), F.min("proposed").alias("__lo"), F.max("proposed").alias("__hi")
@@ -116,7 +116,7 @@ def exceeded_cascade(
 def next_version(df: DataFrame, keys, stored: DataFrame, version: str = "version_number") -> DataFrame:
     """Version for each row: 1 + the highest stored version of its key (at least 2), 1 if none is stored."""
     keys = as_columns(keys)
-    highest = stored.groupBy(*keys).agg(F.max(F.col(version).try_cast("bigint")).alias("__max"))
+    highest = stored.groupBy(*keys).agg(F.max(version_number(F.col(version))).alias("__max"))
     joined = join_null_safe(df.drop(version), highest, keys, "left")
     return joined.withColumn(version, F.when(F.col("__max").isNull(), 1).otherwise(F.greatest(F.col("__max"), F.lit(1)) + 1).cast("int")).drop("__max")
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from headroom.functions.numbers import version_number
 from headroom.functions.times import to_zone
 from headroom.scale import as_columns, join_null_safe, time_literal
 
@@ -127,15 +128,16 @@ def latest_version(
     """Rows holding the highest version of their group, ties kept.
 
     The group is `fixed_cols`, or all columns whose name has none of
-    `variable_words`; nulls form a group.  Versions compare as integers.
+    `variable_words`; nulls form a group.  Versions compare as whole numbers
+    (`2.0` is 2); a group without any number keeps all its rows.
     """
     column = next(c for c in df.columns if key.lower() in c.lower())
     if fixed_cols is None:
         words = variable_words if variable_words is not None else VARIABLE_WORDS
         fixed_cols = [c for c in df.columns if not any(w.lower() in c.lower() for w in words)]
-    number = F.col(column).try_cast("int")
+    number = version_number(F.col(column))
     best = df.groupBy(*fixed_cols).agg(F.max(number).alias("__best"))
-    return join_null_safe(df, best, fixed_cols).where(number == F.col("__best")).select(*df.columns)
+    return join_null_safe(df, best, fixed_cols).where(number.eqNullSafe(F.col("__best"))).select(*df.columns)
 
 
 # Name parts of columns that differ between versions of one result.

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from headroom.functions.numbers import version_number
 from headroom.functions.times import format_utc
 from headroom.operators.capacity import limit_bids_by_capacity
 from headroom.operators.columns import BUSINESS_TYPES, decode
@@ -96,7 +97,7 @@ def result_headers(
         return F.when(same, F.min(name)).alias(name)
 
     return df.groupBy(*as_columns(keys)).agg(
-        F.min(start).alias(start), F.max(end).alias(end), F.max(F.col(version).try_cast("bigint")).alias(version),
+        F.min(start).alias(start), F.max(end).alias(end), F.max(version_number(F.col(version))).alias(version),
         *[single(u) for u in as_columns(uniform)],
     )
 

@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from headroom.functions.durations import DAY, duration_seconds, format_iso_duration, parse_iso_duration
+from headroom.registry import AGGREGATES
 from headroom.scale import as_columns, epoch, from_epoch, join_null_safe, literal_table, time_literal, type_of
 
 
@@ -177,16 +178,31 @@ def resample_mean(
     df: DataFrame, step: str | int, value: str, by=None, time: str = "valid_from", end: str | None = "valid_to",
     shared_range: bool = False,
 ) -> DataFrame:
-    """Mean per grid cell; cells without data are null.
+    """Mean per grid cell; cells without data are null."""
+    return _resample_by(F.avg, df, step, value, by, time, end, shared_range)
+
+
+def resample_named(df: DataFrame, how: str, step: str | int, value: str, *args, **kwargs) -> DataFrame:
+    """`resample_mean` with another aggregate of the registry (`sum`, `min`, `max` …); an unknown name leaves the data as they are."""
+    how = AGGREGATES.get(how)
+    return df if how is None else _resample_by(how, df, step, value, *args, **kwargs)
+
+
+def _resample_by(how, df: DataFrame, step: str | int, value: str, by=None, time: str = "valid_from", end: str | None = "valid_to", shared_range: bool = False) -> DataFrame:
+    """One aggregate per grid cell, from a product's first cell to the end of its last interval.
 
     Empty cells are emitted by the cell before them, not by a join with a grid.
     """
     step, by = duration_seconds(step), as_columns(by)
     end = end if end in df.columns else None
     cell = _floor_to(epoch(time), step)
-    means = df.groupBy(*by, cell.alias("cell")).agg(F.avg(value).alias(value))
+    high = F.greatest(cell, _floor_to(epoch(end), step) - step) if end else cell
+    means = df.groupBy(*by, cell.alias("cell")).agg(how(value).alias(value), F.max(high).alias("__high"))
     ordered = W.partitionBy(*by).orderBy("cell")
-    first, last = _shared_span(df, cell, cell) if shared_range else (F.col("cell"), F.col("cell"))
+    if shared_range:
+        first, last = _shared_span(df, cell, high)
+    else:
+        first, last = F.col("cell"), F.max("__high").over(W.partitionBy(*by))
     spread = means.select(
         *by, "cell", value, F.lead("cell").over(ordered).alias("__next"), F.row_number().over(ordered).alias("__rn"),
         first.alias("__first"), last.alias("__last"),
@@ -252,15 +268,14 @@ def align_resolutions(
 
 def fill_steps(
     df: DataFrame, types=None, period=("series_from", "series_to"), time=("valid_from", "valid_to"),
-    resolution: str = "resolution", start=None, end=None, tie=None, split: bool | None = None,
+    resolution: str = "resolution", start=None, end=None, tie=None,
 ) -> DataFrame:
     """Curves given as steps: every position between series start and end, fields filled forward.
 
     `start`/`end` clamp the emitted range (query window); rows outside it or
-    off the grid do not count.  Rows that share a series and time are all kept.
-    `split=False` says that a series fits one task (few positions); then rows
-    spread themselves over the gaps after them.  Otherwise rows are joined with
-    the grid and long series are filled in chunks.
+    off the grid do not count, and a series without a row on the grid is a grid
+    of nulls.  Rows that share a series and time are all kept.  Rows are joined
+    with the grid and long series are filled in chunks.
     """
     types, tie = as_columns(types), as_columns(tie)
     first, last = time
@@ -272,36 +287,6 @@ def fill_steps(
         low = F.greatest(low, epoch(time_literal(start)))
     if end is not None:
         high = F.least(high, epoch(time_literal(end)))
-    split = split is not False
-    if not split:
-        series = W.partitionBy(*keys)
-        step = parse_iso_duration(F.min(resolution).over(series))
-        rows = df.withColumns({"__low": low, "__high": high, "__step": step, "__t": epoch(first)})
-        on_grid = (
-            (F.col("__t") >= F.col("__low")) & (F.col("__t") + F.col("__step") <= F.col("__high"))
-            & ((F.col("__t") - F.col("__low")) % F.col("__step") == 0) & (epoch(last) == F.col("__t") + F.col("__step"))
-        )
-        ordered = series.orderBy("__t", *tie)
-        place = F.row_number().over(ordered)
-        placed = rows.where(on_grid).withColumns(
-            {
-                **{c: F.last(c, ignorenulls=True).over(ordered.rowsBetween(W.unboundedPreceding, W.currentRow)) for c in fields},
-                "__first": place == 1, "__after": F.lead("__t").over(ordered),
-            }
-        )
-        # the last row of a time also stands for the empty positions after it
-        stop = F.coalesce(F.col("__after"), F.col("__high"))
-        own = F.array(F.col("__t"))
-        gap = F.when(
-            F.col("__after").isNull() | (F.col("__after") > F.col("__t")), _steps(F.col("__t") + F.col("__step"), stop, F.col("__step"))
-        ).otherwise(F.array().cast("array<bigint>"))
-        ahead = F.when(F.col("__first"), _steps(F.col("__low"), F.col("__t"), F.col("__step"))).otherwise(F.array().cast("array<bigint>"))
-        spread = placed.withColumn("__at", F.explode(F.concat(ahead, own, gap)))
-        before = F.col("__at") < F.col("__t")
-        return spread.select(
-            *keys, from_epoch(F.col("__at"), kind).alias(first), from_epoch(F.col("__at") + F.col("__step"), kind).alias(last),
-            *[F.when(~before, F.col(c)).alias(c) for c in fields],
-        )
     step = parse_iso_duration(F.min(resolution)).alias("__step")
     series = df.groupBy(*keys).agg(step).withColumns({"__low": low, "__high": high})
     grid = (
@@ -313,11 +298,6 @@ def fill_steps(
     return fill_ordered(placed, fields, keys, first, tie=tie, split=True)
 
 
-def _steps(start: Column, stop: Column, step: Column) -> Column:
-    """start, start + step … below stop; none if empty."""
-    return F.when(stop > start, F.sequence(start, stop - step, step)).otherwise(F.array().cast("array<bigint>"))
-
-
 def double_weight(df: DataFrame, end, period: str | int, time: str = "valid_from", weight: str | None = None) -> DataFrame:
     """Rows of the last `period` before `end` (both included) once more.
 

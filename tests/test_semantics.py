@@ -264,11 +264,22 @@ def test_fill_steps_clamps_keeps_duplicates_and_fills_fields(spark):
     day = timedelta(days=1)
     data = [(T0, T0 + 5 * day, "x", "P1D", T0 + i * day, T0 + (i + 1) * day, v, n) for i, v, n in ((0, 1.0, 1), (1, 2.0, 2), (1, 3.0, 3), (3, None, 4))]
     df = spark.createDataFrame(data, "series_from timestamp_ntz, series_to timestamp_ntz, k string, resolution string, valid_from timestamp_ntz, valid_to timestamp_ntz, v double, n int")
-    for split in (False, True):
-        got = rows(s.fill_steps(df, "k", tie="n", split=split).select("valid_from", "v", "n"))
-        assert got == [(T0, 1.0, 1), (T0 + day, 2.0, 2), (T0 + day, 3.0, 3), (T0 + 2 * day, 3.0, 3), (T0 + 3 * day, 3.0, 4), (T0 + 4 * day, 3.0, 4)]
-        cut = rows(s.fill_steps(df, "k", tie="n", start=T0 + day, end=T0 + 3 * day, split=split).select("valid_from", "v"))
-        assert cut == [(T0 + day, 2.0), (T0 + day, 3.0), (T0 + 2 * day, 3.0)]
+    got = rows(s.fill_steps(df, "k", tie="n").select("valid_from", "v", "n"))
+    assert got == [(T0, 1.0, 1), (T0 + day, 2.0, 2), (T0 + day, 3.0, 3), (T0 + 2 * day, 3.0, 3), (T0 + 3 * day, 3.0, 4), (T0 + 4 * day, 3.0, 4)]
+    cut = rows(s.fill_steps(df, "k", tie="n", start=T0 + day, end=T0 + 3 * day).select("valid_from", "v"))
+    assert cut == [(T0 + day, 2.0), (T0 + day, 3.0), (T0 + 2 * day, 3.0)]
+    # no row of the series lies in the window: its grid is empty, not missing
+    empty = rows(s.fill_steps(df, "k", tie="n", start=T0 + 4 * day, end=T0 + 5 * day).select("k", "valid_from", "v"))
+    assert empty == [("x", T0 + 4 * day, None)]
+
+
+def test_resample_mean_runs_to_the_end_of_the_last_interval(spark):
+    hour = timedelta(hours=1)
+    df = spark.createDataFrame([(T0, T0 + hour, 1.0), (T0 + hour, T0 + 2 * hour, 2.0)], "valid_from timestamp_ntz, valid_to timestamp_ntz, v double")
+    fine = rows(s.resample_mean(df, "PT15M", "v").select("valid_from", "v"))
+    assert len(fine) == 8 and fine[0][1] == 1.0 and fine[4][1] == 2.0 and fine[7] == (T0 + 7 * hour / 4, None)
+    assert rows(s.resample_named(df, "sum", "PT2H", "v").select("v")) == [(3.0,)]
+    assert s.resample_named(df, "unknown", "PT2H", "v") is df
 
 
 def test_period_bounds_couple_to_the_validity_period(spark):
