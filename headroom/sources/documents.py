@@ -30,12 +30,14 @@ DOCUMENT_TYPES = {
 _INTERVAL = "struct<start:string,end:string>"
 _CODED = "struct<_codingScheme:string,_VALUE:string>"
 _POINT = "struct<position:int,quantity:double,secondaryQuantity:double,`price.amount`:double>"
+_REASONS = "array<struct<code:string,text:string>>"
 _PERIOD = f"array<struct<timeInterval:{_INTERVAL},resolution:string,Point:array<{_POINT}>>>"
 _SERIES_TEXT = (
     "mRID", "businessType", "auction.mRID", "auction.type", "contract_MarketAgreement.type", "marketAgreement.type",
     "quantity_Measurement_Unit.name", "measurement_Unit.name", "price_Measurement_Unit.name", "secondary_Measurement_Unit.name",
     "currency_Unit.name", "divisible", "flowDirection.direction", "curveType", "product", "exclusiveBidsIdentification",
-    "classificationSequence_AttributeInstanceComponent.position", "Standard_MarketProduct.marketProductType",
+    "classificationSequence_AttributeInstanceComponent.position", "standard_MarketProduct.marketProductType",
+    "bid_Original_MarketDocument.mRID", "bid_Original_MarketDocument.revisionNumber", "bid_Original_MarketDocument.bid_BidTimeSeries.mRID",
 )
 _SERIES_CODED = ("acquiring_Domain.mRID", "connecting_Domain.mRID", "in_Domain.mRID", "out_Domain.mRID", "area_Domain.mRID")
 _DOC_TEXT = (
@@ -48,16 +50,16 @@ _DOC_CODED = ("sender_MarketParticipant.mRID", "receiver_MarketParticipant.mRID"
 def document_schema(doc_type: str) -> T.StructType:
     """Explicit schema of a document type: no inference pass over the corpus."""
     series, interval = DOCUMENT_TYPES.get(doc_type, ("TimeSeries", "period.timeInterval"))
-    inner = ",".join([*[f"`{n}`:string" for n in _SERIES_TEXT], *[f"`{n}`:{_CODED}" for n in _SERIES_CODED], f"Period:{_PERIOD}"])
+    inner = ",".join([*[f"`{n}`:string" for n in _SERIES_TEXT], *[f"`{n}`:{_CODED}" for n in _SERIES_CODED], f"Reason:{_REASONS}", f"Period:{_PERIOD}"])
     outer = ",".join(
         [*[f"`{n}` string" for n in _DOC_TEXT], *[f"`{n}` {_CODED}" for n in _DOC_CODED], f"`{interval}` {_INTERVAL}",
-         "docStatus struct<value:string>", f"`{series}` array<struct<{inner}>>"]
+         "docStatus struct<value:string>", f"Reason {_REASONS}", f"`{series}` array<struct<{inner}>>"]
     )
     return T._parse_datatype_string(outer)
 
 
 def _leaves(column: Column, kind: T.DataType, name: str, skip: str | None = None) -> list[Column]:
-    """Scalar fields of a struct as dotted columns; arrays and the `skip` field are left out."""
+    """Fields of a struct as dotted columns, but for the `skip` field; what repeats (reasons) stays an array."""
     if isinstance(kind, T.StructType):
         found = []
         for field in kind.fields:
@@ -69,7 +71,7 @@ def _leaves(column: Column, kind: T.DataType, name: str, skip: str | None = None
                 path = ".".join(p for p in (name, field.name.removeprefix("_")) if p)
             found += _leaves(column.getField(field.name), field.dataType, path)
         return found
-    return [] if isinstance(kind, T.ArrayType) else [column.alias(name)]
+    return [column.alias(name)]
 
 
 def _field(kind: T.StructType, ending: str) -> T.StructField:
