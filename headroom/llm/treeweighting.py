@@ -137,44 +137,47 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return at, keys[at] == wanted
 
 
+def _decisions(codes: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted decision points of the codes, and how often 0 and 1 came at each."""
+    parts = []
+    for bit in range(8):  # decision points of different bits differ
+        node, back = np.unique(_nodes(codes, bit), return_inverse=True)
+        one = np.bincount(back, n * ((codes >> U(7 - bit)) & U(1)).astype(bool), len(node))
+        parts.append((node, np.bincount(back, n, len(node)) - one, one))
+    keys, zeros, ones = (np.concatenate(x) for x in zip(*parts))
+    order = np.argsort(keys)
+    return keys[order], zeros[order], ones[order]
+
+
 class Tree:
     """Weighted context trees from byte-string counts: `counts[d]` = (codes of d + 1 bytes, counts)."""
 
     def __init__(self, counts: list[tuple[np.ndarray, np.ndarray]]):
         self.keys, self.ones, self.own = [], [], []
-        zeros, ones = [], []
-        for codes, n in counts:
-            parts = []
-            for bit in range(8):  # decision points of different bits differ
-                node, back = np.unique(_nodes(codes, bit), return_inverse=True)
-                one = np.bincount(back, n * ((codes >> U(7 - bit)) & U(1)).astype(bool), len(node))
-                parts.append((node, np.bincount(back, n, len(node)) - one, one))
-            keys, zero, one = (np.concatenate(x) for x in zip(*parts))
-            order = np.argsort(keys)
-            self.keys.append(keys[order])
-            zeros.append(zero[order])
-            ones.append(one[order])
+        self._weigh(counts)
+        # Per depth: the strings of kept contexts with the logs, where that depth is the last one kept, and the contexts.
+        self.codes = [np.sort(c) for c, _ in counts]
+        self.logs = [self.log10_probability(c, d + 1).astype(np.float32) for d, c in enumerate(self.codes)]
+        self.contexts = [np.unique(c >> U(8)) for c in self.codes]
+
+    def _weigh(self, counts: list[tuple[np.ndarray, np.ndarray]]) -> None:
         below = None
-        for d in range(len(counts) - 1, -1, -1):
-            own = log_kt(zeros[d], ones[d])
+        for codes, n in reversed(counts):  # the deepest first: only two depths are held with their counts
+            keys, zeros, ones = _decisions(codes, n)
+            own = log_kt(zeros, ones)
             if below is None:
                 mixed, weight = own, np.ones(len(own))
             else:
-                keys = self.keys[d + 1]
-                parent = (keys >> U(8) & (CODE_MASKS[d] >> U(8))) << U(8) | (keys & U(255))
-                at, known = _find(self.keys[d], parent)
-                children = np.bincount(at[known], below[known], len(own)) if len(own) else own
-                rest = [x[d] - np.bincount(at[known], x[d + 1][known], len(own)) for x in (zeros, ones)] if len(own) else [own, own]
-                children = children + log_kt(*rest)
+                parent = (below[0] >> U(8) & (CODE_MASKS[len(counts) - len(self.keys) - 1] >> U(8))) << U(8) | (below[0] & U(255))
+                at, known = _find(keys, parent)
+                sums = [np.bincount(at[known], x[known], len(own)) if len(own) else own for x in below[1:]]
+                children = sums[2] + log_kt(zeros - sums[0], ones - sums[1])
                 mixed = np.logaddexp(np.log(0.5) + own, np.log(0.5) + children)
                 weight = np.exp(np.log(0.5) + own - mixed)
+            self.keys.insert(0, keys)
             self.own.insert(0, weight.astype(np.float32))
-            below = mixed
-        self.ones = [((b + 0.5) / (a + b + 1)).astype(np.float32) for a, b in zip(zeros, ones)]  # estimate of a 1 at each node
-        # Per depth: the strings of kept contexts with the logs, where that depth is the last one kept, and the contexts.
-        self.codes = [np.sort(c) for c, _ in counts]
-        self.logs = [self.log10_probability(c, d + 1).astype(np.float32) for d, c in enumerate(self.codes)]
-        self.contexts = [np.unique(c >> U(8)) for c in self.codes]
+            self.ones.insert(0, ((ones + 0.5) / (zeros + ones + 1)).astype(np.float32))  # estimate of a 1 at each node
+            below = keys, zeros, ones, mixed
 
     def log10_probability(self, codes: np.ndarray, depths: int | None = None) -> np.ndarray:
         """Of each code's last byte after those before it, by the contexts of the first `depths` depths."""
@@ -225,17 +228,15 @@ def fit(texts: DataFrame, text: str = "text") -> Tree:
     counted = own.mapInArrow(_counted(lambda data, offsets: coded(data, offsets)[0]), "key long, n long")
     counted = stored(counted.groupBy("key").agg(F.sum("n").alias("n")), "contexts")
     total = counted.agg(F.sum("n")).first()[0] or 0
-    depths = None
+    counts = []
     for d in range(DEPTH + 1):
         cut = F.col("key").bitwiseAND(F.lit(int(CODE_MASKS[d].astype(np.int64))))
         one = counted.groupBy(cut.alias("key")).agg(F.sum("n").alias("n"))
         context = F.shiftrightunsigned("key", 8).alias("context")
         kept = one.groupBy(context).agg(F.sum("n").alias("m")).filter(F.col("m") >= total * LEAST_SHARE).select("context")
-        one = one.withColumn("context", context).join(kept, "context", "left_semi").select(F.lit(d).alias("depth"), "key", "n")
-        depths = one if depths is None else depths.union(one)
-    found = depths.toArrow()
-    depth, keys, n = (found[c].to_numpy() for c in ("depth", "key", "n"))
-    return Tree([(keys[depth == d].view(np.uint64), n[depth == d]) for d in range(DEPTH + 1)])
+        found = one.withColumn("context", context).join(kept, "context", "left_semi").select("key", "n").toArrow()
+        counts.append(tuple(found[c].to_numpy() for c in ("key", "n")))
+    return Tree([(keys.view(np.uint64), n) for keys, n in counts])
 
 
 SCORED = "doc long, held_out boolean, tokens long, known long, logs double, score double, rare array<long>"
