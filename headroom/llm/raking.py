@@ -59,12 +59,12 @@ def raked(cells: DataFrame, powers: dict[str, float] = POWERS, sweeps: int = SWE
         marginal = stored(cells.groupBy(axis).agg(F.pow(F.sum("tokens").cast("double"), F.lit(float(power))).alias("mass")), "target")
         mass = marginal.agg(F.sum("mass")).first()[0] or 1.0
         targets[axis] = marginal.select(axis, (F.col("mass") / mass * total).alias("target"))
-    for sweep in range(sweeps):
+    for _ in range(sweeps):
         for axis in powers:
             sums = fitted.groupBy(axis).agg(F.sum("raked").alias("now"))
             factor = sums.join(targets[axis], axis).select(axis, (F.col("target") / F.col("now")).alias("factor"))
-            fitted = fitted.join(factor, axis).withColumn("raked", F.col("raked") * F.col("factor")).drop("factor")
-        fitted = stored(fitted, "raked")  # cells only; keeps plans short
+            # cells only; stored at each axis, as a plan over several would hold each axis twice as often as the one after it
+            fitted = stored(fitted.join(factor, axis).withColumn("raked", F.col("raked") * F.col("factor")).drop("factor"), "raked")
     return fitted
 
 
