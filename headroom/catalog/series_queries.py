@@ -61,7 +61,7 @@ def double_weight(spark, sf):
 
 def time_slices(spark, sf):
     slices = s.time_slices(spark, DAY0 - timedelta(hours=1), DAY1 - timedelta(hours=1), 6, zone="CET")
-    counts = v.bids(spark, sf).select("valid_from").where(F.col("valid_from") < F.lit(DAY1))
+    counts = v.bids(spark, sf).select("valid_from")
     tagged = slice_time_of_day(counts.withColumnRenamed("valid_from", "t"), slices, "t")
     joined = tagged.join(slices, "position")
     return joined.groupBy("position", "valid_from", "valid_to", "start_time", "end_time", "number_of_points").agg(F.count("*").alias("n"))
@@ -180,7 +180,7 @@ select valid_from, sum(case when valid_from between timestamp '2024-01-21' and t
  round(sum(quantity*case when valid_from between timestamp '2024-01-21' and timestamp '2024-01-31' then 2 else 1 end),4) quantity from bids group by 1"""),
     "time_slices": oracle("bids", SLICES + """
 select "position", timestamp '2023-12-31 23:00:00' + ("position"-1)*interval 4 hours valid_from, timestamp '2023-12-31 23:00:00' + "position"*interval 4 hours valid_to,
- start_time, end_time, 6 number_of_points, count(*) n from (select valid_from t from bids where valid_from < timestamp '2024-01-02') join slice
+ start_time, end_time, 6 number_of_points, count(*) n from (select valid_from t from bids) join slice
  on strftime(timezone('CET', timezone('UTC', t)),'%H:%M:%S') between start_time and end_time group by all"""),
     "position_times": oracle("steps", """select series_id, "position", valid_from, valid_to from steps"""),
     "series_bounds": oracle("steps", """select series_id, "position", series_from, series_to, 7 number_of_points from steps"""),
