@@ -116,15 +116,17 @@ def distinct_rows(spark, sf):
 
 
 def append_missing(spark, sf):
-    old = v.realised(spark, sf).where("sender = 0").select(*KEYS, "level", "value")
-    new = v.proposed(spark, sf).where("version_number = '1'").withColumn("level", F.col("level") - 2).select(*KEYS, "level", "value")
-    return m.append_missing(old, new, [*KEYS, "level"])
+    old = v.realised(spark, sf).select(*KEYS, "level", "sender", "value")
+    new = v.proposed(spark, sf).select(*KEYS, (F.col("level") - 2).alias("level"), F.col("version_number").cast("int").alias("sender"), "value")
+    return m.append_missing(old, new, [*KEYS, "level", "sender"])
 
 
 def update_by_key(spark, sf):
-    old = v.realised(spark, sf).where("sender = 0").select(*KEYS, "level", "value", "received")
-    new = v.proposed(spark, sf).where("version_number = '1'").select(*KEYS, (F.col("level") - 2).alias("level"), F.when(F.col("level") != 98, F.col("value")).alias("value"))
-    return m.update_by_key(old, new, [*KEYS, "level"])
+    old = v.realised(spark, sf).select(*KEYS, "level", "sender", "value", "received")
+    new = v.proposed(spark, sf).select(
+        *KEYS, (F.col("level") - 2).alias("level"), F.col("version_number").cast("int").alias("sender"), F.when(F.col("level") != 98, F.col("value")).alias("value")
+    )
+    return m.update_by_key(old, new, [*KEYS, "level", "sender"])
 
 
 QUERIES = {q.__name__: q for q in (
@@ -182,9 +184,10 @@ select 'NCPB' result_type, 'A24' message_type, 'A14' process_type, case product
     "union_all": oracle("proposed realised", """select area, direction, "level", version_number, "value", null::int sender, null::timestamp received from proposed
 union all select area, direction, "level", null, "value", sender, received from realised"""),
     "distinct_rows": """select l_orderkey, l_linenumber, l_shipdate, l_partkey, l_suppkey from (select *, row_number() over (partition by l_orderkey, l_linenumber order by l_shipdate, l_partkey, l_suppkey, l_extendedprice) k from lineitem) where k=1""",
-    "append_missing": oracle("proposed realised", """, o as (select area, direction, "level", "value" from realised where sender=0)
-select * from o union all select area, direction, "level"-2, "value" from proposed p where version_number='1' and not exists (select 1 from o where o.area=p.area and o.direction=p.direction and o."level"=p."level"-2)"""),
-    "update_by_key": oracle("proposed realised", """, o as (select area, direction, "level", "value", received from realised where sender=0),
- n as (select area, direction, "level"-2 "level", case when "level"<>98 then "value" end nv from proposed where version_number='1')
-select area, direction, "level", coalesce(nv, "value") "value", received from o full join n using (area, direction, "level")"""),
+    "append_missing": oracle("proposed realised", """, o as (select area, direction, "level", sender, "value" from realised)
+select * from o union all select area, direction, "level"-2, cast(version_number as int), "value" from proposed p
+where not exists (select 1 from o where o.area=p.area and o.direction=p.direction and o."level"=p."level"-2 and o.sender=cast(p.version_number as int))"""),
+    "update_by_key": oracle("proposed realised", """, o as (select area, direction, "level", sender, "value", received from realised),
+ n as (select area, direction, "level"-2 "level", cast(version_number as int) sender, case when "level"<>98 then "value" end nv from proposed)
+select area, direction, "level", sender, coalesce(nv, "value") "value", received from o full join n using (area, direction, "level", sender)"""),
 }
