@@ -7,11 +7,16 @@ mixes, at every node, its own estimate with the product of its children's
 (one half each), which sums over all tree shapes.  The weights after learning give
 the mixture by which a text is coded; its code length is the score.
 
-Contexts are counted over all learning texts by Spark.  The tree is cut to the
-contexts whose share of the corpus is at least `LEAST_SHARE`, so it has at most
-1 / LEAST_SHARE contexts a depth whatever the corpus; that bounds what is broadcast.
-What came in contexts that were cut counts as one more child of their parent.
-A context that is not in the tree predicts as the longest one that is.
+Byte strings of DEPTH + 1 are counted over all texts by Spark, and every context that
+was seen is in the tree.  Contexts in the order of their nearest byte, then the next,
+are dealt into parts of about `CODES` strings, so that a subtree lies in one part but
+for the contexts at the parts' bounds, at most two a depth and part.  Those send their
+counts and the sums of their whole children to the driver, which weighs them and
+gives the weights back; then each part knows the probability of each of its strings.
+A context that was never seen predicts as the longest one that was.
+
+Strings with a share of at least `CODE_SHARE` are looked up in a broadcast array, at
+most 1 / CODE_SHARE of them; all others are joined by a shuffle.
 
 Text is coded as its words in A-Z lower case, one space between, one end sign.
 
@@ -32,11 +37,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headroom.llm.scratch import stored
+from headroom.llm.scratch import drop_stored, stored
 from headroom.llm.texts import LOWER, SPACE, U, documents, flat, share_of, slices, words
 
 DEPTH = 6  # with its byte a context has to fit 64 bits
-LEAST_SHARE = 2.0**-18  # of the corpus, for a context to be kept
+CODES = 1 << 17  # byte strings of a part of the tree, about
+CODE_SHARE = 2.0**-20  # for a byte string to be looked up without a shuffle
 WORD_SHARE = 2.0**-21  # for a word to be looked up without a shuffle
 END = 10  # code of the end sign
 SMOOTH = 0.1
@@ -149,9 +155,38 @@ def _decisions(codes: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[order], zeros[order], ones[order]
 
 
+def _mixed(zeros: np.ndarray, ones: np.ndarray, children: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Weighted log probability at each decision point, and the weight of its own estimate."""
+    own = log_kt(zeros, ones)
+    if depth == DEPTH:
+        return own, np.ones(len(own))
+    mixed = np.logaddexp(np.log(0.5) + own, np.log(0.5) + children)
+    return mixed, np.exp(np.log(0.5) + own - mixed)
+
+
+def _parents(nodes: np.ndarray, depth: int) -> np.ndarray:
+    """Decision points at `depth` above those one deeper."""
+    return (nodes >> U(8) & (CODE_MASKS[depth] >> U(8))) << U(8) | (nodes & U(255))
+
+
+def _turned(codes: np.ndarray) -> np.ndarray:
+    """Contexts with the nearest byte in front, so that those alike in their nearest bytes are neighbours."""
+    out = np.zeros_like(codes)
+    for d in range(1, DEPTH + 1):
+        out = out << U(8) | codes >> U(8 * d) & U(255)
+    return out
+
+
 class Tree:
     """Weighted context trees from byte-string counts: `counts[d]` = (codes of d + 1 bytes, counts)."""
 
+    @classmethod
+    def of(cls, keys: list[np.ndarray], ones: list[np.ndarray], own: list[np.ndarray]) -> "Tree":
+        """A tree for `log10_probability` from decision points, estimates of a 1 and own weights of each depth."""
+        tree = cls.__new__(cls)
+        tree.keys, tree.ones, tree.own = keys, ones, own
+        return tree
+
     def __init__(self, counts: list[tuple[np.ndarray, np.ndarray]]):
         self.keys, self.ones, self.own = [], [], []
         self._weigh(counts)
@@ -168,8 +203,7 @@ class Tree:
             if below is None:
                 mixed, weight = own, np.ones(len(own))
             else:
-                parent = (below[0] >> U(8) & (CODE_MASKS[len(counts) - len(self.keys) - 1] >> U(8))) << U(8) | (below[0] & U(255))
-                at, known = _find(keys, parent)
+                at, known = _find(keys, _parents(below[0], len(counts) - len(self.keys) - 1))
                 sums = [np.bincount(at[known], x[known], len(own)) if len(own) else own for x in below[1:]]
                 children = sums[2] + log_kt(zeros - sums[0], ones - sums[1])
                 mixed = np.logaddexp(np.log(0.5) + own, np.log(0.5) + children)
@@ -222,29 +256,136 @@ class Tree:
             logs[at] = self.log10_probability(missing)[back]
 
 
-def fit(texts: DataFrame, text: str = "text") -> Tree:
-    """Context trees of all rows of `texts`."""
-    own = texts.select(F.col(text).cast("string").alias("text"))
-    counted = own.mapInArrow(_counted(lambda data, offsets: coded(data, offsets)[0]), "key long, n long")
-    counted = stored(counted.groupBy("key").agg(F.sum("n").alias("n")), "contexts")
-    total = counted.agg(F.sum("n")).first()[0] or 0
-    counts = []
-    for d in range(DEPTH + 1):
-        cut = F.col("key").bitwiseAND(F.lit(int(CODE_MASKS[d].astype(np.int64))))
-        one = counted.groupBy(cut.alias("key")).agg(F.sum("n").alias("n"))
-        context = F.shiftrightunsigned("key", 8).alias("context")
-        kept = one.groupBy(context).agg(F.sum("n").alias("m")).filter(F.col("m") >= total * LEAST_SHARE).select("context")
-        found = one.withColumn("context", context).join(kept, "context", "left_semi").select("key", "n").toArrow()
-        counts.append(tuple(found[c].to_numpy() for c in ("key", "n")))
-    return Tree([(keys.view(np.uint64), n) for keys, n in counts])
+def _in_order(batches):
+    """Strings as their turned context and byte, so that one number gives both order and string."""
+    for batch in batches:
+        codes = batch.column(0).to_numpy().view(np.uint64)
+        line = _turned(codes) << U(8) | codes & U(255)
+        yield pa.RecordBatch.from_arrays([pa.array(line.view(np.int64)), *batch.columns[1:]], names=["line", "n", "m"])
+
+
+def _with_part(bounds: np.ndarray):
+    def deal(batches):
+        for batch in batches:
+            line = batch.column(0).to_numpy().view(np.uint64)
+            part = np.searchsorted(bounds, line >> U(8), "right").astype(np.int64)
+            codes = _turned(line) << U(8) | line & U(255)  # turned twice is as before
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(codes.view(np.int64)), *batch.columns[1:]], names=["part", "key", "n", "m"])
+
+    return deal
+
+
+class _Part:
+    """The codes of a part and its decision points, deepest first, of contexts that lie whole in it or reach over its bounds."""
+
+    def __init__(self, table: pa.Table, bounds: np.ndarray):
+        self.codes = table["key"].to_numpy().view(np.uint64)
+        self.n, self.m = (table[c].to_numpy() for c in ("n", "m"))
+        part = table["part"][0].as_py()
+        self.ends = _turned(bounds[max(part - 1, 0) : part + 1] << U(8))
+
+    def levels(self):
+        """(depth, decision points, zeros, ones, sums of their whole children, weights, whole or not)."""
+        seen, below = self.n > 0, None
+        for d in range(DEPTH, -1, -1):
+            codes, back = np.unique(self.codes[seen] & CODE_MASKS[d], return_inverse=True)
+            keys, zeros, ones = _decisions(codes, np.bincount(back, self.n[seen], len(codes)))
+            whole = ~self.over(keys, d)
+            children = np.zeros(len(keys))
+            if below is not None and len(keys):
+                children = np.bincount(np.searchsorted(keys, _parents(below[0], d)), below[1], len(keys))
+            mixed, weight = _mixed(zeros, ones, children, d)
+            yield d, keys, zeros, ones, children, weight, whole
+            below = keys[whole], mixed[whole]
+
+    def over(self, nodes: np.ndarray, depth: int) -> np.ndarray:
+        """Which decision points are of contexts that reach over a bound of the part."""
+        return np.isin(nodes >> U(8), self.ends & (CODE_MASKS[depth] >> U(8)))
+
+
+SHARED = "depth long, node long, zeros double, ones double, children double"
+
+
+def _shared(bounds: np.ndarray):
+    """applyInArrow function: what a part adds to the decision points that it shares with others."""
+
+    def share(table: pa.Table) -> pa.Table:
+        parts = []
+        for d, keys, zeros, ones, children, _, whole in _Part(table, bounds).levels():
+            at = np.flatnonzero(~whole)
+            parts.append((np.full(len(at), d), keys[at].view(np.int64), *(x[at].astype(float) for x in (zeros, ones, children))))
+        columns = (np.concatenate(x) for x in zip(*parts))
+        return pa.table(dict(zip(("depth", "node", "zeros", "ones", "children"), columns)))
+
+    return share
+
+
+def _joined(shared: pa.Table) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Per depth the decision points that parts share: sorted, with estimates of a 1 and own weights."""
+    depth, zeros, ones, children = (shared[c].to_numpy() for c in ("depth", "zeros", "ones", "children"))
+    nodes, out, below = shared["node"].to_numpy().view(np.uint64), [], None
+    for d in range(DEPTH, -1, -1):
+        at = np.flatnonzero(depth == d)
+        at = at[np.argsort(nodes[at])]
+        keys, sums = nodes[at], children[at]
+        if below is not None and len(keys):
+            sums = sums + np.bincount(np.searchsorted(keys, _parents(below[0], d)), below[1], len(keys))
+        mixed, weight = _mixed(zeros[at], ones[at], sums, d)
+        out.insert(0, (keys, (ones[at] + 0.5) / (zeros[at] + ones[at] + 1), weight))
+        below = keys, mixed
+    return out
+
+
+def _logs(bounds: np.ndarray, held):
+    """applyInArrow function: the log10 probability of each string of a part."""
+
+    def log(table: pa.Table) -> pa.Table:
+        part, tree = _Part(table, bounds), []
+        for d, keys, zeros, ones, _, weight, whole in part.levels():
+            shared = held.value[d]
+            near = np.flatnonzero(part.over(shared[0], d))
+            own = (keys[whole], ((ones + 0.5) / (zeros + ones + 1))[whole], weight[whole])
+            both = [np.concatenate((x, y[near])) for x, y in zip(own, shared)]
+            order = np.argsort(both[0])
+            tree.insert(0, [x[order] for x in both])
+        logs = Tree.of(*map(list, zip(*tree))).log10_probability(part.codes)
+        return pa.table({"key": table["key"], "m": table["m"], "log": logs})
+
+    return log
+
+
+def code_logs(texts: DataFrame, codes: int = CODES) -> DataFrame:
+    """texts (text, learn) -> key, m, log: every byte string of all texts, how often it is there, and its log10 probability after learning."""
+    counted = _counted(lambda data, offsets: coded(data, offsets)[0])
+    parts = [texts.filter(on).select("text").mapInArrow(counted, "key long, n long") for on in (F.col("learn"), ~F.col("learn"))]
+    both = parts[0].select("key", "n", F.col("n").alias("m")).union(parts[1].select("key", F.lit(0).cast("long"), "n"))
+    both = both.groupBy("key").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
+    both = stored(both.mapInArrow(_in_order, "line long, n long, m long"), "codes")
+    many = -(-both.count() // codes)
+    bounds = []
+    if many > 1:  # a context of full length has at most 256 strings, so parts are of like size
+        bounds = both.select(F.percentile_approx(F.shiftrightunsigned("line", 8), [k / many for k in range(1, many)], max(10_000, 20 * many))).first()[0]
+    bounds = np.unique(np.array(bounds, np.int64)).view(np.uint64)
+    dealt = both.mapInArrow(_with_part(bounds), "part long, key long, n long, m long")
+    shared = dealt.groupBy("part").applyInArrow(_shared(bounds), SHARED)
+    shared = stored(shared.groupBy("depth", "node").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "children")]), "shared")
+    held = texts.sparkSession.sparkContext.broadcast(_joined(shared.toArrow()))
+    logs = stored(dealt.groupBy("part").applyInArrow(_logs(bounds, held), "key long, m long, log double"), "logs")
+    drop_stored(both)
+    return logs
+
+
+def _by_key(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(keys)
+    return keys[order], values[order]
 
 
-SCORED = "doc long, held_out boolean, tokens long, known long, logs double, score double, rare array<long>"
+SCORED = "doc long, held_out boolean, tokens long, known long, logs double, score double, rare array<long>, codes array<long>"
 
 
 def _scored(held):
     def score(batches):
-        tree, frequent, logs = held.value
+        strings, string_logs, frequent, logs = held.value
         for batch in batches:
             data, offsets = flat(batch.column(2))
             for a, b in slices(offsets):
@@ -255,26 +396,32 @@ def _scored(held):
                 value = np.where(known, logs[at], 0.0) if len(logs) else np.zeros(len(token))
                 before, kept, rest = (np.concatenate(([0], np.cumsum(x)))[first] for x in (value, known, ~known))
                 rare = pa.ListArray.from_arrays(pa.array(rest.astype(np.int32)), pa.array(token[~known].view(np.int64)))
-                columns = [batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(np.diff(first)), pa.array(np.diff(kept)), pa.array(np.diff(before)), pa.array(tree.score(*coded(own, cut))), rare]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc", "held_out", "tokens", "known", "logs", "score", "rare"])
+                code, place = coded(own, cut)
+                at, known = _find(strings, code)
+                value = np.where(known, string_logs[at], 0.0) if len(strings) else np.zeros(len(code))
+                rest = np.concatenate(([0], np.cumsum(~known)))[place]
+                codes = pa.ListArray.from_arrays(pa.array(rest.astype(np.int32)), pa.array(code[~known].view(np.int64)))
+                columns = [batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(np.diff(first)), pa.array(np.diff(kept)), pa.array(np.diff(before)), pa.array(np.add.reduceat(value, place[:-1])), rare, codes]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc", "held_out", "tokens", "known", "logs", "score", "rare", "codes"])
 
     return score
 
 
-def scored(docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
+def scored(docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "text", codes: int = CODES) -> DataFrame:
     """doc, held_out, n_tokens, n_known, train_tokens, base_score, score; learning from rows that are not held out."""
     spark = docs.sparkSession
     own = docs.select(F.col(key).cast("long").alias("doc"), held_out.alias("held_out"), F.col(text).cast("string").alias("text"))
     learn = own.filter(~F.col("held_out")).select("text")
-    tree = fit(learn)
+    strings = code_logs(own.select("text", F.coalesce(~F.col("held_out"), F.lit(False)).alias("learn")), codes)
+    least = (strings.agg(F.sum("m")).first()[0] or 0) * CODE_SHARE
+    common = strings.filter(F.col("m") >= least).select("key", "log").toArrow()
     count = stored(learn.mapInArrow(_counted(lambda data, offsets: words(data, offsets)[0]), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "words")
     texts = learn.count()
     seen, kinds = count.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     total, kinds = seen + texts, kinds + (texts > 0)  # with one end a text
     table = count.filter(F.col("n") >= total * WORD_SHARE).toArrow()
-    keys, n = table["key"].to_numpy().view(np.uint64), table["n"].to_numpy()
-    order = np.argsort(keys)
-    held = spark.sparkContext.broadcast((tree, keys[order], np.log10(n[order] + SMOOTH)))
+    keys, n = _by_key(table["key"].to_numpy().view(np.uint64), table["n"].to_numpy())
+    held = spark.sparkContext.broadcast((*_by_key(common["key"].to_numpy().view(np.uint64), common["log"].to_numpy()), keys, np.log10(n + SMOOTH)))
     first = stored(own.mapInArrow(_scored(held), SCORED).withColumn("row", F.monotonically_increasing_id()), "scored")
     rare = first.select("row", F.explode("rare").alias("key")).groupBy("row", "key").agg(F.count(F.lit(1)).alias("times"))
     joined = rare.join(count, "key", "left").withColumn("n", F.coalesce("n", F.lit(0)))
@@ -282,10 +429,13 @@ def scored(docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "
         F.sum(F.col("times") * F.log10(F.col("n") + SMOOTH)).alias("more"), F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("also"))
     end = float(np.log10(texts + SMOOTH))
     each = float(np.log10(total + SMOOTH * (kinds + 1)))
-    whole = first.drop("rare").join(sums, "row", "left")
+    spread = first.select("row", F.explode("codes").alias("key"))
+    deep = spread.join(strings.filter(F.col("m") < least).select("key", "log"), "key").groupBy("row").agg(F.sum("log").alias("deep"))
+    whole = first.drop("rare", "codes").join(sums, "row", "left").join(deep, "row", "left")
     return whole.select(
         "doc", "held_out", (F.col("tokens") + 1).alias("n_tokens"), (F.col("known") + F.coalesce("also", F.lit(0)) + int(texts > 0)).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("logs") + F.coalesce("more", F.lit(0.0)) + end - (F.col("tokens") + 1) * each).alias("base_score"), "score")
+        (F.col("logs") + F.coalesce("more", F.lit(0.0)) + end - (F.col("tokens") + 1) * each).alias("base_score"),
+        (F.col("score") + F.coalesce("deep", F.lit(0.0))).alias("score"))
 
 
 def op6_context_tree_weighting(spark: SparkSession, sf_dir: str) -> DataFrame:

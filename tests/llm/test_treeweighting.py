@@ -131,3 +131,27 @@ def test_codes_of_a_text_are_its_own():
     codes, offsets = c.coded(*flat(pa.array([" Ab  c ", "", None, "b"])))
     assert offsets.tolist() == [0, 5, 6, 7, 9]
     assert bytes(int(x) & 255 for x in codes) == b"ab c\n\n\nb\n" and int(codes[7]) == ord("b")
+
+
+def test_no_context_is_cut_whatever_the_size(table, monkeypatch):
+    """Over 262,144 coded bytes a context seen once still has its own estimate, in several parts and with strings joined by a shuffle."""
+    import pyarrow as pa
+
+    draw = np.random.default_rng(7)
+    pool = ["".join(draw.choice(list("abcdefghij"), 5)) for _ in range(3000)]
+    rows = [(i, " ".join(draw.choice(pool, 900))) for i in range(60)] + [(1000, "Qqx zyx"), (1001, "qqx zyx qqx")]
+    monkeypatch.setattr(c, "CODE_SHARE", 2.0**-10)
+    got = {r.doc: r.score for r in c.scored(table(rows), c.share_of("doc_id", 10) == 0, codes=5000).collect()}
+    learn = [t for i, t in rows if crc32(str(i).encode()) % 10]
+    codes, _ = c.coded(*flat(pa.array(learn)))
+    assert len(codes) > 262_144 + 5000
+    whole = c.Tree([np.unique(codes & m, return_counts=True) for m in c.CODE_MASKS])
+    for i, t in rows:
+        code, _ = c.coded(*flat(pa.array([t])))
+        assert got[i] == pytest.approx(whole.log10_probability(code).sum(), rel=1e-5)
+
+
+def test_parts_of_the_tree_agree_with_brute_force(table):
+    text = "The cat  sat on the mat. the\n\nCat the dog and a cab"
+    rows = [(i, " ".join(text.split()[i % 5 :][: 3 + i % 7])) for i in range(60)] + [(None, "the cat"), (73, "zebra zz the")]
+    check(rows, c.scored(table(rows), c.share_of("doc_id", 10) == 0, codes=9).collect())
