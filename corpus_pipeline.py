@@ -23,14 +23,22 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.scored(docs, toxicity.fit(labelled), score="__score").filter("__score < 0.5").select(docs.columns)
 
 
+def with_row(docs: DataFrame) -> DataFrame:
+    """`docs` with a key of each row, `__row`, stored so that it stays the same; ids may be null or repeated."""
+    return stored(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the smallest id, of each class of documents that are 0.8 alike."""
-    return minhash.deduplicated(docs, 80)
+    """One row, that of the smallest id (null ids last), of each class of rows that are 0.8 alike."""
+    rows = with_row(docs)
+    classes = minhash.near_duplicates(rows, 80, key="__row").select("__row", "component_id")
+    ranked = classes.join(rows.select("__row", "doc_id"), "__row").groupBy("component_id").agg(F.min(F.struct(F.isnull("doc_id"), "doc_id", "__row")).alias("first"))
+    return rows.join(ranked.select(F.col("first.__row").alias("__row")), "__row", "left_semi").select(docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no passage of the benchmark."""
-    return decontaminate.decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    """Rows that hold no passage of the benchmark, whatever their ids."""
+    return decontaminate.decontaminated(with_row(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), key="__row").select(docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

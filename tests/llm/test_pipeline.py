@@ -40,3 +40,13 @@ def test_stages(spark, sf):
 def test_run_gives_the_last_stage(spark, sf):
     assert pipeline.run(spark, sf).count() > 50
     assert [f.__module__ for _, f in pipeline.STAGES] == ["corpus_pipeline"] * 5 and toxicity and raking and decontaminate
+
+
+def test_rows_with_null_or_repeated_ids_pass_no_stage_unfiltered(spark, table, tmp_path):
+    text = "one two three four five six seven"
+    rows = [(None, text), (None, text), (4, text), (4, text), (9, text), (None, "a b c d e f g"), (None, "a b c d e f g"), (8, None), (8, "")]
+    left = pipeline.drop_near_duplicates(spark, table(rows), "").collect()
+    assert sorted(((r.doc_id, r.text) for r in left), key=repr) == sorted([(4, text), (None, "a b c d e f g"), (8, None), (8, "")], key=repr)
+    spark.createDataFrame([(1, text)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    clean = pipeline.drop_contaminated(spark, table(rows), str(tmp_path))
+    assert clean.columns == table(rows).columns and {r.text for r in clean.collect()} == {"a b c d e f g", None, ""} and clean.count() == 4
