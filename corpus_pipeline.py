@@ -42,8 +42,13 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents sampled by the probabilities that meet the source, language and topic targets."""
-    return raking.mixed(docs).filter("__kept").select(docs.columns)
+    """The documents, some in several copies, so that their tokens meet the source, language and topic targets.
+
+    The draw is by id; a row without one is drawn by its text, so that such rows don't share one draw.
+    """
+    drawn = docs.withColumn("__draw", F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("?"), F.xxhash64("text").cast("string"))))
+    copies = F.explode(F.array_repeat(F.lit(True), F.col("__copies")))
+    return raking.mixed(drawn, key="__draw").filter("__copies > 0").withColumn("__copy", copies).select(docs.columns)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

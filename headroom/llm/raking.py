@@ -69,7 +69,11 @@ def raked(cells: DataFrame, powers: dict[str, float] = POWERS, sweeps: int = SWE
 
 
 def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang", seed: str = "mix", rate: float = RATE) -> DataFrame:
-    """`docs` with __tokens, __probability, __kept and __weight."""
+    """`docs` with __tokens, __probability, __kept, __weight and __copies.
+
+    __copies are the whole copies of rate * raked / tokens and one more by the hash for
+    the rest, so that tokens counted with them meet the targets without weights.
+    """
     told = docs.withColumns({
         "__source": F.coalesce(F.col(source).cast("string"), F.lit("?")), "__lang": F.coalesce(F.col(lang).cast("string"), F.lit("?")),
         "__topic": topic_of(F.col(text)), "__tokens": token_count(F.col(text))})
@@ -79,8 +83,10 @@ def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str
     joined = told.join(F.broadcast(shares) if shares.limit(MAX_CELLS + 1).count() <= MAX_CELLS else shares, list(POWERS), "left")
     ratio = F.when(F.col("__tokens") > 0, F.col("__ratio")).otherwise(1 / rate)
     joined = joined.withColumn("__probability", F.least(F.lit(1.0), ratio * rate))
+    whole = F.floor(ratio * rate)
+    joined = joined.withColumn("__copies", (whole + (uniform(F.col(key), seed) < ratio * rate - whole).cast("int")).cast("int"))
     joined = joined.withColumn("__kept", uniform(F.col(key), seed) < F.col("__probability")).withColumn("__weight", ratio * rate / F.col("__probability"))
-    return joined.select(*docs.columns, "__source", "__lang", "__topic", "__tokens", "__probability", "__kept", "__weight")
+    return joined.select(*docs.columns, "__source", "__lang", "__topic", "__tokens", "__probability", "__kept", "__weight", "__copies")
 
 
 #: Cells are broadcast up to this number (some 10 MB) and joined by shuffle beyond it.

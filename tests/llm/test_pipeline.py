@@ -50,3 +50,18 @@ def test_rows_with_null_or_repeated_ids_pass_no_stage_unfiltered(spark, table, t
     spark.createDataFrame([(1, text)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     clean = pipeline.drop_contaminated(spark, table(rows), str(tmp_path))
     assert clean.columns == table(rows).columns and {r.text for r in clean.collect()} == {"a b c d e f g", None, ""} and clean.count() == 4
+
+
+def test_mixing_meets_the_targets_without_weights(spark, table):
+    from collections import Counter
+
+    rows = [(i if i % 3 else None, f"text {i} " + "word " * 18, "en" if i % 20 else "es", "hot" if i % 10 else "rare") for i in range(12_000)]
+    tokens, kept = ([Counter(), Counter()] for _ in range(2))
+    out = pipeline.mix_sources(spark, table(rows), "").collect()
+    for (_, text, lang, source), sums in [(r, tokens) for r in rows] + [((r.doc_id, r.text, r.lang, r.source), kept) for r in out]:
+        sums[0][source] += len(text.split())
+        sums[1][lang] += len(text.split())
+    for had, got in zip(tokens, kept):
+        mass = {k: v**0.7 for k, v in had.items()}
+        for k in had:
+            assert abs(got[k] / sum(got.values()) - mass[k] / sum(mass.values())) < 0.01, (k, had, got)
