@@ -6,7 +6,8 @@ ignored position costs no hit.  All windows of all test items and of all trainin
 documents are hashed under every mask and joined on the hash.  A hit fixes how
 item and document lie to each other; there the tokens are compared outwards from
 the hit, substitutions included, and the best stretch is kept if it is long and
-alike enough.
+alike enough.  Every hit is checked that lies in no stretch kept before, so an item
+whose copy is broken several times gives all its stretches.
 
 Training windows first meet a bit filter of fixed size (`FILTER_BITS`, whatever
 the size of the benchmark) made from the item hashes; it only spares the join
@@ -133,15 +134,19 @@ def _verified(batches):
     kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
     for batch in batches:
         rows = []
-        for doc, start, item, place, item_at, tokens, other in zip(*(batch.column(k).to_pylist() for k in range(7))):
+        for doc, start, item, places, shift, tokens, other in zip(*(batch.column(k).to_pylist() for k in range(7))):
             a, b = np.array(tokens, np.int64), np.array(other, np.int64)
-            shift = place - item_at  # the item's first token lies here in the region
-            low, high = max(shift, 0), min(shift + len(b), len(a))
+            low, high = max(shift, 0), min(shift + len(b), len(a))  # the item's first token lies at `shift` in the region
             same = a[low:high] == b[low - shift : high - shift]
-            begin, end = stretch(same, place - low)
-            matched = int(same[begin:end].sum())
-            if end - begin >= min(MIN_TOKENS, len(b)) and matched >= MIN_ALIKE * (end - begin):
-                rows.append((doc, item, start + low + begin, low + begin - shift, end - begin, matched))
+            done = 0  # end of the last verified stretch; a later hit before it has its own stretch inside that one
+            for place in sorted(places):
+                if place - low < done:
+                    continue
+                begin, end = stretch(same, place - low)
+                matched = int(same[begin:end].sum())
+                if end - begin >= min(MIN_TOKENS, len(b)) and matched >= MIN_ALIKE * (end - begin):
+                    rows.append((doc, item, start + low + begin, low + begin - shift, end - begin, matched))
+                    done = end
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), kinds)], names=["doc", "item", "doc_start", "item_start", "tokens", "matched"])
 
@@ -171,11 +176,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: s
     regions = stored(regions, "regions")
     hits = regions.select("region", F.explode(F.arrays_zip("places", "keys")).alias("hit")).select("region", F.col("hit.places").alias("place"), F.col("hit.keys").alias("key"))
     joined = hits.join(keys.withColumnRenamed("item", "item_no"), "key")
-    lies = joined.groupBy("region", "item_no", (F.col("place") - F.col("item_at")).alias("shift")).agg(F.min("place").alias("p0"), F.max("place").alias("p1"))
-    # The first and the last hit on a diagonal: both ends of a stretch broken in the middle.
-    lies = lies.select("region", "item_no", F.explode(F.array_distinct(F.array("p0", "p1"))).alias("place"), "shift")
+    lies = joined.groupBy("region", "item_no", (F.col("place") - F.col("item_at")).alias("shift")).agg(F.collect_set("place").alias("places"))  # at most as many as the item has tokens
     placed = lies.join(regions.select("region", "doc", "start", "tokens"), "region").join(items, "item_no")
-    found = placed.select("doc", "start", "item", "place", (F.col("place") - F.col("shift")).alias("item_at"), "tokens", "item_tokens").mapInArrow(
+    found = placed.select("doc", "start", "item", "places", "shift", "tokens", "item_tokens").mapInArrow(
         _verified, "doc long, item long, doc_start long, item_start long, tokens long, matched long")
     return found.distinct()
 

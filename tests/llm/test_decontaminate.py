@@ -68,3 +68,16 @@ def test_null_ids_and_repeated_rows(spark, table):
     bench = spark.createDataFrame([(1, text), (1, text)], BENCH)
     assert sorted(((r.doc, r.tokens) for r in d.overlaps(docs, bench).collect()), key=repr) == [(7, 6), (None, 6)]
     assert [r.doc_id for r in d.decontaminated(docs, bench).collect()] == [None]
+
+
+def test_every_stretch_of_a_diagonal_is_verified(spark, table):
+    item = [f"w{i}" for i in range(60)]
+    broken = [w if i % 22 < 15 else f"x{i}" for i, w in enumerate(item)]  # stretches at 0, 22 and 44
+    weak = [w if 24 <= i < 36 else f"y{i}" for i, w in enumerate(item)]
+    for first in (0, 50):  # seven of ten tokens under a mask: hits that fail by themselves
+        for k, used in enumerate(d.MASKS[0]):
+            if used == "1":
+                weak[first + k] = item[first + k]
+    found = d.overlaps(table([(1, " ".join(broken)), (2, " ".join(weak))]), spark.createDataFrame([(5, " ".join(item))], BENCH)).collect()
+    assert sorted(r.doc_start for r in found if r.doc == 1) == [0, 22, 44]
+    assert any(r.doc == 2 and r.doc_start == 24 and r.matched == 12 for r in found)
