@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from headroom.llm.scratch import stored
+
 PIECE = 512
 
 
@@ -17,24 +18,71 @@ def pieces_of(text: Column, limit: int) -> Column:
     return F.when(n <= limit, text).otherwise(F.concat(*parts))
 
 
-def class_sample(rows: DataFrame, text: str, label: str, per_class: int, characters: int, classes: int = 1000) -> tuple[list[str], np.ndarray, dict]:
-    """(texts, labels, rows of each class) of at most `per_class` rows a class, chosen by a hash of the text; null labels are left out.
+SPARE = 1.3  # drawn texts to one that is kept, and `MORE` besides, so that a draw leaves hardly ever too few
+MORE = 50
+BITS = 1 << 52
+
+
+def _limit(groups: list[tuple[int, int]], wanted: float) -> float:
+    """Limit of -log(u) / copies below which about `wanted` texts lie; groups are (rows, texts) of texts with like numbers of copies."""
+    if sum(texts for _, texts in groups) <= wanted:
+        return float("inf")
+    low, high = -60.0, 60.0
+    for _ in range(80):
+        middle = (low + high) / 2
+        below = sum(texts * -np.expm1(-rows / texts * np.exp(middle)) for rows, texts in groups)
+        low, high = (middle, high) if below < wanted else (low, middle)
+    return float(np.exp(high))
+
 
-    At most `classes` labels are learned, the most frequent ones; each text counts
-    with at most `characters` characters taken from all over it.
+def class_sample(rows: DataFrame, text: str, label: str, per_class: int, characters: int) -> tuple[list[str], np.ndarray, dict]:
+    """(texts, labels, rows of each class) of at most `per_class` rows a class; null labels are left out.
+
+    Distinct texts are drawn by a hash with their numbers of copies as weights, about
+    SPARE * `per_class` a class, before a text is fetched; a text is fetched once.  The
+    rows given stand for all rows of the class: a text is repeated by its share of
+    them, and all rows are given where they fit.  Each text counts with at most
+    `characters` characters taken from all over it.
     """
+    keys = ["label", "h", "g"]
     known = rows.filter(F.col(label).isNotNull()).select(F.coalesce(F.col(text), F.lit("")).alias("text"), F.col(label).alias("label"))
-    counts = {r.label: r.n for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "label").limit(classes).collect()}
-    if not counts:
+    marked = known.withColumns({"h": F.xxhash64("text", F.lit(17)), "g": F.xxhash64("text", F.lit(71))})
+    kinds = stored(marked.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), "kinds")
+    sizes = kinds.groupBy("label", F.floor(F.log2("n")).alias("like")).agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("texts")).collect()
+    if not sizes:
         return [], np.array([]), {}
-    rate = F.create_map(*[F.lit(x) for k, n in sorted(counts.items()) for x in (k, min(1.0, 0.95 * per_class / n) if n > per_class else 1.0)])
-    draw = F.pmod(F.xxhash64("text", F.lit(17)), F.lit(1 << 30)) / float(1 << 30)
-    chosen = known.filter(draw < rate[F.col("label")]).select(pieces_of(F.col("text"), characters).alias("text"), "label").toArrow()
-    chosen = chosen.sort_by([("label", "ascending"), ("text", "ascending")])
-    labels = np.array(chosen["label"].to_pylist())
-    keep = np.concatenate([np.flatnonzero(labels == k)[:per_class] for k in sorted(counts)])
-    texts = chosen["text"].take(pa.array(keep)).to_pylist()
-    return texts, labels[keep], counts
+    groups: dict = {}
+    for r in sizes:
+        groups.setdefault(r.label, []).append((r.rows, r.texts))
+    counts = {k: sum(n for n, _ in g) for k, g in groups.items()}
+    wanted = SPARE * per_class + MORE
+    limits = {k: _limit(sorted(g), wanted) for k, g in groups.items()}
+    schema = type(kinds.schema)([kinds.schema["label"]]).add("limit", "double")
+    limited = kinds.sparkSession.createDataFrame(list(limits.items()), schema)
+    turn = -F.log((F.pmod("h", F.lit(BITS)) + 1) / float(BITS)) / F.col("n")
+    chosen = kinds.join(limited, "label").withColumn("turn", turn).filter("turn < limit").drop("limit")
+    if sum(min(wanted, sum(t for _, t in g)) for g in groups.values()) < BROADCAST:
+        chosen = F.broadcast(chosen)
+    fetched = marked.join(chosen, keys).select(*keys, "n", "turn", pieces_of(F.col("text"), characters).alias("text"))
+    found = fetched.groupBy(*keys).agg(F.first("n").alias("n"), F.first("turn").alias("turn"), F.first("text").alias("text")).toArrow()
+    own, n, turn = np.array(found["label"].to_pylist()), found["n"].to_numpy(), found["turn"].to_numpy()
+    pieces, texts, labels = found["text"].to_pylist(), [], []
+    for k in sorted(counts):
+        at = np.flatnonzero(own == k)
+        at, limit = at[np.argsort(turn[at], kind="stable")], limits[k]
+        if len(at) > per_class:
+            at, limit = at[:per_class], turn[at[per_class]]
+        weight = n[at] / -np.expm1(-n[at] * limit)  # rows that the text stands for
+        order = sorted(range(len(at)), key=lambda i: pieces[at[i]])
+        edges = np.floor(np.cumsum(weight[order]) / weight.sum() * min(per_class, counts[k]) + 0.5).astype(int)
+        for i, copies in zip(order, np.diff(edges, prepend=0)):
+            texts += [pieces[at[i]]] * copies
+            labels += [k] * copies
+    return texts, np.array(labels), counts
+
+
+#: Drawn texts are broadcast by their hashes up to this number (some 40 MB) and joined by shuffle beyond it.
+BROADCAST = 1_000_000
 
 
 def logistic(x: np.ndarray, y: np.ndarray, steps: int = 400, rate: float = 0.1, decay: float = 1e-3) -> tuple[np.ndarray, float]:

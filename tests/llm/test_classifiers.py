@@ -128,3 +128,29 @@ def test_language(spark, sf):
     out = {r.doc_id: r for r in language.identified(odd, model).collect()}
     assert [out[i].lang_pred for i in (1, 2, 3, 4)] == ["und", "und", "und", "de"] and out[3].score == 0 and out[None].rejected and not out[4].rejected
     assert language.identified(odd, language.Model([], np.array([]))).filter("lang_pred = 'und'").count() == 5
+
+
+def test_sample_with_a_large_group_of_copies(spark):
+    from collections import Counter
+
+    from headroom.llm.learning import class_sample
+
+    seen = []
+    for tag in range(4):  # whatever the hash of the copied text
+        rows = [(f"copy {tag}", 1)] * 3000 + [(f"toxic {tag} {i}", 1) for i in range(1000)] + [(f"plain {tag}", 0)] * 2500 + [(None, 2)] * 3
+        texts, labels, counts = class_sample(spark.createDataFrame(rows, "text string, label int"), "text", "label", 200, 4096)
+        assert counts == {0: 2500, 1: 4000, 2: 3} and len(texts) == len(labels)
+        by = {k: Counter(t for t, x in zip(texts, labels) if x == k) for k in counts}
+        assert by[0] == {f"plain {tag}": 200} and by[2] == {"": 3} and sum(by[1].values()) == 200
+        seen.append(by[1][f"copy {tag}"])
+        assert len(by[1]) > 30  # not mostly one text beyond its share
+    assert all(abs(x - 150) <= 12 for x in seen)  # the others are weighed by a draw of 199 of 1000: 150, deviation 2.4
+    model = toxicity.fit(spark.createDataFrame([("calm words", 0)] * 30 + [("nitwit vermin", 1)] * 9, "text string, toxic int"), per_class=5)
+    assert np.isfinite(model.bias) and model.score(*flat(pa.array(["calm words"])))[0] < 1
+
+
+def test_all_labels_are_sampled(spark):
+    from headroom.llm.learning import class_sample
+
+    rows = [(f"t{i}", f"l{i}") for i in range(1200)]
+    assert len(class_sample(spark.createDataFrame(rows, "text string, label string"), "text", "label", 3, 4096)[2]) == 1200
