@@ -20,7 +20,7 @@ KEYS = ["area", "direction"]
 
 def _joined(spark, sf):
     """Realised rows of every sender beside the newest proposed value; scaled so that some products exceed."""
-    proposed = v.proposed(spark, sf).withColumn("value", F.col("value") / 4)
+    proposed = v.proposed(spark, sf).withColumn("value", F.col("value") / 8)
     return x.join_realised_proposed(proposed, v.realised(spark, sf), KEYS, tie="value")
 
 
@@ -33,11 +33,11 @@ def exceeded_proportion(spark, sf):
     joined = _joined(spark, sf)
     common = x.exceeded_proportion(joined, KEYS).withColumn("mode", F.lit("common"))
     own = x.exceeded_proportion(joined, KEYS, correct_initial=True, report_diff=True, strategy="min").withColumn("mode", F.lit("own"))
-    return common.unionByName(own).withColumns({n: F.round(n, 6) for n in ("proposed", "realised", "norm", "exceeded", "value")})
+    return common.unionByName(own).withColumns({n: F.round(n, 7 if n == "proposed" else 6) for n in ("proposed", "realised", "norm", "exceeded", "value")})
 
 
 def exceeded_cascade(spark, sf):
-    return x.exceeded_cascade(_joined(spark, sf), KEYS).withColumns({n: F.round(n, 6) for n in ("proposed", "realised", "exceeded", "value")})
+    return x.exceeded_cascade(_joined(spark, sf), KEYS).withColumns({n: F.round(n, 7 if n == "proposed" else 6) for n in ("proposed", "realised", "exceeded", "value")})
 
 
 def unified_level(spark, sf):
@@ -138,7 +138,7 @@ QUERIES = {q.__name__: q for q in (
 _NEWEST = """, pl as (select * from (select *, max(cast(version_number as int)) over (partition by area,direction,"level") mv from proposed) where cast(version_number as int)=mv),
  rn as (select * from (select *, row_number() over (partition by area,direction,"level",sender order by received desc, "value" desc) k from realised) where k=1)"""
 _JOINED = _NEWEST + """,
- j as (select p.area, p.direction, p."level", p.version_number, sender, p."value"/4 proposed, r."value" realised from pl p join rn r on p.area=r.area and p.direction=r.direction and p."level"=r."level")"""
+ j as (select p.area, p.direction, p."level", p.version_number, sender, p."value"/8 proposed, r."value" realised from pl p join rn r on p.area=r.area and p.direction=r.direction and p."level"=r."level")"""
 
 # one step per level, from the highest down
 CASCADE = _JOINED + """ /*recursive*/,
@@ -154,11 +154,11 @@ ORACLE = {
 select p.area, p.direction, p."level", version_number, sender, round(p."value",6) proposed, round(r."value",6) realised from pl p join rn r on p.area=r.area and p.direction=r.direction and p."level"=r."level\""""),
     "exceeded_proportion": oracle("proposed realised", _JOINED + """, n as (select *, realised/proposed norm, sum(realised/proposed) over (partition by area,direction) s,
   max("level") over (partition by area,direction) lx, max_by(proposed,"level") over (partition by area,direction) px from j)
-select 'common' "mode", area, direction, lx "level", version_number, sender, round(proposed,6) proposed, round(realised,6) realised, round(norm/s,6) norm,
+select 'common' "mode", area, direction, lx "level", version_number, sender, round(proposed,7) proposed, round(realised,6) realised, round(norm/s,6) norm,
  round(norm/s*px,6) exceeded, round(norm/s*px,6) "value" from n where s>1
-union all select 'own', area, direction, "level", version_number, sender, round(proposed,6), round(realised,6), round(norm/s,6), round(norm/s*proposed,6), round(-(realised-norm/s*proposed),6) from n where s>1"""),
+union all select 'own', area, direction, "level", version_number, sender, round(proposed,7), round(realised,6), round(norm/s,6), round(norm/s*proposed,6), round(-(realised-norm/s*proposed),6) from n where s>1"""),
     "exceeded_cascade": oracle("proposed realised", CASCADE + """
-select area, direction, "level", version_number, sender, round(proposed,6) proposed, round(realised,6) realised, round(realised/used*al,6) exceeded, round(realised/used*al,6) "value"
+select area, direction, "level", version_number, sender, round(proposed,7) proposed, round(realised,6) realised, round(realised/used*al,6) exceeded, round(realised/used*al,6) "value"
 from t where zr>zp and abs(realised/used*al-realised)>1e-9"""),
     "unified_level": oracle("proposed", """select area, direction, min("level")::double "level", 'min' strategy from proposed group by all
 union all select area, direction, median("level")::double, 'median' from proposed group by all union all select area, direction, max("level")::double, 'max' from proposed group by all"""),

@@ -61,7 +61,7 @@ def limited_bids(spark, sf):
 
 
 def realised_check(spark, sf):
-    proposed = v.proposed(spark, sf).withColumn("value", F.col("value") / 4)
+    proposed = v.proposed(spark, sf).withColumn("value", F.col("value") / 8)
     receivers = literal_table(spark, [(0,), (1,), (2,)], "receiver int")
     return rl.realised_check(proposed, v.realised(spark, sf), receivers, KEYS, tie="value").select("receiver", *KEYS, "level", "value")
 

@@ -74,7 +74,7 @@ def stream_exceeded_check(spark, sf):
     points = _points(spark, sf)
     points.where("sender = 0").coalesce(1).write.mode("append").parquet(inbox)
     points.where("sender > 0").coalesce(1).write.mode("append").parquet(inbox)
-    proposed = v.proposed(spark, sf).withColumn("value", F.col("value") / 4)
+    proposed = v.proposed(spark, sf).withColumn("value", F.col("value") / 8)
     stream = spark.readStream.schema(points.schema).parquet(inbox)
     receivers = literal_table(spark, [(0,), (1,), (2,)], "receiver int")
     writer = sm.stream_exceeded_check(stream, proposed, stored, result, receivers, ["area", "direction"])

@@ -24,8 +24,3 @@ def sf():
     if not pathlib.Path(SMALL).exists():
         pytest.skip("driver tables are not here")
     return SMALL
-
-
-def rows(df, *order):
-    """Rows as plain tuples, sorted."""
-    return sorted((tuple(r) for r in df.collect()), key=repr)

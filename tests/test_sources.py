@@ -3,7 +3,7 @@
 from datetime import datetime
 
 import pytest
-from conftest import rows
+from plain_rows import rows
 from pyspark.sql import functions as F
 
 from headroom import registry
