@@ -26,12 +26,16 @@ def shared_folder(spark: SparkSession) -> str:
 
 def stored(df: DataFrame, label: str = "table") -> DataFrame:
     """`df` as a table written once to the shared folder and read back: lost executors repeat no finished work."""
+    return written(df, f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}")
+
+
+def written(df: DataFrame, path: str) -> DataFrame:
+    """`df` written to `path` in place of what was there, and read back."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
     before = spark.conf.get(CLEANUP, None)
     spark.conf.set(CLEANUP, "true")  # the table replaces the shuffle files that led to it
     try:
-        df.write.parquet(path)
+        df.write.mode("overwrite").parquet(path)
     finally:
         if before is None:
             spark.conf.unset(CLEANUP)
