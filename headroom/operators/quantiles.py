@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headroom.functions.numbers import clear_nan
-from headroom.operators.ranks import group_sizes, value_counts, values_at_ranks
+from headroom.operators.ranks import distribution_of
 from headroom.scale import as_columns, literal_table
 
 PROBABILITY_STEPS = 10_000  # probabilities are integer ten-thousandths (4 decimals)
@@ -54,15 +54,15 @@ def quantile_lower(
     """Order statistic at index tick*(n-1) div 10000 per group; nulls are left out first.
 
     `ticks` are probabilities in ten-thousandths.  Negative results become 0
-    unless `floor_zero` is off.  `weight` counts a row more than once.
-    Returns (by…, tick, percentage_level, value).
+    unless `floor_zero` is off.  `weight` counts a row more than once.  `df` may
+    be a `Distribution`.  Returns (by…, tick, percentage_level, value).
     """
     by = as_columns(by)
-    counts = value_counts(df, value, by, weight)
-    targets = _ask_ranks(group_sizes(counts, by), ticks).withColumn(
+    known = distribution_of(df, value, by, weight, split)
+    targets = _ask_ranks(known.sizes(), ticks).withColumn(
         "rank", F.expr(f"(cast(tick as bigint) * (n - 1)) div {PROBABILITY_STEPS}")
     )
-    found = values_at_ranks(counts, targets.drop("n"), by, split)
+    found = known.values_at(targets.drop("n"))
     result = F.greatest(F.col("value"), F.lit(0.0)) if floor_zero else F.col("value")
     return found.select(
         *by, "tick", F.round(F.lit(100.0) - F.col("tick") / F.lit(100.0), 2).alias("percentage_level"),
@@ -75,30 +75,36 @@ def quantile_linear(
 ) -> DataFrame:
     """Linearly interpolated percentiles per group -> (by…, probability, value).
 
-    `split=False` says that a group is known to be small, `True` that it is
-    not; by default the plan's size estimate decides.
+    `split=False` says that every group is known to be small.  `df` may be a `Distribution`.
     """
     by = as_columns(by)
-    split = split is not False
-    if not split and weight is None:
+    if split is False and weight is None:
         # small groups: one built-in exact aggregate, no sorting at all
         wanted = number_array(probs)
         clean = clear_nan(F.col(value).cast("double"))
         found = df.groupBy(*by).agg(F.percentile(clean, wanted).alias("__values"))
         rows = found.select(*by, F.posexplode("__values").alias("__i", "value"))
         return rows.select(*by, F.element_at(wanted, F.col("__i") + 1).alias("probability"), "value")
-    counts = value_counts(df, value, by, weight)
-    asked = (
-        group_sizes(counts, by)
-        .withColumn("probability", F.explode(number_array(probs)))
+    known = distribution_of(df, value, by, weight, split)
+    found = known.values_at(linear_ranks(known.sizes(), probs).drop("n", "__place"))
+    return interpolated(found, [*by, "probability"])
+
+
+def linear_ranks(sizes: DataFrame, probs: list[float]) -> DataFrame:
+    """The two ranks around each probability of each group, with their shares."""
+    return (
+        sizes.withColumn("probability", F.explode(number_array(probs)))
         .withColumn("__place", F.col("probability") * (F.col("n") - 1))
         .withColumn("__share", F.col("__place") - F.floor("__place"))
         .withColumn("__side", F.explode(F.array(F.lit(0), F.lit(1))))
         .withColumn("rank", F.least(F.floor("__place") + F.col("__side"), F.col("n") - 1))
     )
-    found = values_at_ranks(counts, asked.drop("n", "__place"), by, split)
+
+
+def interpolated(found: DataFrame, keys: list[str]) -> DataFrame:
+    """Values at the ranks of `linear_ranks` put together."""
     part = F.col("value") * F.when(F.col("__side") == 0, 1 - F.col("__share")).otherwise(F.col("__share"))
-    return found.groupBy(*by, "probability").agg(F.sum(part).alias("value"))
+    return found.groupBy(*keys).agg(F.sum(part).alias("value"))
 
 
 def sliced_quantiles(

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headroom.functions.numbers import percent_of
-from headroom.operators.quantiles import quantile_linear
-from headroom.operators.ranks import counts_at_values, group_sizes, value_counts, values_at_ranks
+from headroom.operators.quantiles import interpolated, linear_ranks
+from headroom.operators.ranks import Distribution, distribution_of, value_counts
 from headroom.scale import as_columns, join_null_safe
 
 # Control-error levels (name, MW target, allowed % of time).
@@ -49,85 +49,99 @@ def share_over_target(df: DataFrame, targets: list[tuple[str, float]], value: st
     return wide.select(*by, F.inline(rows))
 
 
-def symmetric_percentile_grid(
-    df: DataFrame, target: float, value: str = "quantity", by=None, allowed: float = 0.0, weight: str | None = None, split: bool | None = None
-) -> DataFrame:
-    """For p = 0 … 0.489: lower = q(p/2), upper = q(1 − p/2) and the percent of rows around them.
+def grid_probabilities(allowed: float = 0.0) -> list[float]:
+    """Both tails of the grid p = 0, 0.001, … below max(0.49, allowed share)."""
+    top = max(490, -(-round(allowed * 10_000) // 1000))
+    return sorted({i / (2 * GRID_STEP) for i in range(top)} | {(2 * GRID_STEP - i) / (2 * GRID_STEP) for i in range(top)})
 
-    `off`/`within`: percent outside/inside [lower − target, upper + target];
-    `span`: percent inside [lower, upper].  The counts are looked up in the
-    value counts, not taken by comparing every row with every percentile.
-    """
-    by = as_columns(by)
-    top = max(490, -(-round(allowed * 10_000) // 1000))  # p below max(0.49, allowed share)
-    probs = sorted({i / (2 * GRID_STEP) for i in range(top)} | {(2 * GRID_STEP - i) / (2 * GRID_STEP) for i in range(top)})
-    found = quantile_linear(df, value, probs, by, weight, split)
+
+def grid_bounds(percentiles: DataFrame, by=None) -> DataFrame:
+    """(by…, probability, value) of both tails -> (by…, tick, lower, upper)."""
     tick = F.round(F.col("probability") * (2 * GRID_STEP)).cast("int")
-    bounds = (
-        found.withColumn("tick", F.least(tick, F.lit(2 * GRID_STEP) - tick)).groupBy(*by, "tick")
+    return (
+        percentiles.withColumn("tick", F.least(tick, F.lit(2 * GRID_STEP) - tick)).groupBy(*as_columns(by), "tick")
         .agg(F.round(F.min("value"), CLEAN).alias("lower"), F.round(F.max("value"), CLEAN).alias("upper"))
     )
-    counts = value_counts(df.withColumn("__v", F.round(F.col(value).cast("double"), CLEAN)), "__v", by, weight)
-    sides = F.array(
-        F.struct(F.lit("lo").alias("side"), F.round(F.col("lower") - target, CLEAN).alias("value")),
-        F.struct(F.lit("hi").alias("side"), F.round(F.col("upper") + target, CLEAN).alias("value")),
-        F.struct(F.lit("lower").alias("side"), F.col("lower").alias("value")),
-        F.struct(F.lit("upper").alias("side"), F.col("upper").alias("value")),
-    )
-    asked = bounds.select(*by, "tick", "lower", "upper", F.inline(sides))
-    at = counts_at_values(counts, asked, by, split)
+
+
+def grid_shares(known: Distribution, bounds: DataFrame, targets: list[tuple[str, float]], span: bool = True) -> DataFrame:
+    """`bounds` for every named target with the percent of rows around them, in one look-up for all levels."""
+    by = known.by
+    sides = [
+        F.struct(F.lit(n).alias("level"), F.lit(side).alias("side"), F.round(F.col(column) + sign * t, CLEAN).alias("value"))
+        for n, t in targets for side, column, sign in (("lo", "lower", -1), ("hi", "upper", 1))
+    ]
+    if span:
+        sides += [F.struct(F.lit(n).alias("level"), F.lit(c).alias("side"), F.col(c).alias("value")) for n, _ in targets for c in ("lower", "upper")]
+    at = known.counts_at(bounds.select(*by, "tick", "lower", "upper", F.inline(F.array(*sides))))
 
     def side(name: str, column: str) -> Column:
         return F.max(F.when(F.col("side") == name, F.col(column)))
 
-    per_p = at.groupBy(*by, "tick", "lower", "upper").agg(
+    per_p = at.groupBy(*by, "level", "tick", "lower", "upper").agg(
         side("lo", "n_below").alias("__lo"), side("hi", "n_upto").alias("__hi"),
         side("lower", "n_below").alias("__lower"), side("upper", "n_upto").alias("__upper"),
     )
-    sizes = group_sizes(counts, by)
+    sizes = known.sizes()
     sized = join_null_safe(per_p, sizes, by) if by else per_p.withColumn("n", sizes.select("n").scalar())
     percent = F.lit(100.0) / F.col("n")
+    spans = [((F.col("__upper") - F.col("__lower")) * percent).alias("span")] if span else []
     return sized.select(
-        *by, (F.col("tick") / F.lit(float(GRID_STEP))).alias("percent"), "lower", "upper",
+        *by, "level", (F.col("tick") / F.lit(float(GRID_STEP))).alias("percent"), "lower", "upper",
         ((F.col("n") - F.col("__hi") + F.col("__lo")) * percent).alias("off"),
-        ((F.col("__hi") - F.col("__lo")) * percent).alias("within"),
-        ((F.col("__upper") - F.col("__lower")) * percent).alias("span"),
+        ((F.col("__hi") - F.col("__lo")) * percent).alias("within"), *spans,
     )
 
 
-def closest_percentile(grid: DataFrame, allowed: float, by=None) -> DataFrame:
+def symmetric_percentile_grid(
+    df, target: float, value: str = "quantity", by=None, allowed: float = 0.0, weight: str | None = None, split: bool | None = None
+) -> DataFrame:
+    """For p = 0 … 0.489: lower = q(p/2), upper = q(1 − p/2) and the percent of rows around them.
+
+    `off`/`within`: percent outside/inside [lower − target, upper + target];
+    `span`: percent inside [lower, upper].  Values count at nine decimals, and
+    `df` may be their `Distribution`.
+    """
+    by = as_columns(by)
+    known = distribution_of(df, value, by, weight, split, CLEAN)
+    found = interpolated(known.values_at(linear_ranks(known.sizes(), grid_probabilities(allowed)).drop("n", "__place")), [*by, "probability"])
+    return grid_shares(known, grid_bounds(found, by), [("", target)]).drop("level")
+
+
+def closest_percentile(grid: DataFrame, allowed, by=None) -> DataFrame:
     """Grid row whose `off` share is nearest the allowed share; ties go to the smallest p."""
     by = as_columns(by)
     rest = [c for c in grid.columns if c not in by]
-    distance = F.round(F.abs(F.col("off") - F.lit(float(allowed))), CLEAN)
+    share = allowed if isinstance(allowed, Column) else F.lit(float(allowed))
+    distance = F.round(F.abs(F.col("off") - share), CLEAN)
     best = grid.groupBy(*by).agg(F.min_by(F.struct(*rest), F.struct(distance, F.col("percent"))).alias("__best"))
     return best.select(*by, *[F.col(f"__best.{c}").alias(c) for c in rest])
 
 
 def residual_over_target(
-    df: DataFrame, reserves: DataFrame, targets: list[tuple[str, float]], value: str = "quantity", by=None, weight: str | None = None,
+    df, reserves: DataFrame, targets: list[tuple[str, float]], value: str = "quantity", by=None, weight: str | None = None,
     split: bool | None = None,
 ) -> DataFrame:
     """Percent of non-null rows still beyond ±target after reserves (by…, label, down, up) are applied.
 
     Returns one row per reserve and target with `down_percent`, `up_percent`;
-    null unless down ≤ 0 ≤ up.  Looked up in the value counts like the grid.
+    null unless down ≤ 0 ≤ up.  Looked up like the grid; `df` may be a `Distribution`.
     """
     by = as_columns(by)
-    counts = value_counts(df.withColumn("__v", F.round(F.col(value).cast("double"), CLEAN)), "__v", by, weight)
+    known = distribution_of(df, value, by, weight, split, CLEAN)
     asked = reserves.select(*by, "label", "down", "up", F.inline(F.array(*[
         F.struct(F.lit(n).alias("level"), F.lit(float(abs(t))).alias("target")) for n, t in targets
     ]))).select("*", F.inline(F.array(
         F.struct(F.lit("down").alias("side"), F.round(F.col("down") - F.col("target"), CLEAN).alias("value")),
         F.struct(F.lit("up").alias("side"), F.round(F.col("up") + F.col("target"), CLEAN).alias("value")),
     )))
-    at = counts_at_values(counts, asked, by, split)
+    at = known.counts_at(asked)
     keys = [*by, "label", "down", "up", "level", "target"]
     per = at.groupBy(*keys).agg(
         F.max(F.when(F.col("side") == "down", F.col("n_below"))).alias("__below"),
         F.max(F.when(F.col("side") == "up", F.col("n_upto"))).alias("__upto"),
     )
-    sizes = group_sizes(counts, by)
+    sizes = known.sizes()
     sized = join_null_safe(per, sizes, by) if by else per.withColumn("n", sizes.select("n").scalar())
     usable = (F.col("down") <= 0) & (F.col("up") >= 0)
     return sized.select(
@@ -169,11 +183,21 @@ def outside_center_lines(df: DataFrame, lines: DataFrame, value: str = "quantity
     return stats.select(*by, F.when(inside, F.col("__above")).alias("above"), F.when(inside, F.col("__below")).alias("below"))
 
 
-def signed_percentiles(df: DataFrame, probs: list[float], value: str = "quantity", by=None, split: bool | None = None) -> DataFrame:
-    """Percentiles of v ≥ 0 (p ≥ 0.5) and of v ≤ 0 (p ≤ 0.5) separately."""
-    upper = quantile_linear(df.where(F.col(value) >= 0), value, [p for p in probs if p >= 0.5], by, split=split)
-    lower = quantile_linear(df.where(F.col(value) <= 0), value, [p for p in probs if p <= 0.5], by, split=split)
-    return upper.withColumn("part", F.lit("positive")).unionByName(lower.withColumn("part", F.lit("negative")))
+def signed_percentiles(df, probs: list[float], value: str = "quantity", by=None, split: bool | None = None) -> DataFrame:
+    """Percentiles of v ≥ 0 (p ≥ 0.5) and of v ≤ 0 (p ≤ 0.5) separately, from one distribution.
+
+    The place of 0 splits a group's ranks: those from `n_below` on are not negative, those up to `n_upto` not positive.
+    """
+    by = as_columns(by)
+    known = distribution_of(df, value, by, None, split)
+    zero = known.counts_at(known.sizes().withColumn("value", F.lit(0.0)))
+    parts = []
+    for part, size, first, chosen in (("positive", F.col("n") - F.col("n_below"), F.col("n_below"), [p for p in probs if p >= 0.5]),
+                                      ("negative", F.col("n_upto"), F.lit(0), [p for p in probs if p <= 0.5])):
+        sized = zero.select(*by, F.lit(part).alias("part"), first.cast("bigint").alias("__first"), size.alias("n")).where("n > 0")
+        parts.append(linear_ranks(sized, chosen).withColumn("rank", F.col("rank") + F.col("__first")))
+    found = known.values_at(parts[0].unionByName(parts[1]).drop("n", "__place", "__first"))
+    return interpolated(found, [*by, "part", "probability"])
 
 
 def bootstrap_draws(sizes: DataFrame, simulations: int, samples: int, seed: int, by=None) -> DataFrame:
@@ -194,7 +218,7 @@ def bootstrap_draws(sizes: DataFrame, simulations: int, samples: int, seed: int,
 
 
 def bootstrap_percentiles(
-    df: DataFrame, probs: list[float], value: str = "quantity", by=None, simulations: int = 50, samples: int = 300_000,
+    df, probs: list[float], value: str = "quantity", by=None, simulations: int = 50, samples: int = 300_000,
     seed: int = 1, weight: str | None = None, split: bool | None = None,
 ) -> DataFrame:
     """Percentiles of resamples with replacement: mean, std and 1.96·std over the simulations.
@@ -202,12 +226,12 @@ def bootstrap_percentiles(
     A resample is a set of ranks, and values grow with rank; so the order
     statistics are taken on the drawn ranks and only those few ranks are looked
     up in the data.  Nothing the size of simulations × samples is ever joined
-    with the sample.
+    with the sample.  `df` may be a `Distribution`.
     """
     by = as_columns(by)
-    counts = value_counts(df, value, by, weight)
-    sizes = group_sizes(counts, by)
-    drawn = value_counts(bootstrap_draws(sizes, simulations, samples, seed, by), "rank", [*by, "sim"])
+    known = distribution_of(df, value, by, weight, split)
+    sizes = known.sizes()
+    drawn = Distribution(value_counts(bootstrap_draws(sizes, simulations, samples, seed, by), "rank", [*by, "sim"]), [*by, "sim"], split)
     asks = []
     for p in probs:
         place = float(p) * (samples - 1)
@@ -218,8 +242,8 @@ def bootstrap_percentiles(
     ])
     per_sim = sizes.drop("n").withColumn("sim", F.explode(F.sequence(F.lit(0), F.lit(simulations - 1))))
     targets = per_sim.select(*by, "sim", F.inline(wanted))
-    ranks = values_at_ranks(drawn, targets, [*by, "sim"], split).drop("rank").withColumnRenamed("value", "rank")
-    values = values_at_ranks(counts, ranks.withColumn("rank", F.round("rank").cast("bigint")), by, split)
+    ranks = drawn.values_at(targets).drop("rank").withColumnRenamed("value", "rank")
+    values = known.values_at(ranks.withColumn("rank", F.round("rank").cast("bigint")))
     sims = values.groupBy(*by, "sim", "probability").agg(F.sum(F.col("value") * F.col("share")).alias("value"))
     return sims.groupBy(*by, "probability").agg(
         F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"), (F.lit(1.96) * F.stddev_samp("value")).alias("ci95")

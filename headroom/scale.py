@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the cluster's `spark.checkpoint.dir`.
 
@@ -43,6 +44,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_scratch(df: DataFrame) -> None:
+    """Delete the files of a table made by `cut_lineage`, once nothing lazy reads it any more."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def as_columns(keys) -> list[str]:
     """One name or several -> list of names."""
     if keys is None:

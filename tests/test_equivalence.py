@@ -49,10 +49,21 @@ def test_counts_at_values(spark, sample, split):
         assert got[(k, t)] == (sum(v < t for v in truth[k]), sum(v <= t for v in truth[k]))
 
 
-def test_value_bucket_is_monotone(spark):
-    values = sorted([0.0, -1e-9, 1e-9, *np.random.default_rng(5).normal(0, 1e4, 400).tolist(), -1e12, 1e12])
-    got = [r[0] for r in spark.createDataFrame([(float(v),) for v in values], "v double").coalesce(1).select(rk.value_bucket(F.col("v"))).collect()]
-    assert got == sorted(got)
+def test_crowded_values_spread_over_all_ranges(spark):
+    """200,001 values between 49.9 and 50.1: every range gets its share, and the answers are exact."""
+    df = spark.range(200_001).select(F.lit("k").alias("k"), (F.lit(49.9) + F.col("id") * 1e-6).alias("v"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        known = rk.distribution_of(df, "v", "k")
+        sizes = [r["count"] for r in known.rows.groupBy("__part").count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(sizes) == 4 and max(sizes) < 2 * min(sizes) and known.directory.count() == 4
+    found = rows(known.values_at(spark.createDataFrame([("k", r) for r in (0, 77_777, 200_000)], "k string, rank long")))
+    assert [r[2] for r in found] == [49.9 + r[1] * 1e-6 for r in found] and len(found) == 3
+    asked = spark.createDataFrame([("k", 49.9 + 12_345 * 1e-6), ("k", 50.2), ("k", 1.0)], "k string, value double")
+    assert [r[2:] for r in rows(known.counts_at(asked))] == [(0, 0), (12_345, 12_346), (200_001, 200_001)]
+    known.drop()
 
 
 def test_grid_residual_and_bootstrap_split_forms_agree(spark, sample):
