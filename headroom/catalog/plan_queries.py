@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 from headroom.catalog import sizing_queries as sq
 from headroom.catalog import views as v
 from headroom.catalog.combine_queries import BRIDGE
-from headroom.catalog.exceedance_queries import _NEWEST, KEYS
+from headroom.catalog.exceedance_queries import _NEWEST, CASCADE, KEYS
 from headroom.catalog.series_queries import SLICES
-from headroom.catalog.stream_queries import ORACLE as STREAM_ORACLE
 from headroom.catalog.views import oracle
 from headroom.scale import literal_table
 from headroom.operators import areas as a
@@ -176,7 +175,8 @@ select region, probability, round(x,6) "value", case when probability<0.5 then '
  k(area, direction, out_area, in_area) as (values """ + ",".join(str(r) for r in BRIDGE) + f"""),
  lim as (select "position", lv, area, direction, min(v) m from cq join k using (out_area,in_area) group by all)
 select {_HEAD}, area, product, direction, round(least(v, m),6) "value" from bq left join lim using ("position", lv, area, direction)"""),
-    "realised_check": STREAM_ORACLE["stream_exceeded_check"],
+    "realised_check": oracle("proposed realised", CASCADE + """
+select area, direction, "level", sender receiver, round(realised/used*al,1) "value" from t where zr>zp and abs(realised/used*al-realised)>1e-9"""),
     "quarterly_report": oracle("proposed realised", _NEWEST + """,
  k(area, direction, out_area, in_area) as (values """ + ",".join(str(r) for r in REPORT_BRIDGE) + "),\n" + _flow_sql("lp", 1000) + ",\n" + _flow_sql("lr", 2000) + """
 select r.area, r.direction, r."level", r.sender operator, least(r."value", lr.lim) realised, least(p."value", lp.lim) proposed from realised r

@@ -66,20 +66,21 @@ def stream_latest_by_key(spark, sf):
     bids.write.parquet(inbox)
     stream = spark.readStream.schema(bids.schema).option("maxFilesPerTrigger", 1).parquet(inbox)
     sm.drain_available(sm.stream_latest_by_key(stream, ["valid_from", "area"], target, ["id"]), scratch_path(spark, "progress"))
-    return read_store(spark, target).groupBy("valid_from", "area").agg(F.max("id").alias("id"))
+    return read_store(spark, target).select("valid_from", "area", "id")
 
 
 def stream_exceeded_check(spark, sf):
-    inbox, stored, result = (scratch_path(spark, n) for n in ("inbox", "realised", "exceeded"))
+    """Three deliveries, each drained by itself: two senders' parts, then zeros for area A, which clear its exceedances."""
+    inbox, stored, result, progress = (scratch_path(spark, n) for n in ("inbox", "realised", "exceeded", "progress"))
     points = _points(spark, sf)
-    points.where("sender = 0").coalesce(1).write.mode("append").parquet(inbox)
-    points.where("sender > 0").coalesce(1).write.mode("append").parquet(inbox)
+    zeros = points.where("area = 'A'").withColumns({"value": F.lit(0.0), "received": F.col("received") + F.expr("interval 1 day")})
     proposed = v.proposed(spark, sf).withColumn("value", F.col("value") / 8)
-    stream = spark.readStream.schema(points.schema).parquet(inbox)
     receivers = literal_table(spark, [(0,), (1,), (2,)], "receiver int")
-    writer = sm.stream_exceeded_check(stream, proposed, stored, result, receivers, ["area", "direction"])
-    sm.drain_available(writer, scratch_path(spark, "progress"))
-    return read_store(spark, result).select("area", "direction", "level", "receiver", "value")
+    for part in (points.where("sender = 0"), points.where("sender > 0"), zeros):
+        part.coalesce(1).write.mode("append").parquet(inbox)
+        stream = spark.readStream.schema(points.schema).parquet(inbox)
+        sm.drain_available(sm.stream_exceeded_check(stream, proposed, stored, result, receivers, ["area", "direction"]), progress)
+    return read_store(spark, result).select("area", "direction", "level", "receiver", F.col("valid_from").cast("timestamp_ntz").alias("valid_from"), "value")
 
 
 def drain_available(spark, sf):
@@ -153,7 +154,8 @@ ORACLE = {
     "stream_points": oracle("realised", """select area, direction, "level", sender, round("value" + case when "level"%4=0 then 500 else 0 end,6) "value" from realised where sender<>1"""),
     "stream_latest_by_key": oracle("bids", "select valid_from, area, max(id) id from bids group by 1,2"),
     "stream_exceeded_check": oracle("proposed realised", ex.CASCADE + """
-select area, direction, "level", sender receiver, round(realised/used*al,1) "value" from t where zr>zp and abs(realised/used*al-realised)>1e-9"""),
+select area, direction, "level", sender receiver, timestamp '2024-01-01' valid_from, round(realised/used*al,1) "value" from t
+where zr>zp and abs(realised/used*al-realised)>1e-9 and area<>'A'"""),
     "drain_available": oracle("bids", "select area, count(*) n, round(sum(quantity),4) quantity from bids group by 1"),
     "combine_registry": oracle("bids", _PAIR + """, u as (select 'ADD' operator, area, direction, coalesce(x+y,x,y) z from j union all select 'MIN', area, direction, least(x,y) from j
  union all select 'MAX', area, direction, greatest(x,y) from j union all select 'MEAN', area, direction, case when x is not null and y is not null then (x+y)/2 else coalesce(x,y) end from j)

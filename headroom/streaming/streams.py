@@ -16,7 +16,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from headroom.operators.exceedance import join_realised_proposed, next_version, split_by_receiver
 from headroom.operators.merge import update_by_key
 from headroom.scale import as_columns, join_null_safe
-from headroom.sources.store import read_store, store_exists, upsert_by_key
+from headroom.sources.store import DELETED, read_store, store_exists, upsert_by_key
 
 MESSAGE_SCHEMA = "headers map<string,string>, payload string, received timestamp"
 
@@ -56,8 +56,8 @@ def stream_points(
 ) -> DataStreamWriter:
     """Filter messages by header, parse them by payload kind and upsert the points into the store."""
 
-    def handle(batch: DataFrame, _: int) -> None:
-        upsert_by_key(parse_payloads(batch, parsers), target, id_fields, order, time)
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        upsert_by_key(parse_payloads(batch, parsers), target, id_fields, order, time, label=f"stream-{batch_id}")
 
     return with_headers(stream, headers).writeStream.foreachBatch(handle)
 
@@ -65,8 +65,8 @@ def stream_points(
 def stream_latest_by_key(stream: DataFrame, keys, target: str, order, time: str = "valid_from") -> DataStreamWriter:
     """Repeated deliveries of one key: the last one wins in the store."""
 
-    def handle(batch: DataFrame, _: int) -> None:
-        upsert_by_key(batch, target, as_columns(keys), order, time)
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        upsert_by_key(batch, target, as_columns(keys), order, time, label=f"stream-{batch_id}")
 
     return stream.writeStream.foreachBatch(handle)
 
@@ -79,42 +79,39 @@ def first_by_key(stream: DataFrame, keys, time: str, delay: str = "1 day") -> Da
 
 def stream_exceeded_check(
     stream: DataFrame, proposed: DataFrame, stored: str, result: str, receivers: DataFrame, keys, operator: str = "CASCADE",
-    level: str = "level", sender: str = "sender", received: str = "received", **options,
+    level: str = "level", sender: str = "sender", received: str = "received", time: str = "valid_from", **options,
 ) -> DataStreamWriter:
-    """Every realised batch: merge into the store, compare with the proposed values, emit per receiver.
+    """Every realised batch: append to the store, compare with the proposed values, emit per receiver.
 
-    Version numbers of the batch follow the stored ones.  Exceedances are
-    upserted into `result` by product, level and receiver.
+    A product is `keys` and its validity `time`.  Of the products a batch touches, all exceedances are worked out
+    anew and written to `result` by product, level and receiver; one that is no longer there is taken out by a
+    tombstone.  Version numbers follow the stored ones.  `proposed` may have `time` or hold for all times.
     """
     from headroom.registry import EXCEEDANCE
 
-    keys = as_columns(keys)
-    ids = [*keys, level, sender, "valid_from"]
+    products = [*as_columns(keys), time]
+    ids = [*products, level, sender]
+    out_ids = [*products, level, "receiver"]
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        marked = batch.withColumn("batch", F.lit(batch_id))
-        if store_exists(spark, stored):
-            before = read_store(spark, stored).drop("id_key")
-            newest = next_version(marked, ids, before.where(F.col("batch") != batch_id))
-            # a batch that runs again after a failure keeps the versions it gave out the first time
-            given = before.where(F.col("batch") == batch_id).groupBy(*ids).agg(F.max("version_number").alias("__given"))
-            newest = join_null_safe(newest, given, ids, "left").withColumn(
-                "version_number", F.coalesce("__given", "version_number")
-            ).drop("__given")
+        spark, label = batch.sparkSession, f"stream-{batch_id}"
+        if store_exists(spark, stored):  # without this batch's own rows, should it run again
+            numbered = next_version(batch, ids, read_store(spark, stored, without=label))
         else:
-            newest = marked.withColumn("version_number", F.lit(1))
-        upsert_by_key(newest, stored, ids, [received])
-        merged = read_store(spark, stored).drop("id_key", "batch")
-        touched = batch.select(*keys).distinct()
-        realised = merged.join(touched, keys, "left_semi")
-        joined = join_realised_proposed(proposed, realised, keys, level, sender, received)
-        exceeded = EXCEEDANCE[operator](joined, by=keys, level=level, **options)
-        stamped = exceeded.withColumnRenamed(sender, "receiver").withColumns(
-            {"batch": F.lit(batch_id), "valid_from": F.lit("1970-01-01").cast("timestamp")}
-        )
-        out = split_by_receiver(stamped, receivers, [*keys, level], ["batch"])
-        upsert_by_key(out, result, [*keys, level, "receiver"], ["batch"])
+            numbered = batch.withColumn("version_number", F.lit(1))
+        upsert_by_key(numbered, stored, ids, [received], time, label=label)
+        touched = batch.select(*products).distinct()
+        realised = join_null_safe(read_store(spark, stored).drop("id_key"), touched, products, "left_semi")
+        asked = join_null_safe(proposed, touched, products, "left_semi") if time in proposed.columns else join_null_safe(proposed, touched, as_columns(keys))
+        joined = join_realised_proposed(asked, realised, products, level, sender, received)
+        exceeded = EXCEEDANCE[operator](joined, by=products, level=level, **options)
+        stamped = exceeded.withColumnRenamed(sender, "receiver").withColumn("batch", F.lit(batch_id))
+        out = split_by_receiver(stamped, receivers, [*products, level], ["batch"]).withColumn(DELETED, F.lit(False))
+        if store_exists(spark, result):
+            before = join_null_safe(read_store(spark, result, without=label).drop("id_key"), touched, products, "left_semi")
+            cleared = join_null_safe(before, out.select(*out_ids), out_ids, "left_anti")
+            out = out.unionByName(cleared.withColumns({"batch": F.lit(batch_id), DELETED: F.lit(True)}), allowMissingColumns=True)
+        upsert_by_key(out, result, out_ids, ["batch"], time, label=label)
 
     return stream.writeStream.foreachBatch(handle)
 

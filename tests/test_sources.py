@@ -70,19 +70,61 @@ def test_documents_round_trip(spark, sf):
     assert dq.read_market_xml(spark, sf).count() == dq.parse_market_xml(spark, sf).count() == dq._result_points(spark, sf).count()
 
 
+def _store_schema():
+    return "k string, valid_from timestamp_ntz, n int, v double"
+
+
 def test_store_rerun_is_harmless_and_keeps_other_months(spark):
-    target = scratch_path(spark, "store")
-    schema = "k string, valid_from timestamp_ntz, n int, v double"
+    target, schema = scratch_path(spark, "store"), _store_schema()
     st.upsert_by_key(spark.createDataFrame([("a", T0, 1, 1.0), ("a", T0, 2, 2.0), (None, T0, 1, 5.0), ("a", datetime(2024, 4, 1), 1, 9.0)], schema), target, ["k", "valid_from"], "n")
     late = spark.createDataFrame([("a", T0, 3, 3.0)], schema)
     for _ in range(2):
-        st.upsert_by_key(late, target, ["k", "valid_from"], "n")
-    got = rows(st.read_store(spark, target).select("id_key", "v"))
-    assert got == [("2024-03-01 00:00:00", 5.0), ("a-2024-03-01 00:00:00", 3.0), ("a-2024-04-01 00:00:00", 9.0)]
+        st.upsert_by_key(late, target, ["k", "valid_from"], "n", label="late")
+    want = [("2024-03-01 00:00:00", 5.0), ("a-2024-03-01 00:00:00", 3.0), ("a-2024-04-01 00:00:00", 9.0)]
+    assert rows(st.read_store(spark, target).select("id_key", "v")) == want
+    assert rows(st.read_store(spark, target, without="late").select("id_key", "v"))[1][1] == 2.0
+    assert rows(st.read_store(spark, target, months=["2024-04"]).select("v")) == [(9.0,)]
+    st.upsert_by_key(spark.createDataFrame([("a", T0, 1, 8.0)], schema), target, ["k", "valid_from"], "n")  # older than what is stored
+    assert rows(st.read_store(spark, target).select("id_key", "v")) == want
+    assert sorted(st.compact_store(spark, target)) == ["2024-03", "2024-04"] and st.compact_store(spark, target) == []
+    assert rows(st.read_store(spark, target).select("id_key", "v")) == want
     long_key = spark.createDataFrame([("x" * 600,)], "k string").select(F.length(st.composite_id("k"))).first()[0]
     assert long_key == 600
 
 
+def test_store_appends_only_its_own_rows_and_compacts(spark):
+    target, schema = scratch_path(spark, "store"), _store_schema()
+    keys, months = ["k", "valid_from"], [datetime(2024, m, 1) for m in (1, 2, 3)]
+    st.upsert_by_key(spark.createDataFrame([(f"k{i}", t, 0, float(i)) for i in range(20) for t in months], schema), target, keys, "n")
+    before = set(spark.read.option("recursiveFileLookup", "true").parquet(f"{target}/deltas").inputFiles())
+    for b in range(1, 6):
+        st.upsert_by_key(spark.createDataFrame([("k3", months[1], b, 100.0 + b)], schema), target, keys, "n", label=f"b{b}", compact_every=4)
+    after = st.read_store(spark, target)
+    assert after.count() == 60 and [r.v for r in after.where("k = 'k3'").orderBy("valid_from").collect()] == [3.0, 105.0, 3.0]
+    files = st._Files(spark, target)
+    assert before and len(files.folders("deltas")) < 6 and files.folders("base/__month=2024-02") == ["upto=4"]
+    assert len(files.folders("base/__month=2024-01")) == 1
+    st.upsert_by_key(spark.createDataFrame([("k3", months[1], 9, None)], schema).withColumn("__deleted", F.lit(True)), target, keys, "n")
+    st.compact_store(spark, target)
+    st.upsert_by_key(spark.createDataFrame([("k3", months[1], 7, 1.0)], schema), target, keys, "n")  # older than its removal
+    assert st.read_store(spark, target).where("k = 'k3'").count() == 2
+    st.upsert_by_key(spark.createDataFrame([("k3", months[1], 10, 2.0, "new")], schema + ", extra string"), target, keys, "n")
+    assert rows(st.read_store(spark, target).where("k = 'k3'").select("v", "extra")) == [(2.0, "new"), (3.0, None), (3.0, None)]
+    with pytest.raises(ValueError):
+        st.upsert_by_key(spark.createDataFrame([("k3", months[1], "x", 1.0)], "k string, valid_from timestamp_ntz, n string, v double"), target, keys, "n")
+
+
+def test_store_without_rows_reads_as_a_table_and_ids_do_not_clash(spark):
+    target, schema = scratch_path(spark, "store"), _store_schema()
+    assert not st.store_exists(spark, target)
+    st.upsert_by_key(spark.createDataFrame([], schema), target, ["k", "valid_from"], "n")
+    empty = st.read_store(spark, target)
+    assert st.store_exists(spark, target) and empty.columns == ["k", "valid_from", "n", "v", "id_key"] and empty.count() == 0
+    pairs = spark.createDataFrame([("a-b", "c", T0, 1), ("a", "b-c", T0, 2), (None, "a-b-c", T0, 3), ("a-b-c", None, None, 4)], "p string, q string, valid_from timestamp_ntz, n int")
+    st.upsert_by_key(pairs, f"{target}2", ["p", "q", "valid_from"], "n")
+    assert rows(st.read_store(spark, f"{target}2").select("n")) == [(1,), (2,), (3,), (4,)]
+
+
 def test_streams_equal_batch(spark, sf):
     assert rows(sq.stream_latest_by_key(spark, sf)) == rows(sq.v.bids(spark, sf).groupBy("valid_from", "area").agg(F.max("id").alias("id")))
     assert sq.drain_available(spark, sf).agg(F.sum("n")).first()[0] == sq.v.bids(spark, sf).count()
