@@ -44,9 +44,24 @@ def combine_subtract(spark, sf):
 
 
 TREE = {"SUBTRACT": [{"ADD": [{"product": "SA_mFRR", "kind": "volume"}, {"product": "DA_mFRR"}]}, {"kind": "procured"}]}
+STEP_TREE = {"SUBTRACT": [{"ADD": [{"type": "1-URGENT"}, {"type": "2-HIGH"}]}, {"type": "3-MEDIUM"}]}
 
 
 def combine_tree(spark, sf):
+    """Curves given as daily steps, one kind of them as steps of two days: filled, summed per area, aligned to a day, combined."""
+    two_days = F.col("type") == "2-HIGH"
+    rows = v.steps(spark, sf).withColumn("area", F.concat(F.lit("a"), (F.col("series_id") % 3).cast("string")))
+    slow = {
+        "series_to": F.expr("series_from + interval 14 days"), "resolution": F.lit("P2D"),
+        "valid_from": F.expr("series_from + (position-1)*interval 2 days"), "valid_to": F.expr("series_from + position*interval 2 days"),
+    }
+    rows = rows.withColumns({name: F.when(two_days, column).otherwise(F.col(name)) for name, column in slow.items()})
+    result = cb.combine_tree(rows, STEP_TREE, "area", "quantity", steps={"types": ["series_id", "type", "area"]})
+    return result.withColumn("value", F.round("value", 6))
+
+
+def combine_tree_thinned(spark, sf):
+    """Bids of one step: one bid per exclusive group and leaf, products renamed to one."""
     rename = {"product": {"SA_mFRR": "all", "DA_mFRR": "all", "aFRR": "all"}}
     def one_per_group(rows, keys):
         return pick_group_argmax(rows, ["exclusive_id", *keys], "quantity", tie="id")
@@ -60,8 +75,10 @@ def _border(spark, sf, contract):
 
 
 def net_border_capacity(spark, sf):
-    net = cap.net_border_capacity([_border(spark, sf, "DA"), _border(spark, sf, "ID")], fill=False)
-    return net.withColumn("value", F.round("value", 6))
+    """Two borders in both directions; one leads south and another comes from the east only."""
+    east = F.when(F.col("out_area") == "South", "East").otherwise(F.col("out_area"))
+    tables = [_border(spark, sf, contract).withColumn("out_area", east) for contract in ("DA", "ID")]
+    return cap.net_border_capacity(tables).withColumn("value", F.round("value", 6))
 
 
 def limit_bids_by_capacity(spark, sf):
@@ -86,7 +103,7 @@ def pivot_products(spark, sf):
 
 
 def areas_by_name(spark, sf):
-    return a.areas_by_name(v.areas(spark, sf), v.table(spark, sf, "customer").where("c_acctbal > 9500").selectExpr("concat('NATION_', c_nationkey) name"))
+    return a.areas_by_name(v.areas(spark, sf), v.table(spark, sf, "customer").selectExpr("concat('NATION_', c_nationkey * 2) name"))
 
 
 def border_pairs(spark, sf):
@@ -106,7 +123,7 @@ QUERIES = {
     "combine_add": _combined(cb.combine_add), "combine_subtract": combine_subtract, "combine_min": _combined(cb.combine_min),
     "combine_max": _combined(cb.combine_max),
     **{q.__name__: q for q in (
-        combine_tree, net_border_capacity, limit_bids_by_capacity, compare_capacity_sources, pivot_products, areas_by_name, border_pairs,
+        combine_tree, combine_tree_thinned, net_border_capacity, limit_bids_by_capacity, compare_capacity_sources, pivot_products, areas_by_name, border_pairs,
         triples_roots, triples_to_table,
     )},
 }
@@ -131,7 +148,21 @@ ORACLE = {
  pa as (select distinct area, product from a), pb as (select distinct area, product from b)
 select valid_from, valid_to, area, product, round(case when (area,product) in (from pa) and (area,product) in (from pb) then a.q-b.q else coalesce(a.q,b.q) end,6) "value"
 from a full join b using (valid_from, valid_to, area, product) where valid_from in (from t)"""),
-    "combine_tree": oracle("bids", """, x as (select * from bids where exclusive_id is null),
+    "combine_tree": oracle("steps", """, s as (select *, 'a' || (series_id%3) area, case when "type"='2-HIGH' then 2 else 1 end w from steps where "type" in ('1-URGENT','2-HIGH','3-MEDIUM')),
+ p as (select distinct series_id, "type", area, w, series_from from s),
+ g as (select *, unnest(generate_series(series_from, series_from + to_days(6*w), to_days(w))) valid_from from p),
+ f as (select g."type", g.area, g.valid_from, last_value(quantity ignore nulls) over (partition by g.series_id order by g.valid_from rows unbounded preceding) q
+  from g left join s on s.series_id=g.series_id and s.series_from + to_days(cast((s."position"-1)*s.w as int)) = g.valid_from),
+ cells as (select "type", area, valid_from, coalesce(sum(q),0) q from f group by all), t as (select distinct "type", valid_from t from cells),
+ r as (select "type", min(t) lo, max(t) + to_days(case when "type"='2-HIGH' then 1 else 0 end) hi from t group by 1),
+ gx as (select "type", unnest(generate_series(lo, hi, interval 1 day)) d from r),
+ e as (select gx."type", d, t from gx asof join t on gx."type"=t."type" and gx.d >= t.t),
+ al as (select e."type", e.d valid_from, c.area, c.q from e join cells c on c."type"=e."type" and c.valid_from=e.t),
+ a as (from al where "type"='1-URGENT'), b as (from al where "type"='2-HIGH'), c as (from al where "type"='3-MEDIUM'),
+ ab as (select valid_from, area, coalesce(a.q+b.q,a.q,b.q) q from a full join b using (valid_from,area) where valid_from in (select valid_from from a) and valid_from in (select valid_from from b))
+select valid_from, valid_from + interval 1 day valid_to, area, round(ab.q-c.q,6) "value" from ab full join c using (valid_from,area)
+where valid_from in (select valid_from from ab) and valid_from in (select valid_from from c)"""),
+    "combine_tree_thinned": oracle("bids", """, x as (select * from bids where exclusive_id is null),
  l1 as (select valid_from, valid_to, area, quantity from (select *, row_number() over (partition by exclusive_id order by quantity desc, id) rn from bids where product='SA_mFRR' and kind='volume') where rn=1 or exclusive_id is null),
  l2 as (select valid_from, valid_to, area, quantity from (select *, row_number() over (partition by exclusive_id order by quantity desc, id) rn from bids where product='DA_mFRR') where rn=1 or exclusive_id is null),
  l3 as (select valid_from, valid_to, area, quantity from (select *, row_number() over (partition by exclusive_id order by quantity desc, id) rn from bids where kind='procured') where rn=1 or exclusive_id is null),
@@ -140,10 +171,13 @@ from a full join b using (valid_from, valid_to, area, product) where valid_from
  ab as (select valid_from, valid_to, area, coalesce(a.q+b.q,a.q,b.q) q from a full join b using (valid_from,valid_to,area) where valid_from in (select valid_from from a) and valid_from in (select valid_from from b))
 select valid_from, valid_to, area, 'all' product, round(ab.q-c.q,6) "value" from ab full join c using (valid_from,valid_to,area)
 where valid_from in (select valid_from from ab) and valid_from in (select valid_from from c)"""),
-    "net_border_capacity": oracle("capacity", """, d as (select valid_from, valid_to, out_area, in_area, sum(quantity) q from capacity where contract='DA' group by all),
- i as (select valid_from, valid_to, out_area, in_area, sum(quantity) q from capacity where contract='ID' group by all)
-select d.valid_from, d.valid_to, d.out_area, d.in_area, round(d.q-i.q+o.q,6) "value" from d join i using (valid_from,out_area,in_area)
-join i o on o.valid_from=d.valid_from and o.out_area=d.in_area and o.in_area=d.out_area"""),
+    "net_border_capacity": oracle("capacity", """, k as (select valid_from, case out_area when 'South' then 'East' else out_area end out_area, in_area, contract, sum(quantity) q from capacity group by all),
+ tb as (select distinct contract, out_area, in_area from k), tt as (select distinct contract, valid_from from k),
+ f as (select contract, valid_from, out_area, in_area, last_value(q ignore nulls) over (partition by contract, out_area, in_area order by valid_from rows unbounded preceding) q
+  from tt join tb using (contract) left join k using (contract, valid_from, out_area, in_area)),
+ d as (from f where contract='DA'), i as (from f where contract='ID'), two as (select distinct in_area out_area, out_area in_area from d)
+select d.valid_from, d.valid_from + interval 15 minutes valid_to, d.out_area, d.in_area, round(d.q-i.q+case when (d.out_area,d.in_area) in (select (out_area,in_area) from two) then o.q else i.q end,6) "value"
+from d join i using (valid_from,out_area,in_area) left join i o on o.valid_from=d.valid_from and o.out_area=d.in_area and o.in_area=d.out_area where "value" is not null"""),
     "limit_bids_by_capacity": oracle("bids capacity", _LEVELS + """,
  rb as (select area, product, direction, quantity, row_number() over w-1 rn, count(*) over (partition by area,product,direction) n from bids window w as (partition by area,product,direction order by quantity)),
  b as (select *, round(100-tick/100,2)::double l from rb join p on rn=(tick*(n-1))//10000),
@@ -158,7 +192,7 @@ select valid_from, out_area, in_area, round(da,6) da, round(id,6) id, round(leas
     "pivot_products": oracle("bids", """, b as (select * replace (case when quantity<80 then quantity end as quantity) from bids)
 select valid_from, valid_to, area, product, direction, 'sum' how, round(coalesce(sum(quantity),0),6) "value" from b group by all
 union all select valid_from, valid_to, area, product, direction, 'mean', round(avg(quantity),6) from b group by all having avg(quantity) is not null"""),
-    "areas_by_name": oracle("areas", """select * from areas where "name" in (select concat('NATION_', c_nationkey) from customer where c_acctbal>9500)"""),
+    "areas_by_name": oracle("areas", """select * from areas where "name" in (select concat('NATION_', c_nationkey * 2) from customer)"""),
     "border_pairs": oracle("areas", """, b(x,y) as (values ('NATION_1','NATION_2'),('NATION_2','NATION_1'),('NATION_2','NATION_3'),('NATION_3','NATION_2'))
 select o.code out_id, i.code in_id from b join areas o on o."name"=x join areas i on i."name"=y"""),
     "triples_roots": oracle("triples", "select distinct PARENT_ID from triples where PARENT_ID not in (select ID from triples)"),

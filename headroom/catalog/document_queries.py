@@ -101,11 +101,24 @@ def read_matrix_json(spark, sf):
     )
 
 
-def read_json_points(spark, sf):
-    """Lists of at most 500 points each, as one message holds them."""
+def _point_lists(spark, sf):
+    """Lists of at most 500 points each, as one message or file holds them."""
     point = F.struct("id", "area", F.struct(F.col("quantity").alias("value")).alias("available"))
-    lists = v.bids(spark, sf).groupBy(F.floor(F.col("id") / 500).alias("list")).agg(F.to_json(F.collect_list(point)).alias("value"))
-    points = mx.parse_json_points(lists, "value", "id: bigint, area: string, available: struct<value: double>")
+    return v.bids(spark, sf).groupBy(F.floor(F.col("id") / 500).alias("list")).agg(F.to_json(F.collect_list(point)).alias("value"))
+
+
+POINT = "id bigint, area string, available struct<value: double>"
+
+
+def read_json_points(spark, sf):
+    path = scratch_path(spark, "lists")
+    _point_lists(spark, sf).write.partitionBy("list").text(path)
+    points = mx.read_json_points(spark, path, POINT)
+    return points.select("id", "area", F.col("available.value").alias("value"))
+
+
+def parse_json_points(spark, sf):
+    points = mx.parse_json_points(_point_lists(spark, sf), "value", "id: bigint, area: string, available: struct<value: double>")
     return points.select("id", "area", F.col("available.value").alias("value"))
 
 
@@ -121,7 +134,7 @@ def upsert_by_key(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in (
-    write_market_xml, read_market_xml, parse_market_xml, validate_market_xml, read_matrix_json, read_json_points, upsert_by_key,
+    write_market_xml, read_market_xml, parse_market_xml, validate_market_xml, read_matrix_json, read_json_points, parse_json_points, upsert_by_key,
 )}
 
 ORACLE = {
@@ -132,6 +145,7 @@ ORACLE = {
     "read_matrix_json": oracle("imbalance", """select 'balancing_ace' mrid, valid_from, valid_to, region domain_name, case region when 'North' then 'N' when 'Mid' then 'M' end "domain",
  case region when 'North' then 'A02' else 'A01' end direction_code, 'A86' message_type, 'B33' business_type, 'A16' process_type, round(quantity,6) quantity from imbalance"""),
     "read_json_points": oracle("bids", """select id, area, quantity "value" from bids"""),
+    "parse_json_points": oracle("bids", """select id, area, quantity "value" from bids"""),
     "upsert_by_key": oracle("bids", """, b as (select *, concat_ws('-', strftime(valid_from,'%Y-%m-%d %H:%M:%S'), area, product, exclusive_id) k from bids)
 select k id_key, id, valid_from, area, product, exclusive_id, round(quantity+case when id%2=1 or id%3=0 then 1000 else 0 end,6) quantity
 from (select *, row_number() over (partition by k order by id desc) r from b) where r=1"""),

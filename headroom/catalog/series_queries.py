@@ -47,9 +47,14 @@ def align_resolutions(spark, sf):
     )
 
 
+WINDOW = (datetime(1996, 1, 3), datetime(1997, 6, 20))
+
+
 def fill_steps(spark, sf):
-    filled = s.fill_steps(v.steps(spark, sf), ["series_id", "type"])
-    return filled.select("series_id", "type", "series_from", "series_to", "valid_from", "valid_to", "resolution", "position", "quantity")
+    """Whole series, and the same within a query window, where a series may have no row left."""
+    whole = s.fill_steps(v.steps(spark, sf), ["series_id", "type"]).withColumn("part", F.lit("whole"))
+    window = s.fill_steps(v.steps(spark, sf), ["series_id", "type"], start=WINDOW[0], end=WINDOW[1]).withColumn("part", F.lit("window"))
+    return whole.unionByName(window).select("part", "series_id", "type", "series_from", "series_to", "valid_from", "valid_to", "resolution", "position", "quantity")
 
 
 def double_weight(spark, sf):
@@ -169,12 +174,13 @@ union all select 'gap', min(gap)::bigint from (select epoch(valid_from)-lag(epoc
  ah as (select g, (select max(valid_from) from th where valid_from<=g) t from gh)
 select 'fine' source, g valid_from, g + interval 15 minutes valid_to, region, round(quantity,6) quantity from af join imbalance on valid_from=t
 union all select 'coarse', g, g + interval 15 minutes, region, round(quantity,6) from ah join hourly on valid_from=t"""),
-    "fill_steps": oracle("steps", """, s as (select distinct series_id, "type", series_from, series_to from steps),
- g as (select *, unnest(generate_series(series_from, series_to - interval 1 day, interval 1 day)) valid_from from s)
-select g.series_id, g."type", g.series_from, g.series_to, g.valid_from, g.valid_from + interval 1 day valid_to,
+    "fill_steps": oracle("steps", f""", s as (select distinct series_id, "type", series_from, series_to from steps),
+ g as (select 'whole' part, *, unnest(generate_series(series_from, series_to - interval 1 day, interval 1 day)) valid_from from s
+  union all select 'window', *, unnest(generate_series(greatest(series_from, timestamp '{WINDOW[0]}'), least(series_to, timestamp '{WINDOW[1]}') - interval 1 day, interval 1 day)) from s)
+select part, g.series_id, g."type", g.series_from, g.series_to, g.valid_from, g.valid_from + interval 1 day valid_to,
  last_value(resolution ignore nulls) over w resolution, last_value("position" ignore nulls) over w "position", last_value(quantity ignore nulls) over w quantity
 from g left join steps t on t.series_id=g.series_id and t.valid_from=g.valid_from
-window w as (partition by g.series_id order by g.valid_from rows unbounded preceding)"""),
+window w as (partition by part, g.series_id order by g.valid_from rows unbounded preceding)"""),
     "double_weight": oracle("bids", """
 select valid_from, sum(case when valid_from between timestamp '2024-01-21' and timestamp '2024-01-31' then 2 else 1 end)::bigint n,
  round(sum(quantity*case when valid_from between timestamp '2024-01-21' and timestamp '2024-01-31' then 2 else 1 end),4) quantity from bids group by 1"""),

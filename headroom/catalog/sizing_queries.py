@@ -13,7 +13,7 @@ PROBS = [0.005, 0.1, 0.2, 0.8, 0.9, 0.995]
 LEVELS = [("Level 1", 20.0, 30.0), ("Level 2", 40.0, 5.0)]  # limits that suit the events table
 TARGETS = [(n, t) for n, t, _ in LEVELS]
 ALLOWED = {n: p for n, _, p in LEVELS}
-SIMULATIONS, SAMPLES, SEED = 20, 2000, 7
+SIMULATIONS, SAMPLES, SEED = 50, 20_000, 7
 
 
 def _rounded(df, *names):

@@ -26,6 +26,8 @@ def net_border_capacity(
 ) -> DataFrame:
     """Day-ahead(a→b) − intraday(a→b) + intraday(b→a) for every day-ahead border.
 
+    A border that day-ahead knows in one direction only is its own opposite: its
+    intraday flow is taken off and put back, so the day-ahead value stays.
     Inputs: (time, out_area, in_area, value), one row each.  With `fill` both
     tables are filled forward over their own times first; `step` says that
     those times form a gapless grid.
@@ -47,7 +49,10 @@ def net_border_capacity(
     merged = ahead.unionByName(minus).unionByName(plus).groupBy(*keys).agg(
         *[F.max(c).alias(c) for c in ("__da", "__minus", "__plus")]
     )
-    return merged.select(*keys, (F.col("__da") - F.col("__minus") + F.col("__plus")).alias("value")).where("value is not null")
+    listed = day_ahead.select("out_area", "in_area").distinct().agg(F.collect_set(F.struct("out_area", "in_area")).alias("b")).select("b").scalar()  # area pairs: few
+    opposite = F.struct(F.col("in_area").alias("out_area"), F.col("out_area").alias("in_area"))
+    returned = F.when(F.array_contains(listed, opposite), F.col("__plus")).otherwise(F.col("__minus"))
+    return merged.select(*keys, (F.col("__da") - F.col("__minus") + returned).alias("value")).where("value is not null")
 
 
 def limit_bids_by_capacity(

@@ -22,7 +22,7 @@ def fill_ordered(
 
     A group is cut into chunks of `chunk` seconds.  Each chunk is filled in a
     task of its own; one summary row per chunk carries the last known value to
-    the chunks after it.  Small plans use a single chunk per group.
+    the chunks after it.  `split=False` says that every group is known to be small.
     """
     by, columns, tie = as_columns(by), as_columns(columns), as_columns(tie)
     forward = direction == "forward"
@@ -92,6 +92,25 @@ def _cells(start: Column, stop: Column, step: int) -> Column:
     return F.when(stop > start, F.sequence(start, stop - step, F.lit(step).cast("bigint"))).otherwise(F.array().cast("array<bigint>"))
 
 
+CHUNK_CELLS = 4096
+
+
+def next_in_order(df: DataFrame, column: str, chunk: int, by=None, name: str = "__next") -> DataFrame:
+    """`df` with the next larger `column` (a whole number) of its group as `name`, null for the last.
+
+    The number line is cut into chunks of `chunk`.  Inside a chunk a window finds the next value; the first value of
+    each chunk, one row a chunk, is handed to the chunk before it.  So no task sees all values of a group.
+    """
+    by = as_columns(by)
+    chunked = df.withColumn("__chunk", F.floor(F.col(column) / F.lit(chunk)))
+    inside = F.lead(column).over(W.partitionBy(*by, "__chunk").orderBy(column))
+    firsts = chunked.groupBy(*by, "__chunk").agg(F.min(column).alias("__first"))
+    order = W.partitionBy(*(by or [F.lit(0)])).orderBy("__chunk")
+    handed = firsts.select(*by, "__chunk", F.lead("__first").over(order).alias("__handed"))
+    joined = join_null_safe(chunked.withColumn(name, inside), handed, [*by, "__chunk"])
+    return joined.withColumn(name, F.coalesce(name, "__handed")).drop("__chunk", "__handed")
+
+
 def _shared_span(df: DataFrame, low: Column, high: Column) -> tuple[Column, Column]:
     """Lowest and highest of two columns over the whole table, as scalar subqueries of one aggregate."""
     span = df.agg(F.min(low).alias("__lo"), F.max(high).alias("__hi"))
@@ -191,24 +210,26 @@ def resample_named(df: DataFrame, how: str, step: str | int, value: str, *args,
 def _resample_by(how, df: DataFrame, step: str | int, value: str, by=None, time: str = "valid_from", end: str | None = "valid_to", shared_range: bool = False) -> DataFrame:
     """One aggregate per grid cell, from a product's first cell to the end of its last interval.
 
-    Empty cells are emitted by the cell before them, not by a join with a grid.
+    Empty cells are emitted by the cell before them, not by a join with a grid; the cell after is found chunk by
+    chunk, so a product is spread over tasks at any step.
     """
     step, by = duration_seconds(step), as_columns(by)
     end = end if end in df.columns else None
     cell = _floor_to(epoch(time), step)
     high = F.greatest(cell, _floor_to(epoch(end), step) - step) if end else cell
     means = df.groupBy(*by, cell.alias("cell")).agg(how(value).alias(value), F.max(high).alias("__high"))
-    ordered = W.partitionBy(*by).orderBy("cell")
+    bounds = means.groupBy(*by).agg(F.min("cell").alias("__start"), F.max("__high").alias("__last"))
+    follows = next_in_order(means, "cell", step * CHUNK_CELLS, by)
+    if by:
+        spread = join_null_safe(follows, bounds, by)
+    else:
+        spread = follows.withColumns({c: bounds.select(c).scalar() for c in ("__start", "__last")})
+    first = F.col("__start")
     if shared_range:
         first, last = _shared_span(df, cell, high)
-    else:
-        first, last = F.col("cell"), F.max("__high").over(W.partitionBy(*by))
-    spread = means.select(
-        *by, "cell", value, F.lead("cell").over(ordered).alias("__next"), F.row_number().over(ordered).alias("__rn"),
-        first.alias("__first"), last.alias("__last"),
-    )
+        spread = spread.withColumn("__last", last)
     stop = F.coalesce(F.col("__next"), F.greatest(F.col("__last"), F.col("cell")) + step)
-    before = F.when(F.col("__rn") == 1, _cells(F.col("__first"), F.col("cell"), step)).otherwise(F.array().cast("array<bigint>"))
+    before = F.when(F.col("cell") == F.col("__start"), _cells(first, F.col("cell"), step)).otherwise(F.array().cast("array<bigint>"))
     points = spread.withColumn("__cell", F.explode(F.concat(before, _cells(F.col("cell"), stop, step))))
     filled = points.select(*by, F.when(F.col("__cell") == F.col("cell"), F.col(value)).alias(value), F.col("__cell").alias("cell"))
     return _out(filled, by, time, end, step, type_of(df, time), value)
@@ -236,13 +257,13 @@ def resample_table(df: DataFrame, step: int, value: str, by=None, time: str = "v
     by = as_columns(by)
     kind = type_of(df, time)
     # an effective cell may be shared by several times below the step: the last one serves it
-    cell = F.ceil(F.unix_micros(F.col("__t").cast("timestamp")) / F.lit(step * 1_000_000)) * step
-    times = df.groupBy(F.col(time).alias("__t")).agg(F.max(epoch(end)).alias("__end")).withColumn("__cell", cell.cast("bigint"))
-    # one row per distinct time: bounded by the calendar, not by the data
-    order = W.partitionBy(F.lit(0)).orderBy("__t")
-    following = F.lead("__cell").over(order)
-    served = times.withColumn("__next", F.coalesce(following, F.greatest(_floor_to(F.col("__end"), step), F.col("__cell") + step)))
-    served = served.where("__next > __cell").select("__t", "__cell", "__next")
+    cell = F.ceil(F.unix_micros(F.col(time).cast("timestamp")) / F.lit(step * 1_000_000)) * step
+    ends = F.struct(F.col(time).alias("t"), epoch(end).alias("end"))  # of equal times the longest
+    times = df.groupBy(cell.cast("bigint").alias("__cell")).agg(F.max(ends).alias("__at"))
+    times = times.where("__cell is not null").select("__cell", F.col("__at.t").alias("__t"), F.col("__at.end").alias("__end"))
+    served = next_in_order(times, "__cell", step * CHUNK_CELLS).withColumn(
+        "__next", F.coalesce("__next", F.greatest(_floor_to(F.col("__end"), step), F.col("__cell") + step))
+    ).select("__t", "__cell", "__next")
     cells = F.sequence(F.col("__cell"), F.col("__next") - step, F.lit(step).cast("bigint"))
     rows = df.join(served, df[time] == F.col("__t")).drop(time, end).withColumn("__at", F.explode(cells))
     return rows.select(from_epoch(F.col("__at"), kind).alias(time), from_epoch(F.col("__at") + step, kind).alias(end), *by, value)

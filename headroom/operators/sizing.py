@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from headroom.functions.numbers import percent_of
 from headroom.operators.quantiles import interpolated, linear_ranks
-from headroom.operators.ranks import Distribution, distribution_of, value_counts
+from headroom.operators.ranks import Distribution, distribution_of
 from headroom.scale import as_columns, join_null_safe
 
 # Control-error levels (name, MW target, allowed % of time).
@@ -231,7 +231,9 @@ def bootstrap_percentiles(
     by = as_columns(by)
     known = distribution_of(df, value, by, weight, split)
     sizes = known.sizes()
-    drawn = Distribution(value_counts(bootstrap_draws(sizes, simulations, samples, seed, by), "rank", [*by, "sim"]), [*by, "sim"], split)
+    # ranks are never null: counted as they are, so that each draw is hashed once
+    counted = bootstrap_draws(sizes, simulations, samples, seed, by).groupBy(*by, "sim", "rank").agg(F.count(F.lit(1)).alias("weight"))
+    drawn = Distribution(counted.select(*by, "sim", F.col("rank").cast("double").alias("value"), "weight"), [*by, "sim"], split)
     asks = []
     for p in probs:
         place = float(p) * (samples - 1)

@@ -178,3 +178,17 @@ def test_triples_take_the_nearest_ancestor_and_stop_at_the_depth(spark):
     shallow = tr.triples_to_table(df, "Point", parents=1, child=False)
     assert "Document_ID" not in shallow.columns and "text" not in shallow.columns
     assert [r[0] for r in tr.triples_roots(df).collect()] == ["root"]
+
+
+@pytest.mark.parametrize("by", [[], ["k"]])
+def test_next_in_order_over_chunks(spark, by):
+    rng = random.Random(8)
+    data = sorted({(rng.choice(["a", "b", None]) if by else "a", rng.randint(-500, 500)) for _ in range(300)}, key=repr)
+    df = spark.createDataFrame(data, "k string, c long")
+    got = {(r.k, r.c): r["__next"] for r in s.next_in_order(df, "c", 32, by).collect()}
+    for k, c in data:
+        later = [x for g, x in data if g == k and x > c]
+        assert got[k, c] == (min(later) if later else None)
+    plan = s.next_in_order(df, "c", 32, by)._jdf.queryExecution().executedPlan().toString().splitlines()
+    below = [plan[i + 1] for i, line in enumerate(plan) if "SinglePartition" in line]
+    assert all("keys=[__chunk" in line for line in below)  # only the rows of a chunk each meet in one task
