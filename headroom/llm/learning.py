@@ -35,9 +35,15 @@ def _limit(groups: list[tuple[int, int]], wanted: float) -> float:
     return float(np.exp(high))
 
 
-def class_sample(rows: DataFrame, text: str, label: str, per_class: int, characters: int) -> tuple[list[str], np.ndarray, dict]:
+def class_sample(
+    rows: DataFrame, text: str, label: str, per_class: int, characters: int, labels: DataFrame | None = None, key: str = "doc_id",
+) -> tuple[list[str], np.ndarray, dict]:
     """(texts, labels, rows of each class) of at most `per_class` rows a class; null labels are left out.
 
+    `labels`, where given, is a table of `key` and `label` for the rows; it meets their
+    keys and two hashes of their texts only, and the drawn texts are fetched by these
+    hashes, so that no text is shuffled before the draw at any size.
+
     Distinct texts are drawn by a hash with their numbers of copies as weights, about
     SPARE * `per_class` a class, before a text is fetched; a text is fetched once.  The
     rows given stand for all rows of the class: a text is repeated by its share of
@@ -45,9 +51,16 @@ def class_sample(rows: DataFrame, text: str, label: str, per_class: int, charact
     `characters` characters taken from all over it.
     """
     keys = ["label", "h", "g"]
-    known = rows.filter(F.col(label).isNotNull()).select(F.coalesce(F.col(text), F.lit("")).alias("text"), F.col(label).alias("label"))
-    marked = known.withColumns({"h": F.xxhash64("text", F.lit(17)), "g": F.xxhash64("text", F.lit(71))})
-    kinds = stored(marked.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), "kinds")
+    own = F.coalesce(F.col(text), F.lit(""))
+    marks = {"h": F.xxhash64("text", F.lit(17)), "g": F.xxhash64("text", F.lit(71))}
+    if labels is None:
+        marked = rows.filter(F.col(label).isNotNull()).select(own.alias("text"), F.col(label).alias("label")).withColumns(marks)
+        seen, found_by = marked, keys
+    else:
+        marked = rows.select(F.col(key).alias("key"), own.alias("text")).withColumns(marks)
+        known = labels.filter(F.col(label).isNotNull()).select(F.col(key).alias("key"), F.col(label).alias("label"))
+        seen, found_by = marked.select("key", "h", "g").join(known, "key"), ["h", "g"]
+    kinds = stored(seen.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), "kinds")
     sizes = kinds.groupBy("label", F.floor(F.log2("n")).alias("like")).agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("texts")).collect()
     if not sizes:
         return [], np.array([]), {}
@@ -63,7 +76,7 @@ def class_sample(rows: DataFrame, text: str, label: str, per_class: int, charact
     chosen = kinds.join(limited, "label").withColumn("turn", turn).filter("turn < limit").drop("limit")
     if sum(min(wanted, sum(t for _, t in g)) for g in groups.values()) < BROADCAST:
         chosen = F.broadcast(chosen)
-    fetched = marked.join(chosen, keys).select(*keys, "n", "turn", pieces_of(F.col("text"), characters).alias("text"))
+    fetched = marked.join(chosen, found_by).select(*keys, "n", "turn", pieces_of(F.col("text"), characters).alias("text"))
     found = fetched.groupBy(*keys).agg(F.first("n").alias("n"), F.first("turn").alias("turn"), F.first("text").alias("text")).toArrow()
     own, n, turn = np.array(found["label"].to_pylist()), found["n"].to_numpy(), found["turn"].to_numpy()
     pieces, texts, labels = found["text"].to_pylist(), [], []

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headroom.llm.learning import class_sample, sigmoid
-from headroom.llm.toxicity import learning_rows, scored_query
+from headroom.llm.toxicity import as_labelled, as_labels, learning_rows, scored_query
 
 PER_CLASS = 2500
 CHARACTERS = 4096
@@ -145,10 +145,13 @@ class Constant:
         return np.full(len(offsets) - 1, self.share)
 
 
-def fit(labelled: DataFrame, text: str = "text", label: str = "quality", per_class: int = PER_CLASS, characters: int = CHARACTERS, epochs: int = EPOCHS):
-    """Model with `score` from rows with a text and a 0/1 label; classes are weighed back to their shares."""
-    rows = labelled.select(F.col(text).alias("text"), F.col(label).cast("int").alias("label"))
-    texts, labels, counts = class_sample(rows, "text", "label", per_class, characters)
+def fit(
+    labelled: DataFrame, text: str = "text", label: str = "quality", per_class: int = PER_CLASS, characters: int = CHARACTERS, epochs: int = EPOCHS,
+    labels: DataFrame | None = None, key: str = "doc_id",
+):
+    """Model with `score` from rows with a text and a 0/1 label, which may stand in a table `labels` by `key`; classes are weighed back to their shares."""
+    known = () if labels is None else (as_labels(labels, label, key), key)
+    texts, labels, counts = class_sample(*as_labelled(labelled, text, label, key, labels), per_class, characters, *known)
     if len(counts) < 2:
         total = sum(counts.values())
         return Constant(counts.get(1, 0) / total if total else 0.0)
@@ -158,7 +161,8 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "quality", per_cla
 
 
 def op2_byte_convolution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scored_query(spark, sf_dir, fit(learning_rows(spark, sf_dir, "quality", 3, 1)), 3, 1)
+    docs, labels = learning_rows(spark, sf_dir, "quality", 3, 1)
+    return scored_query(spark, sf_dir, fit(docs, labels=labels), 3, 1)
 
 
 QUERIES = {"op2_byte_convolution": op2_byte_convolution}

@@ -129,9 +129,22 @@ class Model:
         return sigmoid(savings(data, offsets, self.ordinary, self.toxic) @ self.weights + self.bias)
 
 
-def fit(labelled: DataFrame, text: str = "text", label: str = "toxic", per_class: int = PER_CLASS, characters: int = CHARACTERS) -> Model:
-    """Model from rows with a text and a 0/1 label."""
-    return Model(*class_sample(labelled.select(F.col(text).alias("text"), F.col(label).cast("int").alias("label")), "text", "label", per_class, characters))
+def fit(
+    labelled: DataFrame, text: str = "text", label: str = "toxic", per_class: int = PER_CLASS, characters: int = CHARACTERS,
+    labels: DataFrame | None = None, key: str = "doc_id",
+) -> Model:
+    """Model from rows with a text and a 0/1 label, which may stand in a table `labels` by `key`."""
+    return Model(*class_sample(*as_labelled(labelled, text, label, key, labels), per_class, characters, *(() if labels is None else (as_labels(labels, label, key), key))))
+
+
+def as_labelled(rows: DataFrame, text: str, label: str, key: str, labels: DataFrame | None):
+    """Rows with the columns that `class_sample` reads, and their names."""
+    own = F.col(text).alias("text")
+    return rows.select(own, F.col(label).cast("int").alias("label")) if labels is None else rows.select(F.col(key), own), "text", "label"
+
+
+def as_labels(labels: DataFrame, label: str, key: str) -> DataFrame:
+    return labels.select(key, F.col(label).cast("int").alias("label"))
 
 
 def scored(docs: DataFrame, model, text: str = "text", score: str = "score") -> DataFrame:
@@ -153,10 +166,10 @@ def _with(docs: DataFrame, score: str):
     return schema.add(score, "double")
 
 
-def learning_rows(spark: SparkSession, sf_dir: str, label: str, parts: int, held_out: int) -> DataFrame:
-    """Text and label of the labelled documents that are not held out."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", F.col(label).alias("label")).filter(share_of("doc_id", parts) != held_out)
-    return documents(spark, sf_dir).select("doc_id", "text").join(labels, "doc_id").select("text", F.col("label").alias(label))
+def learning_rows(spark: SparkSession, sf_dir: str, label: str, parts: int, held_out: int) -> tuple[DataFrame, DataFrame]:
+    """The documents, and the labels (doc_id, label) of those that are not held out."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", label).filter(share_of("doc_id", parts) != held_out)
+    return documents(spark, sf_dir).select("doc_id", "text"), labels
 
 
 def scored_query(spark: SparkSession, sf_dir: str, model, parts: int, held_out: int) -> DataFrame:
@@ -165,7 +178,8 @@ def scored_query(spark: SparkSession, sf_dir: str, model, parts: int, held_out:
 
 
 def op3_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = fit(learning_rows(spark, sf_dir, "toxic", 5, 0))
+    docs, labels = learning_rows(spark, sf_dir, "toxic", 5, 0)
+    model = fit(docs, labels=labels)
     return scored_query(spark, sf_dir, model, 5, 0)
 
 

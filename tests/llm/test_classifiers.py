@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pyarrow as pa
 
-from headroom.llm import language, quality, toxicity
+from headroom.llm import language, learning, quality, toxicity
 from headroom.llm.texts import flat
 
 
@@ -154,3 +154,14 @@ def test_all_labels_are_sampled(spark):
 
     rows = [(f"t{i}", f"l{i}") for i in range(1200)]
     assert len(class_sample(spark.createDataFrame(rows, "text string, label string"), "text", "label", 3, 4096)[2]) == 1200
+
+
+def test_sample_by_a_table_of_labels_equals_labelled_rows(spark, table):
+    """The table of labels meets hashes only, yet the same rows are drawn."""
+    docs = table([(i, f"text number {i % 40}") for i in range(120)] + [(200, None), (201, "unlabelled")])
+    labels = spark.createDataFrame([(i, i % 3 % 2) for i in range(120)] + [(200, 1), (7, 1), (999, 0), (3, None)], "doc_id long, quality int")
+    joined = docs.join(labels, "doc_id").select("text", "quality")
+    for size in (10, 1000):
+        texts, own, counts = learning.class_sample(joined, "text", "quality", size, 4096)
+        again = learning.class_sample(docs, "text", "quality", size, 4096, labels, "doc_id")
+        assert (again[0], again[1].tolist(), again[2]) == (texts, own.tolist(), counts)
