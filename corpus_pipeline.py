@@ -18,9 +18,8 @@ SHARDS = 40
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below 0.5 by the compression-distance model, which learns from the labelled documents."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select(F.col("doc_id").alias("__id"), F.col("toxic").alias("__toxic"))
-    labelled = docs.select("doc_id", "text").join(labels, F.col("doc_id") == F.col("__id")).select("text", F.col("__toxic").alias("toxic"))
-    return toxicity.scored(docs, toxicity.fit(labelled), score="__score").filter("__score < 0.5").select(docs.columns)
+    model = toxicity.fit(docs, labels=spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.scored(docs, model, score="__score").filter("__score < 0.5").select(docs.columns)
 
 
 def with_row(docs: DataFrame) -> DataFrame:
