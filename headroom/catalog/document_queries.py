@@ -64,6 +64,42 @@ def parse_market_xml(spark, sf):
     )
 
 
+def _odd_documents(spark, sf):
+    """Documents with an element that no schema lists, and a text for the quantity of each first point."""
+    text = F.regexp_replace(F.col("document"), r"(<position>1</position>\s*<quantity>)[^<]*", "$1open")
+    noted = F.regexp_replace(text, f"</{DOC}>", F.concat(F.lit("<delivery.note kind='free'><line>"), F.col("receiver"), F.lit(f"</line><line>end</line></delivery.note></{DOC}>")))
+    path = scratch_path(spark, "odd")
+    # one file, under one root, for each receiver and year: a few hundred documents at most
+    year = F.date_format("period_from", "yyyy").alias("year")
+    files = _document_text(spark, sf).select("receiver", year, noted.alias("document")).groupBy("receiver", "year").agg(
+        F.concat(F.lit("<all>"), F.array_join(F.collect_list("document"), ""), F.lit("</all>")).alias("value")
+    )
+    files.write.partitionBy("receiver", "year").text(path)
+    return path
+
+
+def unlisted_elements(spark, sf):
+    found = d.unlisted_elements(spark, _odd_documents(spark, sf), DOC)
+    return found.groupBy("path", F.array_join(F.col("position").cast("array<string>"), ".").alias("position"), "value").agg(F.count("*").alias("n"))
+
+
+def read_mixed_quantities(spark, sf):
+    points = d.read_market_xml(spark, _odd_documents(spark, sf), DOC)
+    return points.select(
+        quoted("Bid_TimeSeries.mRID").cast("bigint").alias("series_id"), quoted("Point.position").alias("position"), quoted("Point.quantity").alias("quantity"),
+        quoted("Point.quantity.text").alias("text"),
+    )
+
+
+def bounded_documents(spark, sf):
+    """Documents of at most 200 points and one series: the parts of each group, read back whole."""
+    path = scratch_path(spark, "parts")
+    d.write_market_xml(_result_points(spark, sf).withColumn("period_from", F.lit("1995-01-01").cast("timestamp")), DOC, path, max_points=200)
+    points = d.read_market_xml(spark, path, DOC)
+    per = points.groupBy("mRID", quoted("receiver_MarketParticipant.mRID").alias("receiver")).agg(F.count("*").alias("points"), F.round(F.sum(quoted("Point.quantity")), 4).alias("quantity"))
+    return per.groupBy("receiver").agg(F.max(F.col("points") < 207).alias("bounded"), (F.count("*") > 1).alias("parted"), F.sum("points").alias("points"), F.round(F.sum("quantity"), 4).alias("quantity"))
+
+
 XSD = """<?xml version="1.0"?>
 <xs:schema xmlns:xs="http://www.w3.org/2001/XMLSchema"><xs:element name="Series"><xs:complexType><xs:sequence>
 <xs:element name="mRID" type="xs:string"/><xs:element name="position" type="xs:integer"/>
@@ -134,13 +170,18 @@ def upsert_by_key(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in (
-    write_market_xml, read_market_xml, parse_market_xml, validate_market_xml, read_matrix_json, read_json_points, parse_json_points, upsert_by_key,
+    write_market_xml, read_market_xml, parse_market_xml, unlisted_elements, read_mixed_quantities, bounded_documents, validate_market_xml, read_matrix_json, read_json_points, parse_json_points, upsert_by_key,
 )}
 
 ORACLE = {
     "write_market_xml": oracle("steps", """select "type" receiver, series_from period_from, count(distinct series_id)::int series, count(*)::int points, round(sum(quantity),4) quantity, "type" to_mrid, 'A01' scheme from steps group by 1,2"""),
     "read_market_xml": oracle("steps", """select 'ReserveBid_MarketDocument' document_type, series_id, "position", round(quantity,1) quantity, 'area' || (series_id%3) "domain", 'A01' scheme, 'A14' process_type, valid_from utc_start, valid_to utc_end from steps"""),
     "parse_market_xml": oracle("steps", """select series_id, "position", round(quantity,1) quantity, valid_from utc_start from steps"""),
+    "unlisted_elements": oracle("steps", """, g as (select distinct "type", series_from from steps)
+select 'delivery.note.line' "path", '1' "position", "type" "value", count(*) n from g group by all union all select 'delivery.note.line', '2', 'end', count(*) from g
+union all select 'delivery.note.kind', '', 'free', count(*) from g"""),
+    "read_mixed_quantities": oracle("steps", """select series_id, "position", case when "position">1 then round(quantity,1) end quantity, case when "position"=1 then 'open' end "text" from steps"""),
+    "bounded_documents": oracle("steps", """select "type" receiver, true bounded, count(*)>1 parted, count(*) points, round(sum(round(quantity,1)),4) quantity from steps group by 1"""),
     "validate_market_xml": oracle("steps", """select series_id%10<>0 "valid", count(*) n, round(sum(case when series_id%10<>0 then quantity end),4) quantity from steps group by 1"""),
     "read_matrix_json": oracle("imbalance", """select 'balancing_ace' mrid, valid_from, valid_to, region domain_name, case region when 'North' then 'N' when 'Mid' then 'M' end "domain",
  case region when 'North' then 'A02' else 'A01' end direction_code, 'A86' message_type, 'B33' business_type, 'A16' process_type, round(quantity,6) quantity from imbalance"""),

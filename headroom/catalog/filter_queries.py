@@ -44,6 +44,18 @@ def flatten_nested(spark, sf):
     return flat.select(*[c.quoted(n).alias(n.replace(".", "_")) for n in flat.columns])
 
 
+def flatten_long(spark, sf):
+    """Tags as lists of structs with lists inside."""
+    deep = F.struct("product", F.array("kind", "direction").alias("marks"))
+    nested = v.bids(spark, sf).select(
+        "id", F.struct(F.struct(F.col("area").alias("name")).alias("domain"), F.col("quantity").alias("value")).alias("available"),
+        F.when(F.col("id") % 3 > 0, F.slice(F.array(deep, deep), F.lit(1), (F.col("id") % 3).cast("int"))).alias("tags"),
+    )
+    rows = p.flatten_long(nested, "id")
+    return rows.select("id", "path", F.array_join(F.col("position").cast("array<string>"), ".").alias("position"),
+                       F.when(F.col("number").isNull(), F.col("value")).alias("text"), "number")
+
+
 def nest_columns(spark, sf):
     bids = v.bids(spark, sf).select("id", F.col("area").alias("domain.name"), F.col("direction").alias("direction.code"), F.col("position").alias("available.position"))
     return p.nested_json(bids)
@@ -80,7 +92,9 @@ def add_constants(spark, sf):
 
 def convert_columns(spark, sf):
     orders = v.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", F.regexp_replace("o_orderpriority", "-.*", "").alias("o_priority_code"))
-    return c.convert_columns(c.convert_columns(orders, "string", ["key"], ["order"]), "int", ["code"])
+    mixed = orders.withColumn("o_mixed", F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderpriority")).otherwise(F.col("o_priority_code")))
+    converted = c.convert_columns(c.convert_columns(mixed, "string", ["key"], ["order"]), "int", ["code"])
+    return c.convert_columns(converted, "double", ["mixed"], keep_text=True)
 
 
 def filter_equals(spark, sf):
@@ -190,7 +204,7 @@ def clear_text_nan(spark, sf):
 
 
 QUERIES = {q.__name__: q for q in (
-    scan_points, scan_time_range, filter_by_spec, flatten_nested, nest_columns, time_chunks, resolve_roles, rename_by_mapping, drop_columns,
+    scan_points, scan_time_range, filter_by_spec, flatten_nested, flatten_long, nest_columns, time_chunks, resolve_roles, rename_by_mapping, drop_columns,
     add_constants, convert_columns, filter_equals, filter_contains, filter_group_extreme, pick_group_argmax, slice_time, slice_time_of_day,
     negative_policy, filter_send_levels, replace_values, align_labels, latest_version, results_by_type, data_range, dedupe_last, decode_codes,
     classify_id_tokens, whitelist_products, single_value, infer_datetime_columns, clear_text_nan,
@@ -202,6 +216,10 @@ ORACLE = {
 union all select id, 'closed' from bids where valid_from >= timestamp '2024-01-10' and valid_to <= timestamp '2024-01-20'"""),
     "filter_by_spec": oracle("bids", """select id, area, product, direction, quantity from bids where product in ('SA_mFRR','DA_mFRR') and not kind='procured'
  and quantity >= 5 and quantity < 90 and exclusive_id is not null and (area='North' or (area='Mid' and direction='UP'))"""),
+    "flatten_long": oracle("bids", """, t as (select *, unnest(range(1, (id%3 + 1)::int)) n from bids)
+select id, 'available.domain.name' "path", '' "position", area "text", null::double "number" from bids union all select id, 'available.value', '', null, quantity from bids
+union all select id, 'tags.product', n::varchar, product, null from t union all select id, 'tags.marks', n || '.1', kind, null from t
+union all select id, 'tags.marks', n || '.2', direction, null from t"""),
     "flatten_nested": oracle("bids", """select id, area available_domain_name, quantity available_value, case when id%3>0 then product end tags_1, case when id%3=2 then kind end tags_2 from bids"""),
     "nest_columns": oracle("bids", """select '{"id":' || id || ',"domain":{"name":"' || area || '"},"direction":{"code":"' || direction || '"},"available":{"position":' || "position" || '}}' "document" from bids"""),
     "time_chunks": oracle("bids", """, k as (select unnest(generate_series(0,4)) chunk)
@@ -211,7 +229,8 @@ from k join bids on valid_from >= timestamp '2024-01-01' + chunk*interval 7 days
     "rename_by_mapping": oracle("bids", "select id, area domain, product process_type, kind domain_2 from bids"),
     "drop_columns": oracle("bids", """select id, valid_from, area, product, direction, "position", quantity from bids"""),
     "add_constants": oracle("bids", "select id, area, 'market' source from bids"),
-    "convert_columns": "select o_orderkey, cast(o_custkey as varchar) o_custkey, o_orderpriority, cast(regexp_replace(o_orderpriority,'-.*','') as int) o_priority_code from orders",
+    "convert_columns": "select o_orderkey, cast(o_custkey as varchar) o_custkey, o_orderpriority, cast(regexp_replace(o_orderpriority,'-.*','') as int) o_priority_code,"
+    " case when o_orderkey%3<>0 then cast(regexp_replace(o_orderpriority,'-.*','') as double) end o_mixed, case when o_orderkey%3=0 then o_orderpriority end o_mixed_text from orders",
     "filter_equals": oracle("bids", "select id, area, quantity from bids where area='North' and exclusive_id is null"),
     "filter_contains": oracle("bids", "select id, area, product from bids where product like '%mFRR%' and direction='UP'"),
     "filter_group_extreme": oracle("capacity", """, g as (select *, max("position") over w mp, max(quantity) over w mq from capacity window w as (partition by valid_from,out_area,in_area,contract))

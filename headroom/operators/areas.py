@@ -25,6 +25,7 @@ CORRECTION_ROWS = [
     ("Lithuania", "UP", "LT", "LV"), ("Lithuania", "UP", "LV", "EE"),
     ("Lithuania", "DOWN", "EE", "LV"), ("Lithuania", "DOWN", "LV", "LT"),
 ]
+GRAM = 3  # characters of an index entry of `align_labels`
 CORRECTION_SCHEMA = "area string, direction string, out_area string, in_area string"
 
 
@@ -41,9 +42,10 @@ def align_labels(df: DataFrame, columns, areas: DataFrame, attribute: str = "nam
     """Labels replaced by an attribute of the first area (in `order`) they match; others stay.
 
     A label matches an area if it equals its id, code or operator id, or
-    contains its name or operator name (case-insensitive).  Containment is an
-    equality too: the distinct labels are cut into their substrings of name
-    length, so both tests are equi joins and no label is compared with every area.
+    contains its name or operator name (case-insensitive).  Containment goes
+    through an index: each name is filed under its rarest `GRAM` characters, a
+    label asks for each of its own, once, and what meets is compared.  So a label
+    costs rows by its own length only, and no label meets every area.
     """
     have = set(areas.columns)
     keys = F.array_compact(F.array(*[
@@ -51,19 +53,23 @@ def align_labels(df: DataFrame, columns, areas: DataFrame, attribute: str = "nam
         for c, whole in (("mrid", True), ("name", False), ("party_mrid", True), ("party_name", False), ("code", True)) if c in have
     ]))
     known = areas.select(F.col(order).alias("__order"), F.col(attribute).alias("__found"), F.inline(keys)).where("key <> ''")
-    parts = known.where("not whole").agg(F.min(F.length("key")).alias("lo"), F.max(F.length("key")).alias("hi"))
-    shortest, longest = parts.select("lo").scalar(), parts.select("hi").scalar()
+    names = known.where("not whole").drop("whole")
+    width = F.least(F.lit(GRAM), names.agg(F.min(F.length("key")).alias("n")).select("n").scalar())
+
+    def cut_up(table: DataFrame, text: str) -> DataFrame:
+        """`table` with a row for each different run of `__width` characters of `text`."""
+        sized = table.withColumn("__width", width.cast("int")).where(F.length(text) >= F.col("__width"))
+        places = F.sequence(F.lit(1), F.length(text) - F.col("__width") + 1)
+        return sized.withColumn("gram", F.explode(F.array_distinct(F.transform(places, lambda i: F.substr(F.col(text), i, F.col("__width"))))))
+
+    cut = cut_up(names.select("key").distinct(), "key")
+    seldom = cut.join(cut.groupBy("gram").agg(F.count("*").alias("n")), "gram").groupBy("key").agg(F.min(F.struct("n", "gram")).alias("s"))
+    index = names.join(seldom.select("key", F.col("s.gram").alias("gram")), "key")
     for name in as_columns(columns):
-        labels = df.select(F.col(name).alias("__label")).distinct().where("__label is not null")
-        text, size = F.upper("__label"), F.length("__label")
-        pieces = (
-            labels.where(size >= shortest)
-            .withColumn("__n", F.explode(F.sequence(shortest, F.least(longest, size))))
-            .withColumn("__s", F.explode(F.sequence(F.lit(1), size - F.col("__n") + 1)))
-            .select("__label", F.substring(text, F.col("__s"), F.col("__n")).alias("key"), F.lit(False).alias("whole"))
-        )
-        asked = labels.select("__label", text.alias("key"), F.lit(True).alias("whole")).unionByName(pieces).distinct()
-        found = asked.join(known, ["key", "whole"]).groupBy("__label").agg(F.min_by("__found", "__order").alias("__found"))
+        labels = df.select(F.col(name).alias("__label")).distinct().where("__label is not null").withColumn("__text", F.upper("__label"))
+        equal = labels.join(known.where("whole"), F.col("__text") == F.col("key")).select("__label", "__order", "__found")
+        inside = cut_up(labels, "__text").join(index, "gram").where(F.contains("__text", "key")).select("__label", "__order", "__found")
+        found = equal.unionByName(inside).groupBy("__label").agg(F.min_by("__found", "__order").alias("__found"))
         df = (
             df.join(found, df[name] == F.col("__label"), "left")
             .withColumn(name, F.coalesce("__found", name)).drop("__label", "__found")

@@ -109,8 +109,11 @@ def add_constants(df: DataFrame, fields: dict, overwrite: bool = True) -> DataFr
     return df.withColumns({k: F.lit(v) for k, v in fields.items() if overwrite or k not in df.columns})
 
 
-def convert_columns(df: DataFrame, kind: str = "string", included=None, excluded=None) -> DataFrame:
-    """Cast columns chosen by name keyword (an excluded word wins); unparseable text becomes null."""
+def convert_columns(df: DataFrame, kind: str = "string", included=None, excluded=None, keep_text: bool = False) -> DataFrame:
+    """Cast columns chosen by name keyword (an excluded word wins); unparseable text becomes null.
+
+    With `keep_text` such text stays beside the column, as `<name>_text` (null where the value did convert).
+    """
     if included is None and excluded is None:
         return df
     included, excluded = as_columns(included), as_columns(excluded)
@@ -119,12 +122,12 @@ def convert_columns(df: DataFrame, kind: str = "string", included=None, excluded
         lowered = name.lower()
         return (not included or any(w.lower() in lowered for w in included)) and not any(w.lower() in lowered for w in excluded)
 
-    return df.select(*[quoted(c).try_cast(kind).alias(c) if chosen(c) else quoted(c) for c in df.columns])
-
-
-def numeric_where_parseable(df: DataFrame, columns) -> DataFrame:
-    """Adds `<name>_number` beside each text column: its number, or null where the text stays text."""
-    return df.withColumns({f"{c}_number": quoted(c).try_cast("double") for c in as_columns(columns)})
+    out = []
+    for c in df.columns:
+        out.append(quoted(c).try_cast(kind).alias(c) if chosen(c) else quoted(c))
+        if keep_text and chosen(c):
+            out.append(F.when(quoted(c).try_cast(kind).isNull(), quoted(c).cast("string")).alias(f"{c}_text"))
+    return df.select(*out)
 
 
 def replace_values(df: DataFrame, mapping: dict[str, dict]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headroom.scale import cut_lineage
+from headroom.scale import cut_lineage, drop_scratch
 
 
 def triples_roots(triples: DataFrame) -> DataFrame:
@@ -25,33 +25,46 @@ def _objects(triples: DataFrame) -> DataFrame:
     )
 
 
+def _joined(near: DataFrame, far: DataFrame) -> DataFrame:
+    """`near` (ID, __up, __all) continued by the object its `__up` names: nearer fields win."""
+    above = far.select(F.col("ID").alias("__id"), F.col("__up").alias("__next"), F.col("__all").alias("__far"))
+    fresh = F.map_filter(F.col("__far"), lambda k, _: ~F.map_contains_key(F.col("__all"), k))
+    found = F.col("__id").isNotNull()
+    return near.join(above, F.col("__up") == F.col("__id"), "left").select(
+        "ID", F.when(found, F.col("__next")).alias("__up"), F.when(found, F.map_concat("__all", fresh)).otherwise(F.col("__all")).alias("__all")
+    )
+
+
 def _ancestor_fields(inner: DataFrame, levels: int) -> DataFrame:
-    """(ID, __all): fields of an object and its ancestors, nearest first.
+    """(ID, __all): fields of an object and its ancestors, `levels` objects in all, nearest first.
 
-    Works on objects that are someone's parent only: far fewer than the leaves,
-    and unique by id, so no join has a hot key on both sides.
+    By pointer doubling: a table that spans 1, 2, 4, 8 … objects upward is made
+    by joining the one before with itself, and the spans that add up to `levels`
+    are put together; ten levels take four joins, and none is made beyond the
+    highest tree.  Works on objects that are someone's parent only: far fewer
+    than the leaves, and unique by id, so no join has a hot key on both sides.
     """
     own = F.when(
         F.col("__type").isNotNull(), F.map_concat(
             F.col("__fields"), F.map_from_arrays(F.array(F.concat("__type", F.lit("_ID"))), F.array("ID"))
         )
     ).otherwise(F.col("__fields"))
-    table = inner.select("ID", F.col("PARENT_ID").alias("__up"), own.alias("__own"))
-    reached = table.select("ID", "__up", F.col("__own").alias("__all"))
-    for level in range(1, levels):
-        parent = table.select(F.col("ID").alias("__id"), F.col("__up").alias("__next"), F.col("__own"))
-        step = reached.join(parent, F.col("__up") == F.col("__id"), "left")
-        # nearer fields win: keep only keys the object does not have yet
-        fresh = F.map_filter(F.col("__own"), lambda k, _: ~F.map_contains_key(F.col("__all"), k))
-        reached = step.select(
-            "ID", F.when(F.col("__id").isNotNull(), F.col("__next")).alias("__up"),
-            F.when(F.col("__id").isNotNull(), F.map_concat("__all", fresh)).otherwise(F.col("__all")).alias("__all"),
-        )
-        if level % 3 == 0:
-            reached = cut_lineage(reached)
-            if reached.where("__up is not null").join(table.select(F.col("ID").alias("__up")), "__up", "left_semi").isEmpty():
+    span = cut_lineage(inner.select("ID", F.col("PARENT_ID").alias("__up"), own.alias("__all")))
+    written, reached, rest = [span], None, levels
+    while rest:
+        if rest & 1:
+            reached = span if reached is None else _joined(reached, span)
+        rest >>= 1
+        if rest:
+            span = cut_lineage(_joined(span, span))
+            written.append(span)
+            if span.where("__up is not null").isEmpty():  # every chain has ended: this span holds all
+                reached = span
                 break
-    return reached.select("ID", "__all")
+    result = cut_lineage(reached.select("ID", "__all"))
+    for table in written:
+        drop_scratch(table)
+    return result
 
 
 def triples_to_table(

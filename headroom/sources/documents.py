@@ -9,13 +9,14 @@ more part, e.g. `domain.mRID.codingScheme`.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from headroom.functions.durations import parse_iso_duration
 from headroom.functions.times import format_utc, parse_datetime_any
 from headroom.operators.columns import quoted
-from headroom.scale import as_columns, epoch
+from headroom.scale import as_columns, epoch, join_null_safe
 
 # Document types with the name of their series element and of their period element.
 DOCUMENT_TYPES = {
@@ -29,7 +30,8 @@ DOCUMENT_TYPES = {
 
 _INTERVAL = "struct<start:string,end:string>"
 _CODED = "struct<_codingScheme:string,_VALUE:string>"
-_POINT = "struct<position:int,quantity:double,secondaryQuantity:double,`price.amount`:double>"
+_NUMBERS = ("quantity", "secondaryQuantity", "price.amount")  # of a point; read as text, so that none is lost
+_POINT = f"struct<position:int,{','.join(f'`{n}`:string' for n in _NUMBERS)}>"
 _REASONS = "array<struct<code:string,text:string>>"
 _PERIOD = f"array<struct<timeInterval:{_INTERVAL},resolution:string,Point:array<{_POINT}>>>"
 _SERIES_TEXT = (
@@ -58,8 +60,8 @@ def document_schema(doc_type: str) -> T.StructType:
     return T._parse_datatype_string(outer)
 
 
-def _leaves(column: Column, kind: T.DataType, name: str, skip: str | None = None) -> list[Column]:
-    """Fields of a struct as dotted columns, but for the `skip` field; what repeats (reasons) stays an array."""
+def _leaves(column: Column, kind: T.DataType, name: str, skip: str | None = None) -> list[tuple[str, Column]]:
+    """Fields of a struct with their dotted names, but for the `skip` field; what repeats (reasons) stays an array."""
     if isinstance(kind, T.StructType):
         found = []
         for field in kind.fields:
@@ -71,7 +73,7 @@ def _leaves(column: Column, kind: T.DataType, name: str, skip: str | None = None
                 path = ".".join(p for p in (name, field.name.removeprefix("_")) if p)
             found += _leaves(column.getField(field.name), field.dataType, path)
         return found
-    return [column.alias(name)]
+    return [(name, column)]
 
 
 def _field(kind: T.StructType, ending: str) -> T.StructField:
@@ -85,7 +87,9 @@ def _as_array(kind: T.DataType) -> tuple[T.DataType, bool]:
 def points_from_documents(df: DataFrame, doc_type: str, document: str | None = None) -> DataFrame:
     """One row per Point of parsed documents (columns of `df`, or the struct column `document`).
 
-    Adds `document_type`, `utc_start` and `utc_end`.
+    Adds `document_type`, `utc_start` and `utc_end`.  A point's numbers are
+    doubles; a text that is none stands beside them as `<name>.text`.  A document
+    field whose name differs from an inner one in case only gets `document.` in front.
     """
     if document is None:
         df = df.select(F.struct(*[quoted(c) for c in df.columns]).alias("__doc"))
@@ -93,27 +97,92 @@ def points_from_documents(df: DataFrame, doc_type: str, document: str | None = N
         df = df.select(F.col(document).alias("__doc"))
     doc_kind = df.schema["__doc"].dataType
     series_name = _field(doc_kind, "TimeSeries").name
-    levels = [("__doc", doc_kind, "", series_name)]
-    frame, parent, kind, name = df, "__doc", doc_kind, series_name
-    for child, column in ((series_name, "__series"), ("Period", "__period"), ("Point", "__point")):
+    frame, parent, kind, name = df, "__doc", doc_kind, ""
+    steps = ((series_name, "__series"), ("Period", "__period"), ("Point", "__point"))
+    names: list[str] = []
+
+    def taken(parent: str, kind: T.DataType, name: str, skip: str | None = None) -> list[Column]:
+        """Fields of a level under numbers, as their names may clash; `names` keeps them."""
+        found = _leaves(F.col(parent), kind, name, skip)
+        names.extend(n for n, _ in found)
+        return [c.alias(f"__c{len(names) - len(found) + i}") for i, (_, c) in enumerate(found)]
+
+    for child, column in steps:
         inner, repeated = _as_array(_field(kind, child).dataType)
         value = F.col(parent).getField(child)
-        frame = frame.withColumn(column, F.explode(value) if repeated else value)
+        # the fields of a level are taken out of it before its children are unfolded: no row carries the whole document
+        kept = [quoted(c) for c in frame.columns if c != parent]
+        frame = frame.select(*kept, *taken(parent, kind, name, child), (F.explode(value) if repeated else value).alias(column))
+        if child == "Period":  # times are parsed once a period, not once a point
+            frame = frame.withColumns({
+                "__start": epoch(parse_datetime_any(F.col("__period.timeInterval.start"))), "__step": parse_iso_duration(F.col("__period.resolution")),
+            })
         parent, kind, name = column, inner, child
-        levels.append((column, inner, child, {"__series": "Period", "__period": "Point"}.get(column)))
-    columns = [c for col, k, n, skip in levels for c in _leaves(F.col(col), k, n, skip)]
-    rows = frame.select(F.lit(doc_type).alias("document_type"), *columns)
-    start = epoch(parse_datetime_any(quoted("Period.timeInterval.start")))
-    step = parse_iso_duration(quoted("Period.resolution"))
-    place = quoted("Point.position").cast("bigint")
+    rows = frame.select("*", *taken(parent, kind, name)).drop(parent)
+    later = {n.lower(): i for i, n in enumerate(names)}  # names that differ in case only: the outer one is the document's
+    clear = [f"document.{n}" if later[n.lower()] != i else n for i, n in enumerate(names)]
+    rows = rows.select(F.lit(doc_type).alias("document_type"), *[F.col(f"__c{i}").alias(n) for i, n in enumerate(clear)], "__start", "__step")
+    start, step, place = F.col("__start"), F.col("__step"), quoted("Point.position").cast("bigint")
+    texts = [f"Point.{n}" for n in _NUMBERS if f"Point.{n}" in rows.columns and isinstance(rows.schema[f"Point.{n}"].dataType, T.StringType)]
+    added = {f"{n}.text": F.when(quoted(n).try_cast("double").isNull(), quoted(n)) for n in texts}
     return rows.withColumns(
         {
+            **added,
             "utc_start": F.timestamp_seconds(start + F.greatest(place - 1, F.lit(0)) * step),
             "utc_end": F.timestamp_seconds(start + F.greatest(place, F.lit(0)) * step),
         }
+    ).withColumns({n: quoted(n).try_cast("double") for n in texts}).drop("__start", "__step")
+
+
+DEPTH = 10  # levels of elements, lists included
+
+
+def document_elements(spark: SparkSession, path: str, doc_type: str, depth: int = DEPTH) -> DataFrame:
+    """Every element and attribute of the documents, whatever the schema names: (document, path, position, value, number).
+
+    `document` is the document's mRID, `path` is dotted like the columns of the points, `position` counts repeated
+    elements from 1 on the way down.  `value` is the text (a text that reads as a number is that number's), `number` its
+    number or null.  One pass: documents are read as VARIANT and unfolded level by level with built-in generators.
+    """
+    documents = spark.read.format("xml").option("rowTag", doc_type).option("singleVariantColumn", "doc").load(path)
+    none = F.array().cast("array<int>")
+    rows = documents.select(F.try_variant_get("doc", "$.mRID", "string").alias("document"), F.lit("").alias("path"), none.alias("position"), F.col("doc").alias("value"))
+    for _ in range(depth):
+        inner = rows.lateralJoin(spark.tvf.variant_explode_outer(F.col("value").outer()).toDF("__at", "__key", "__inner"))
+        name = F.when(F.col("__key") == "_VALUE", "").otherwise(F.concat(F.lit("."), F.regexp_replace("__key", "^_", "")))
+        rows = inner.select(
+            "document", F.when(F.col("__key").isNotNull(), F.concat("path", name)).otherwise(F.col("path")).alias("path"),
+            F.when(F.col("__at").isNotNull() & F.col("__key").isNull(), F.concat("position", F.array(F.col("__at") + 1))).otherwise(F.col("position")).alias("position"),
+            F.when(F.col("__at").isNull(), F.col("value")).otherwise(F.col("__inner")).alias("value"),  # a plain value stays as it is
+        )
+    return rows.select(
+        "document", F.substring("path", 2, 1_000_000).alias("path"), "position",
+        F.try_variant_get("value", "$", "string").alias("value"), F.try_variant_get("value", "$", "double").alias("number"),
     )
 
 
+def schema_paths(schema: T.StructType) -> list[str]:
+    """Dotted paths of a schema's leaves, lists without their positions."""
+    found = []
+
+    def walk(kind: T.DataType, name: str) -> None:
+        if isinstance(kind, T.ArrayType):
+            walk(kind.elementType, name)
+        elif isinstance(kind, T.StructType):
+            for field in kind.fields:
+                walk(field.dataType, name if field.name == "_VALUE" else ".".join(p for p in (name, field.name.removeprefix("_")) if p))
+        else:
+            found.append(name)
+
+    walk(schema, "")
+    return found
+
+
+def unlisted_elements(spark: SparkSession, path: str, doc_type: str, schema: T.StructType | None = None) -> DataFrame:
+    """The elements that the schema of the document type does not name, which `read_market_xml` leaves out."""
+    return document_elements(spark, path, doc_type).where(~F.col("path").isin(schema_paths(schema or document_schema(doc_type))))
+
+
 def read_market_xml(spark: SparkSession, path: str, doc_type: str, schema: T.StructType | None = None) -> DataFrame:
     """Corpus of market documents -> one row per Point with its period, series and document fields."""
     documents = spark.read.format("xml").option("rowTag", doc_type).schema(schema or document_schema(doc_type)).load(path)
@@ -146,9 +215,33 @@ def _coded(column: Column, scheme: str = "A01") -> Column:
     return F.struct(F.lit(scheme).alias("_codingScheme"), column.cast("string").alias("_VALUE"))
 
 
-def market_documents(df: DataFrame, doc_type: str, keys=("receiver", "spacing", "period_from", "period_to")) -> DataFrame:
+MAX_POINTS = 50_000
+
+
+def _numbered_parts(series: DataFrame, group: list[str], name: str, weight: str, limit: int) -> DataFrame:
+    """`series` with `__part`: the running total of `weight` within `group`, cut every `limit`.
+
+    Series are ordered by a hash in chunks: totals run inside a chunk, and the
+    chunks' own totals, at most 1024 a group, are added up; no task sees a whole group.
+    """
+    narrow = series.select(*group, name, F.col(weight).alias("__w")).withColumn("__chunk", F.pmod(F.xxhash64(name), F.lit(1024)))
+    keys = [*group, "__chunk"]
+    running = W.partitionBy(*keys).orderBy(name).rowsBetween(W.unboundedPreceding, W.currentRow)
+    before = W.partitionBy(*group).orderBy("__chunk").rowsBetween(W.unboundedPreceding, -1)
+    chunks = narrow.groupBy(*keys).agg(F.sum("__w").alias("__total")).withColumn("__base", F.coalesce(F.sum("__total").over(before), F.lit(0))).drop("__total")
+    placed = join_null_safe(narrow.withColumn("__run", F.sum("__w").over(running) - F.col("__w")), chunks, keys)
+    part = F.floor((F.col("__run") + F.col("__base")) / F.lit(limit)).cast("int")
+    return join_null_safe(series, placed.select(*group, name, part.alias("__part")), [*group, name])
+
+
+def market_documents(
+    df: DataFrame, doc_type: str, keys=("receiver", "spacing", "period_from", "period_to"), max_points: int = MAX_POINTS
+) -> DataFrame:
     """Result points -> one document struct per receiver, spacing and validity period.
 
+    A group of more than `max_points` points becomes several documents, numbered
+    in their ids from the second on; a series stays whole.
+
     Points need: series_id, position, value, percentage_level, series_from,
     series_to, resolution, business_type, and domain + direction (bids) or
     out_domain + in_domain (capacity); process_type, message_type, sender,
@@ -167,6 +260,9 @@ def market_documents(df: DataFrame, doc_type: str, keys=("receiver", "spacing",
     series = df.where("value is not null").groupBy(
         *keys, *head, "series_id", "series_from", "series_to", "resolution", "business_type", *place
     ).agg(F.array_sort(F.collect_list(point)).alias("__points"), F.max("version").alias("version"))
+    own = F.to_json(F.struct(*[F.col(c) for c in ("series_id", "series_from", "series_to", "resolution", "business_type", *place)]))
+    series = series.withColumns({"__series_key": own, "__weight": F.size("__points")})
+    series = _numbered_parts(series, [*keys, *head], "__series_key", "__weight", max_points)
     interval = F.struct(format_utc(F.col("series_from")).alias("start"), format_utc(F.col("series_to")).alias("end"))
     ends = (
         [_coded(F.col("block")).alias("acquiring_Domain.mRID"), _coded(F.col("domain")).alias("connecting_Domain.mRID"),
@@ -181,9 +277,10 @@ def market_documents(df: DataFrame, doc_type: str, keys=("receiver", "spacing",
         F.col("series_id").cast("string").alias("mRID"), F.col("business_type").alias("businessType"), *ends,
         F.lit("A02").alias("curveType"), period.alias("Period"),
     )
-    documents = series.groupBy(*keys, *head).agg(F.array_sort(F.collect_list(body)).alias("__series"), F.max("version").alias("version"))
+    documents = series.groupBy(*keys, *head, "__part").agg(F.array_sort(F.collect_list(body)).alias("__series"), F.max("version").alias("version"))
     whole = F.struct(format_utc(F.col("period_from")).alias("start"), format_utc(F.col("period_to")).alias("end"))
-    identity = F.concat_ws("_", F.lit("from"), format_utc(F.col("period_from")), F.lit("to"), format_utc(F.col("period_to")), "spacing", "block")
+    identity = F.concat_ws("_", F.lit("from"), format_utc(F.col("period_from")), F.lit("to"), format_utc(F.col("period_to")), "spacing", "block",
+                           F.when(F.col("__part") > 0, F.concat(F.lit("part"), F.col("__part") + 1)))
     return documents.select(
         *keys,
         F.struct(
@@ -200,9 +297,9 @@ def document_text(documents: DataFrame, doc_type: str) -> DataFrame:
     return documents.withColumn("document", F.to_xml("document", {"rowTag": doc_type}))
 
 
-def write_market_xml(df: DataFrame, doc_type: str, path: str, mode: str = "append") -> None:
-    """Write result points as documents below `path`, one folder per receiver."""
-    documents = market_documents(df, doc_type)
+def write_market_xml(df: DataFrame, doc_type: str, path: str, mode: str = "append", max_points: int = MAX_POINTS) -> None:
+    """Write result points as documents of bounded size below `path`, one folder per receiver."""
+    documents = market_documents(df, doc_type, max_points=max_points)
     kind = documents.schema["document"].dataType
     rows = documents.select(
         F.col("receiver").alias("to"), *[F.col("document").getField(f.name).alias(f.name) for f in kind.fields]

@@ -97,9 +97,14 @@ def filter_by_spec(df: DataFrame, spec: dict, *more: dict) -> DataFrame:
     return df.where(_all_of([spec_condition(df, s) for s in (spec, *more)]))
 
 
-def list_lengths(df: DataFrame) -> dict[str, int]:
-    """Longest list per array path in the schema, found by one aggregate over the table."""
+def list_lengths(df: DataFrame, fields: list[str] | None = None) -> dict[str, int]:
+    """Longest list per array path in the schema, found by one aggregate over the table.
+
+    With `fields` only the lists these names reach into are measured; the others
+    count as empty, and without any no job is started.
+    """
     lengths: dict[str, Column] = {}
+    asked = None if fields is None else {".".join(p for p in f.split(".") if not p.isdigit()) for f in fields if any(p.isdigit() for p in f.split("."))}
 
     def field_of(column: Column, name: str, lifted: bool) -> Column:
         return F.transform(column, lambda x: x.getField(name)) if lifted else column.getField(name)
@@ -110,7 +115,8 @@ def list_lengths(df: DataFrame) -> dict[str, int]:
             for field in kind.fields:
                 walk(field_of(column, field.name, lifted), field.dataType, f"{path}.{field.name}", lifted)
         elif isinstance(kind, T.ArrayType):
-            lengths[path] = F.array_max(F.transform(column, F.size)) if lifted else F.size(column)
+            if asked is None or any(f == path or f.startswith(f"{path}.") for f in asked):
+                lengths[path] = F.array_max(F.transform(column, F.size)) if lifted else F.size(column)
             walk(F.flatten(column) if lifted else column, kind.elementType, path, True)
 
     for field in df.schema.fields:
@@ -130,14 +136,14 @@ def flatten_nested(df: DataFrame, fields: list[str] | None = None, lengths: dict
     """
     columns: list[tuple[str, Column]] = []
     if lengths is None:
-        lengths = list_lengths(df)
+        lengths = list_lengths(df, fields)
 
     def walk(column: Column, kind: T.DataType, name: str, path: str) -> None:
         if isinstance(kind, T.StructType):
             for field in kind.fields:
                 walk(column.getField(field.name), field.dataType, f"{name}.{field.name}", f"{path}.{field.name}")
         elif isinstance(kind, T.ArrayType):
-            for i in range(1, lengths[path] + 1):
+            for i in range(1, lengths.get(path, 0) + 1):
                 walk(F.try_element_at(column, F.lit(i)), kind.elementType, f"{name}.{i}", path)
         else:
             columns.append((name, column))
@@ -147,6 +153,33 @@ def flatten_nested(df: DataFrame, fields: list[str] | None = None, lengths: dict
     return df.select(*[c.alias(n) for n, c in columns if fields is None or n in fields])
 
 
+def flatten_long(df: DataFrame, keys) -> DataFrame:
+    """(keys…, path, position, value, number): a row per leaf value of the other columns.
+
+    `path` is dotted, `position` holds the 1-based places in the lists on the way
+    (empty without lists), `number` the value where it is one.  Null leaves are
+    left out.  One pass; no list has to be measured first.
+    """
+    keys = as_columns(keys)
+    leaf = "array<struct<path:string,position:array<int>,value:string>>"
+    none = F.array().cast(leaf)
+
+    def entries(column: Column, kind: T.DataType, path: str, places: Column) -> Column:
+        if isinstance(kind, T.StructType):
+            parts = [entries(column.getField(f.name), f.dataType, f"{path}.{f.name}", places) for f in kind.fields]
+            return F.concat(*parts) if parts else none
+        if isinstance(kind, T.ArrayType):
+            each = F.transform(column, lambda x, i: entries(x, kind.elementType, path, F.concat(places, F.array((i + 1).cast("int")))))
+            return F.coalesce(F.flatten(each), none)
+        one = F.struct(F.lit(path).alias("path"), places.alias("position"), column.cast("string").alias("value"))
+        return F.when(column.isNotNull(), F.array(one)).otherwise(none)
+
+    top = F.array().cast("array<int>")
+    found = F.concat(*[entries(quoted(f.name), f.dataType, f.name, top) for f in df.schema.fields if f.name not in keys])
+    rows = df.select(*[quoted(k) for k in keys], F.inline(found))
+    return rows.withColumn("number", F.col("value").try_cast("double"))
+
+
 def nest_columns(df: DataFrame, delimiter: str = ".") -> DataFrame:
     """Dotted columns back to nested structs."""
     tree: dict = {}
