@@ -92,9 +92,7 @@ def group_quantile_tables(spark, sf):
 
 def result_headers(spark, sf):
     points = v.realised(spark, sf).withColumns({"version_number": F.col("level"), "unit": F.lit("MAW"), "part": F.col("direction")})
-    return r.result_headers(points, ["area", "sender"], "received", "received2", "version_number", ["unit", "part"]) if "received2" in points.columns else (
-        r.result_headers(points.withColumn("until", F.col("received")), ["area", "sender"], "received", "until", "version_number", ["unit", "part"])
-    )
+    return r.result_headers(points.withColumn("until", F.col("received")), ["area", "sender"], "received", "until", "version_number", ["unit", "part"])
 
 
 def sort_report(spark, sf):

@@ -29,10 +29,10 @@ def imbalance(spark, sf) -> DataFrame:
 
 
 def bids(spark, sf) -> DataFrame:
-    return _quarters(spark, sf).where("event_type <> 'error'").selectExpr(
+    return _quarters(spark, sf).selectExpr(
         "event_id id", "valid_from", "valid_to",
         "case user_id%3 when 0 then 'North' when 1 then 'Mid' else 'South' end area",
-        "case event_type when 'click' then 'SA_mFRR' when 'view' then 'DA_mFRR' else 'aFRR' end product",
+        "case event_type when 'click' then 'SA_mFRR' when 'view' then 'DA_mFRR' when 'error' then 'RR' else 'aFRR' end product",
         "case when event_type='signup' then 'procured' else 'volume' end kind",
         "case when event_id%2=0 then 'UP' else 'DOWN' end direction",
         "case when k%5=0 then concat('X',cast(k as string)) end exclusive_id",
@@ -105,11 +105,11 @@ SQL_VIEWS = {
  case user_id%3 when 0 then 'North' when 1 then 'Mid' else 'South' end region, avg(value-50) quantity from events group by 1,2,3""",
     "bids": """select event_id id, time_bucket(interval 15 minutes, ts) valid_from, time_bucket(interval 15 minutes, ts) + interval 15 minutes valid_to,
  case user_id%3 when 0 then 'North' when 1 then 'Mid' else 'South' end area,
- case event_type when 'click' then 'SA_mFRR' when 'view' then 'DA_mFRR' else 'aFRR' end product,
+ case event_type when 'click' then 'SA_mFRR' when 'view' then 'DA_mFRR' when 'error' then 'RR' else 'aFRR' end product,
  case when event_type='signup' then 'procured' else 'volume' end kind,
  case when event_id%2=0 then 'UP' else 'DOWN' end direction,
  case when cast(regexp_extract(props,'([0-9]+)',1) as int)%5=0 then concat('X',cast(cast(regexp_extract(props,'([0-9]+)',1) as int) as varchar)) end exclusive_id,
- cast(1+event_id%3 as int) "position", value quantity from events where event_type<>'error'""",
+ cast(1+event_id%3 as int) "position", value quantity from events""",
     "capacity": """select event_id id, time_bucket(interval 15 minutes, ts) valid_from, time_bucket(interval 15 minutes, ts) + interval 15 minutes valid_to,
  case user_id%4 when 0 then 'North' when 1 then 'Mid' when 2 then 'Mid' else 'South' end out_area,
  case user_id%4 when 0 then 'Mid' when 1 then 'North' when 2 then 'South' else 'Mid' end in_area,

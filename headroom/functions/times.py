@@ -5,13 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Military zone letters -> hours added to reach UTC.
-# (G and H are in this order on purpose: the published results use it)
-MILITARY_HOURS = {
-    "Z": 0, "A": 1, "B": 2, "C": 3, "D": 4, "E": 5, "F": 6, "H": 7, "G": 8, "I": 9,
-    "K": 10, "L": 11, "M": 12, "N": -1, "O": -2, "P": -3, "Q": -4, "R": -5, "S": -6,
-    "T": -7, "U": -8, "V": -9, "W": -10, "X": -11, "Y": -12,
-}
+# Zone letters -> hours added to reach UTC: the alphabet without J counts 1 to 12 up to M and -1 to -12 from N on.
+# Exceptions by decision: G and H stand for each other.
+_LETTERS = [chr(c) for c in range(ord("A"), ord("Z")) if chr(c) != "J"]
+MILITARY_HOURS = {letter: n + 1 if n < 12 else 11 - n for n, letter in enumerate(_LETTERS)} | {"Z": 0, "G": 8, "H": 7}
 
 # Accepted layouts, most specific first.
 LAYOUTS = (
@@ -19,7 +16,8 @@ LAYOUTS = (
     "yyyyMMdd'T'HHmmss", "yyyyMMdd'T'HHmm", "yyyy-MM-dd HH:mm:ss.SSSSSS", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm",
     "yyyy-MM-dd", "yyyy/MM/dd HH:mm:ss", "yyyy/MM/dd", "d MMM yyyy HH:mm:ss", "d MMM yyyy HH:mm", "d MMM yyyy",
 )
-OFFSET_TEXT = r"([+-]\d{2}:?\d{2}|[A-Za-z]+)$"
+# What may stand behind a clock time: hours and minutes from UTC, or a zone's name of up to five letters.
+OFFSET_TEXT = r"((?:\+|-)(?:[01]\d|2[0-3]):?[0-5]\d|\p{Alpha}{1,5})$"
 
 
 def parse_datetime_any(text: Column) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from headroom.scale import as_columns, cut_lineage, epoch, join_null_safe
+from headroom.scale import as_columns, cut_lineage, drop_scratch, epoch, join_null_safe
 
 
 def pivot_products(df: DataFrame, value: str, by, time=("valid_from", "valid_to"), how: str = "sum") -> DataFrame:
@@ -40,6 +40,7 @@ def widen(df: DataFrame, by, names: list[str], value: str = "value", time=("vali
 
 
 def _combine(tables: list[DataFrame], by, time, how: str, pair, propagate: bool = False) -> DataFrame:
+    """Tables of one row per time and product, combined by `pair`; should a table have several, the greatest value counts."""
     by, time = as_columns(by), as_columns(time)
     if not tables:
         raise ValueError("nothing to combine")
@@ -162,4 +163,6 @@ def combine_tree(
         return operators[name](tables, by=by, time=time, step=step if aligned else None), step, aligned
 
     table, _, _ = evaluate(tree)
-    return cut_lineage(table)
+    result = cut_lineage(table)
+    drop_scratch(cells)
+    return result
