@@ -252,10 +252,10 @@ select c_custkey, coalesce((select "name" || 'X' from areas a where upper(label)
     "data_range": oracle("bids", "select greatest(min(valid_from), timestamp '2023-12-01') period_start, least(max(valid_to), timestamp '2024-01-15') period_end from bids"),
     "dedupe_last": oracle("bids", "select valid_from, area, id, quantity from (select *, row_number() over (partition by valid_from, area order by quantity desc, id desc) rn from bids) where rn=1"),
     "decode_codes": oracle("bids", """select id, case when direction='UP' then 'a01' else 'A02' end code, 'bid ' || product "text", direction,
- case when product like '%mFRR' then 'A47' else 'A51' end process from bids"""),
+ case when product like '%mFRR' then 'A47' when product='aFRR' then 'A51' end process from bids"""),
     "classify_id_tokens": oracle("bids", """select id, lower(substring(product,1,2)) || '_' || case when kind='procured' then 'procured' else 'volumes' end || '_' || lower(right(product,4)) mrid,
  case when kind='procured' then 'A15' else 'A37' end message_type, case when kind='procured' then 'B95' else 'B74' end business_type,
- case when product like '%mFRR' then 'A47' else 'A51' end process_type, case product when 'SA_mFRR' then 'A05' when 'DA_mFRR' then 'A07' end market_product_type from bids"""),
+ case when product like '%mFRR' then 'A47' when product='RR' then 'A46' else 'A51' end process_type, case product when 'SA_mFRR' then 'A05' when 'DA_mFRR' then 'A07' end market_product_type from bids"""),
     "whitelist_products": oracle("bids", "select id, area, case product when 'SA_mFRR' then 'mFRR' else product end product, direction from bids where area in ('North','Mid') and product in ('SA_mFRR','aFRR') and direction='UP'"),
     "single_value": oracle("bids", """select 'unique' "case", case when count(distinct area)=1 then min(area) end found from bids where area='North'
 union all select 'many', case when count(distinct product)=1 then min(product) end from bids union all select 'loose', case when count(distinct product)>1 then min(product) end from bids"""),

@@ -96,6 +96,6 @@ ORACLE = {
     "ordered_subsequence": oracle("bids", """select id, true "ordered", false "reverse", (contains(area,'o') and contains(product,'mFRR')) contiguous from bids"""),
     "contains_any": oracle("bids", """select id, concat_ws(' ',area,product,direction) "label" from bids where (product like '%mFRR%' or area='South') and direction<>'DOWN'"""),
     "strip_direction_words": oracle("bids", """select "label", parts, round(sum(quantity),4) quantity from (select quantity, concat_ws('.', area, replace(replace(product,'SA_',''),'DA_',''), direction) "label",
- case when direction='UP' then area || '|' || right(product,4) || '_UP' else area || '|' || direction || '|' || right(product,4) end parts from bids) group by 1,2"""),
+ case when direction='UP' and product<>'RR' then area || '|' || right(product,4) || '_UP' else area || '|' || direction || '|' || right(product,4) end parts from bids) group by 1,2"""),
     "strip_zone": f"""select event_id, {_CET} "local" from events""",
 }
