@@ -19,7 +19,8 @@ no evidence and ignored.
 
 Defined results: null and empty texts overlap with nothing; rows whose id is null
 are compared like others (and reported with a null id); repeated rows are reported
-once; an empty documents or benchmark table gives no rows; extra columns are ignored.
+once; an empty documents or benchmark table gives no rows; extra columns are ignored;
+texts of any length are read whole, one slice of texts at a time.
 """
 
 from __future__ import annotations

@@ -13,7 +13,8 @@ needs little memory.
 
 Defined results: null and empty texts are one chunk of padding and get its score;
 without labels of both classes every score is the share of label 1 (0 without
-labels); repeated rows score alike; a null label is no label.
+labels); repeated rows score alike; a null label is no label; texts of any
+length are read whole, in chunks; other columns are passed on, an empty table gives an empty table.
 """
 
 from __future__ import annotations

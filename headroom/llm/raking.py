@@ -16,7 +16,8 @@ shares, 0 makes them equal.  Null source or language is the value `?`.
 Topics are told by marks in the text: licence lines, contact data, symbol junk, else prose.
 
 Defined results: documents without tokens have probability 1 and weight 1; a null
-text has no tokens; a null id is hashed as `?`; repeated rows are decided alike;
+text has no tokens; a null id is hashed as `?`; the tokens of a text of any length
+all count; repeated rows are decided alike;
 an empty table gives an empty table; clashing names don't matter as cells have own names.
 """
 

@@ -13,7 +13,7 @@ Adding shard n moves only those ids that the new shard takes, a share of
 Defined results: a null id counts as one fixed value of its own, so such rows
 share a shard (still spread over its buckets); a null text has size 16 and the
 checksum of no bytes; repeated rows each keep a slot; equal texts are scattered
-independently; an empty table gives an empty table; further columns are written as they are.
+independently; texts of any length move whole; an empty table gives an empty table; further columns are written as they are.
 """
 
 from __future__ import annotations

@@ -16,7 +16,7 @@ fixed list of four languages, so that a document's fingerprint needs no corpus.
 Defined results: null is the empty text; an empty text has the empty fingerprint,
 two of those have likeness 1; a text without words has one signature of its bytes;
 rows of one id are ordered by text, rows with a null id come last; extra columns
-are ignored; an empty table gives an empty table.
+are ignored; texts of any length are read whole; an empty table gives an empty table.
 """
 
 from __future__ import annotations

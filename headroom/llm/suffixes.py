@@ -19,7 +19,7 @@ also starts in a document with a smaller id.
 
 Defined results: null texts are empty; a row whose id is null is left whole and
 is no source; rows of one id don't remove from each other; texts below 50 bytes
-are left whole; extra columns are ignored; an empty table gives an empty table.
+are left whole; longer ones of any length are read whole; extra columns are ignored; an empty table gives an empty table.
 """
 
 from __future__ import annotations

@@ -1,14 +1,14 @@
 """Toxicity by compression distance with two zstandard dictionaries.
 
-A dictionary is trained on ordinary and one on toxic text.  Overlapping windows
-of a text are compressed with each; where the toxic dictionary saves more bytes
+One dictionary is trained on ordinary text, one holds characteristic words of toxic
+text in front of the same.  Overlapping windows of a text are compressed with each; where the toxic dictionary saves more bytes
 than the ordinary one, the window speaks for toxicity.  The greatest saving of a
 window and the savings above the noise of ordinary windows are turned into a
 probability by a logistic calibration, so that 0.5 is the decision.
 
-Toxic texts are mostly ordinary words.  The toxic dictionary therefore is trained
-on the words that toxic texts have far more often than ordinary ones, and ends in
-the ordinary dictionary, so that ordinary words cost the same in both.
+Toxic texts are mostly ordinary words.  The toxic dictionary therefore is a list of
+the words that toxic texts have far more often than ordinary ones, not trained by
+zstandard, and ends in the ordinary dictionary, so that ordinary words cost the same in both.
 Dictionaries are used as raw content: a short window has no coding tables, and a
 match saves whole bytes.  Each window ends in a phrase that both dictionaries
 hold, so that the fixed cost of a first match is always paid.
@@ -18,7 +18,8 @@ characters each, from all over the text.  Scoring reads whole texts.
 
 Defined results: null and empty texts have no window and get the calibrated score
 of no savings; without labels of both classes every score is the share of toxic
-labels (0 without labels); repeated rows score alike; a null label is no label.
+labels (0 without labels); repeated rows score alike; a null label is no label; other
+columns are passed on (the score's name has to be free); an empty table gives an empty table.
 """
 
 from __future__ import annotations

@@ -26,8 +26,8 @@ them; all others are joined by a shuffle.
 
 Defined results: null texts are empty and coded as the end sign alone; without
 learning texts N and V are 0 and every decision costs one bit; rows with null or
-repeated ids are scored by their own text; extra columns are ignored; an empty table
-gives an empty table.
+repeated ids are scored by their own text; extra columns are ignored; texts of
+any length are coded whole; an empty table gives an empty table.
 """
 
 from __future__ import annotations
