@@ -35,6 +35,48 @@ def test_toxicity_held_out(spark):
     assert toxicity.scored(odd.limit(0), model).count() == 0
 
 
+def test_characteristic_strings_by_counting():
+    toxic = [b"a nitwit came", b"the nitwit", b"nitwit nitwit", b"no word"] * 5
+    toxic, ordinary = [t + b" %d" % i for i, t in enumerate(toxic)], [b"the came no word %d" % i for i in range(300)]
+    found = {int(g).to_bytes(toxicity.GRAM, "big") for g in toxicity.characteristic(toxic, ordinary)}
+    strings = {t[i : i + 6] for t in toxic for i in range(len(t) - 5)}
+    expected = set()
+    for s in strings:
+        n, m = sum(s in t for t in toxic), sum(s in t for t in ordinary)
+        table = np.array([n, len(toxic) - n, m, len(ordinary) - m]) + 0.5
+        odds = np.log(table[0] * table[3] / table[1] / table[2])
+        if odds > toxicity.ODDS and odds > toxicity.Z * np.sqrt((1 / table).sum()):
+            expected.add(s)
+    assert found == expected and b"nitwit" in found and b" word " not in found
+    spans = toxicity._spans(toxic, toxicity.characteristic(toxic, ordinary))
+    assert all(any(s in t for t in toxic) for s in spans) and any(b"nitwit" in s for s in spans)
+
+
+def test_evidence_by_compressing_each_window():
+    ordinary, toxic = toxicity.dictionaries([b"what a nitwit %d came by" % i for i in range(60)], [b"what a day %d came by and went" % i for i in range(300)])
+    texts = [b"", b"x", b"What a NITWIT\tcame by; " * 4, b"what a day " * 30, "nitwit \u00e9".encode() * 9, b"nitwit" * 3]
+    got = toxicity.evidence(np.frombuffer(b"".join(texts), np.uint8), np.concatenate(([0], np.cumsum([len(t) for t in texts]))), ordinary, toxic)
+    one, two = toxicity._compressors(ordinary, toxic)
+    for row, text in zip(got, texts):
+        text = bytes(32 if b in b" \t\n\v\f\r" else b for b in text.lower())
+        windows, at = [], 0
+        while at < len(text) and (at == 0 or at + toxicity.HOP < len(text)):
+            windows.append(text[at : at + toxicity.WINDOW] + toxicity.TAIL)
+            at += toxicity.HOP
+        saved = [len(one.compress(w)) - len(two.compress(w)) for w in windows]
+        reached = np.array([sum(s >= t for s in saved) for t in toxicity.THRESHOLDS])
+        assert np.allclose(row, [*np.log1p(reached), *np.log((reached + 1) / (len(windows) + toxicity.PRIOR)), np.log1p(len(windows))])
+    assert got[2][0] > 0 and got[0][0] == got[3][4] == 0
+
+
+def test_toxicity_passes_other_columns_and_scores_copies_alike(spark):
+    model = toxicity.fit(labelled(spark)[1])
+    rows = [(1, "a dreadful nitwit and vermin", 5, "x"), (1, "a dreadful nitwit and vermin", 6, None), (2, None, 7, "y"), (3, "dreadful " * 200000, 8, "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, label int, toxic string")
+    got = sorted(toxicity.scored(docs, model, score="__s").collect(), key=lambda r: r.label)
+    assert [tuple(r)[:4] for r in got] == rows and got[0]["__s"] == got[1]["__s"] and got[3]["__s"] > 0.5
+
+
 def test_quality_held_out(spark):
     model = quality.fit(labelled(spark)[1], epochs=4)
     rows, fresh = labelled(spark, 200, 2)
