@@ -2,7 +2,7 @@
 
 Suffixes are ordered only through `DEPTH` bytes; suffixes that are equal so far
 form a group, groups from one document are dropped, and the rest is ordered by
-the next digit.  Three digits suffice, each spread over all tasks by its value:
+the next digit.  Four digits suffice, each spread over all tasks by its value:
 
   1. *Anchor*.  Every 50-byte suffix is filed under the least hashed 20-byte
      string that starts in its first 31 bytes (leftmost on ties).  Equal suffixes
@@ -10,8 +10,12 @@ the next digit.  Three digits suffice, each spread over all tasks by its value:
      has to move.
   2. *Reach*.  All suffixes filed under one anchor occurrence, as one string.
      Where a smaller document has the same reach, all of them are repeated there.
-  3. *Suffix*.  Only where occurrences of an anchor differ in reach (at the ends
-     of a repeat) each 50-byte suffix is ordered by itself.
+  3. *Cell*.  Only where occurrences of an anchor differ in reach, suffixes are taken
+     by eights, by their distance to the anchor.  All suffixes of a cell hold the same
+     `CORE` bytes: cells whose core no other document has are done, cells that are
+     equal in a smaller document are repeated there.
+  4. *Suffix*.  Only where cells of one core differ (at the ends of a repeat) each
+     50-byte suffix is ordered by itself.
 
 Documents travel in compressed blocks; the digits travel as packed arrays, a row
 per block and range of values.  A byte is removed where a suffix that covers it
@@ -39,6 +43,8 @@ from headroom.llm.texts import U, documents, flat, mix, partitions, slices
 
 DEPTH = 50
 ANCHOR = 20
+CELL = 8
+CORE = DEPTH - CELL + 1  # bytes that all suffixes of a cell share
 BLOCK_BYTES = 1 << 20
 
 _BASE = 0xA0761D6478BD642F
@@ -74,7 +80,7 @@ def anchored(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     suffix = rolled(data, DEPTH)
     if not len(suffix):
         none = np.zeros(0, np.int64)
-        return {"digit": suffix, "reach": suffix, "doc": none, "low": none, "high": none, "suffix": suffix}
+        return {"digit": suffix, "reach": suffix, "doc": none, "at": none, "low": none, "high": none, "suffix": suffix}
     strings = rolled(data, ANCHOR)
     least = (strings & U(0xFFFFFFFF00000000)) | np.arange(len(strings), dtype=np.uint64)
     width, size = DEPTH - ANCHOR + 1, 1
@@ -92,8 +98,24 @@ def anchored(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     low = np.flatnonzero(whole & (change | np.concatenate(([True], ~whole[:-1]))))
     stop = np.flatnonzero(whole & np.concatenate((change[1:] | ~whole[1:], [True])))
     at = owner[low]
-    reach = mix(suffix[low] * U(0xE7037ED1A0B428DB) + suffix[stop] + ((at - low) * 64 + (stop - low)).astype(np.uint64) * U(0x8EBC6AF09C88C6E3))
-    return {"digit": strings[at], "reach": reach, "doc": doc[low], "low": low, "high": stop, "suffix": suffix}
+    return {"digit": strings[at], "reach": _run(suffix, at, low, stop), "doc": doc[low], "at": at, "low": low, "high": stop, "suffix": suffix}
+
+
+def _run(suffix: np.ndarray, at: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Hashes of the suffixes low..high, which overlap, with their places by the anchor."""
+    return mix(suffix[low] * U(0xE7037ED1A0B428DB) + suffix[high] + ((at - low) * 64 + (high - low)).astype(np.uint64) * U(0x8EBC6AF09C88C6E3))
+
+
+def celled(a: dict[str, np.ndarray], data: np.ndarray, todo: np.ndarray) -> dict[str, np.ndarray]:
+    """The anchors `todo` of `anchored` cut into cells: core and content hashes, document index, first and last suffix."""
+    at, low, high = (a[k][todo] for k in ("at", "low", "high"))
+    near, far = (at - high) // CELL, (at - low) // CELL
+    cell, own = _spread(near, far), np.repeat(np.arange(len(at)), far - near + 1)
+    at, doc = at[own], a["doc"][todo][own]
+    low, high = np.maximum(low[own], at - CELL * cell - CELL + 1), np.minimum(high[own], at - CELL * cell)
+    core = rolled(data, CORE)[at - CELL * cell] if len(at) else np.zeros(0, np.uint64)
+    digit = mix(core + cell.astype(np.uint64) * U(0xC2B2AE3D27D4EB4F))
+    return {"digit": digit, "reach": _run(a["suffix"], at, low, high), "doc": doc, "low": low, "high": high}
 
 
 def _blocks(batches):
@@ -144,8 +166,12 @@ def _first_digits(batches, parts: int):
         for row in range(len(table)):
             ids, offsets, data = _opened(table, row)
             a = anchored(data, offsets)
-            keys = (a["digit"] << U(40)) | (a["reach"] >> U(24))
-            yield from _rows(_dealt(table["block"][row].as_py(), a["digit"], keys, a["doc"], ids, parts), _DIGIT).to_batches()
+            yield from _rows(_dealt(table["block"][row].as_py(), a["digit"], _keys(a), a["doc"], ids, parts), _DIGIT).to_batches()
+
+
+def _keys(a: dict[str, np.ndarray]) -> np.ndarray:
+    """Digit and content of each entry in one number; groups of a digit are runs of it."""
+    return (a["digit"] << U(40)) | (a["reach"] >> U(24))
 
 
 def _gathered(table: pa.Table):
@@ -174,7 +200,7 @@ def _answered(table: pa.Table, verdict: np.ndarray, lengths: list[int]) -> pa.Ta
 
 
 def judge_reach(table: pa.Table) -> pa.Table:
-    """Per anchor occurrence: 1 if a smaller document has the same reach, 2 if its suffixes have to be ordered, else 0."""
+    """Per anchor occurrence (or cell): 1 if a smaller document has the same reach, 2 if its suffixes have to be ordered, else 0."""
     keys, docs, lengths = _gathered(table)
     order = np.argsort(keys)
     keys, docs = keys[order], docs[order]
@@ -214,14 +240,28 @@ def _spread(low: np.ndarray, high: np.ndarray) -> np.ndarray:
     return np.arange(sizes.sum()) + np.repeat(low - (np.cumsum(sizes) - sizes), sizes)
 
 
-def _second_digits(parts: int):
+def _at_digit(replies: pa.Table, digit: int) -> pa.Table:
+    return replies.filter(pc.equal(replies["digit"], digit))
+
+
+def _cell_digits(parts: int):
+    def deal(block: pa.Table, replies: pa.Table) -> pa.Table:
+        ids, offsets, data = _opened(block)
+        a = anchored(data, offsets)
+        cells = celled(a, data, _verdicts(a["digit"], replies, parts) == 2)
+        return _rows(_dealt(block["block"][0].as_py(), cells["digit"], _keys(cells), cells["doc"], ids, parts), _DIGIT)
+
+    return deal
+
+
+def _suffix_digits(parts: int):
     def deal(block: pa.Table, replies: pa.Table) -> pa.Table:
         ids, offsets, data = _opened(block)
         a = anchored(data, offsets)
-        todo = _verdicts(a["digit"], replies, parts) == 2
-        at = _spread(a["low"][todo], a["high"][todo])
-        docs = np.repeat(a["doc"][todo], (a["high"] - a["low"] + 1)[todo])
-        suffix = a["suffix"][at]
+        cells = celled(a, data, _verdicts(a["digit"], _at_digit(replies, 1), parts) == 2)
+        todo = _verdicts(cells["digit"], _at_digit(replies, 2), parts) == 2
+        low, high = cells["low"][todo], cells["high"][todo]
+        suffix, docs = a["suffix"][_spread(low, high)], np.repeat(cells["doc"][todo], high - low + 1)
         return _rows(_dealt(block["block"][0].as_py(), suffix, suffix, docs, ids, parts), _DIGIT)
 
     return deal
@@ -235,17 +275,15 @@ def _repeats(parts: int):
     def find(block: pa.Table, replies: pa.Table) -> pa.Table:
         ids, offsets, data = _opened(block)
         a = anchored(data, offsets)
-        first = replies.filter(pc.equal(replies["digit"], 1))
-        verdict = _verdicts(a["digit"], first, parts)
-        known, todo = verdict == 1, verdict == 2
-        at = _spread(a["low"][todo], a["high"][todo])
-        second = replies.filter(pc.equal(replies["digit"], 2))
-        at = at[_verdicts(a["suffix"][at], second, parts) == 1]
+        reach = _verdicts(a["digit"], _at_digit(replies, 1), parts)
+        cells = celled(a, data, reach == 2)
+        content = _verdicts(cells["digit"], _at_digit(replies, 2), parts)
+        at = _spread(cells["low"][content == 2], cells["high"][content == 2])
+        at = at[_verdicts(a["suffix"][at], _at_digit(replies, 3), parts) == 1]
         cover = np.zeros(len(data) + 1, np.int32)
-        np.add.at(cover, at, 1)
-        np.add.at(cover, at + DEPTH, -1)
-        np.add.at(cover, a["low"][known], 1)
-        np.add.at(cover, a["high"][known] + DEPTH, -1)
+        for low, high in ((a["low"][reach == 1], a["high"][reach == 1]), (cells["low"][content == 1], cells["high"][content == 1]), (at, at)):
+            np.add.at(cover, low, 1)
+            np.add.at(cover, high + DEPTH, -1)
         cover = np.cumsum(cover)[:-1] > 0
         rows = []
         for i, doc in enumerate(ids):
@@ -269,11 +307,13 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
     whole = whole.select("doc", "text", F.octet_length("text").cast("long").alias("size"), none.alias("starts"), none.alias("ends"))
 
     anchors = blocks.mapInArrow(lambda it: _first_digits(it, parts), DIGIT)
-    one = stored(anchors.groupBy("part").applyInArrow(judge_reach, REPLY), "reaches")
-    suffixes = blocks.groupBy("block").cogroup(one.groupBy("block")).applyInArrow(_second_digits(parts), DIGIT)
-    two = stored(suffixes.groupBy("part").applyInArrow(judge_suffix, REPLY), "suffixes")
-    both = one.withColumn("digit", F.lit(1)).union(two.withColumn("digit", F.lit(2)))
-    found = blocks.groupBy("block").cogroup(both.groupBy("block")).applyInArrow(_repeats(parts), SPAN)
+    one = stored(anchors.groupBy("part").applyInArrow(judge_reach, REPLY), "reaches").withColumn("digit", F.lit(1))
+    cells = blocks.groupBy("block").cogroup(one.groupBy("block")).applyInArrow(_cell_digits(parts), DIGIT)
+    two = stored(cells.groupBy("part").applyInArrow(judge_reach, REPLY), "cells").withColumn("digit", F.lit(2))
+    replies = one.union(two)
+    suffixes = blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(_suffix_digits(parts), DIGIT)
+    three = stored(suffixes.groupBy("part").applyInArrow(judge_suffix, REPLY), "suffixes").withColumn("digit", F.lit(3))
+    found = blocks.groupBy("block").cogroup(replies.union(three).groupBy("block")).applyInArrow(_repeats(parts), SPAN)
     return found.union(whole)
 
 

@@ -3,6 +3,8 @@
 import hashlib
 import random
 
+import numpy as np
+
 from headroom.llm import suffixes
 
 
@@ -56,3 +58,33 @@ def test_query_on_driver_table(spark, sf):
 
 def test_empty_table(table):
     assert suffixes.repeated_passages(table([])).count() == 0
+
+
+def test_passages_that_differ_inside(spark, table):
+    """Changed bytes 50 to 75 apart: anchors meet in many documents, and only some of their suffixes are repeated."""
+    draw = random.Random(5)
+    passage = "".join(draw.choice("abcdefgh ") for _ in range(600))
+    rows = []
+    for i in range(80):
+        text, at = list(passage), draw.randrange(70)
+        while at < len(text):
+            text[at] = draw.choice("XYZ")
+            at += draw.randrange(50, 76)
+        rows.append((draw.randrange(10**9), "".join(text[draw.randrange(100) : 400 + draw.randrange(200)])))
+    found = suffixes.repeated_passages(table(rows).repartition(4), parts=3)
+    got = sorted(((r.doc, r.size, r.size - len(r.text), len(r.starts), hashlib.sha256(r.text).hexdigest()) for r in found.collect()), key=repr)
+    assert got == brute(rows) and any(0 < r[2] < r[1] for r in got)
+
+
+def test_cells_cover_every_suffix_of_an_anchor():
+    text = np.frombuffer("".join(random.Random(2).choice("abcd") for _ in range(5000)).encode(), np.uint8)
+    a = suffixes.anchored(text, np.array([0, 1800, 1849, 5000]))
+    cells = suffixes.celled(a, text, np.ones(len(a["at"]), bool))
+    covered = np.concatenate([np.arange(low, high + 1) for low, high in zip(cells["low"], cells["high"])])
+    whole = np.concatenate([np.arange(low, high + 1) for low, high in zip(a["low"], a["high"])])
+    assert np.array_equal(np.sort(covered), np.sort(whole)) and (cells["high"] - cells["low"] < suffixes.CELL).all()
+    strings = {}
+    for digit, low, high in zip(cells["digit"], cells["low"], cells["high"]):
+        for at in range(low, high + 1):
+            strings.setdefault(text[at : at + 50].tobytes(), set()).add(digit)
+    assert all(len(digits) == 1 for digits in strings.values())  # equal suffixes meet in one core
