@@ -45,7 +45,8 @@ DEPTH = 50
 ANCHOR = 20
 CELL = 8
 CORE = DEPTH - CELL + 1  # bytes that all suffixes of a cell share
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19  # numpy holds some 200 bytes for each
+PART_BLOCKS = 16  # as many blocks send their digits to one part, on average
 
 _BASE = 0xA0761D6478BD642F
 _VALUES = np.random.default_rng(9).integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -299,9 +300,9 @@ def _repeats(parts: int):
 def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", parts: int | None = None) -> DataFrame:
     """(doc, text, size, starts, ends): the bytes kept, the size before, and the byte spans removed as repeats."""
     spark = docs.sparkSession
-    parts = parts or 2 * partitions(spark)
     own = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("string").alias("text"))
     blocks = stored(own.filter("doc is not null").mapInArrow(_blocks, BLOCK), "blocks")
+    parts = parts or max(2 * partitions(spark), blocks.count() // PART_BLOCKS)
     whole = own.filter("doc is null").select("doc", F.encode(F.coalesce("text", F.lit("")), "utf-8").alias("text"))
     none = F.array().cast("array<long>")
     whole = whole.select("doc", "text", F.octet_length("text").cast("long").alias("size"), none.alias("starts"), none.alias("ends"))
