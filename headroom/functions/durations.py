@@ -16,15 +16,17 @@ PATTERN = (
     rf"(?:T(?=.)(?:{_NUMBER}H)?(?:{_NUMBER}M)?(?:{_NUMBER}S)?)?$"
 )
 _FACTORS = (YEAR, MONTH, WEEK, DAY, HOUR, MINUTE, 1)
+_GROUPS = ";".join(f"0${group}" for group in range(2, 2 + len(_FACTORS)))
 
 
 def parse_iso_duration(text: Column) -> Column:
     """Signed ISO-8601 duration -> seconds (bigint); other text -> null."""
     trimmed = F.trim(text)
-    total = F.lit(0.0)
-    for group, factor in enumerate(_FACTORS, start=2):
-        part = F.regexp_replace(F.regexp_extract(trimmed, PATTERN, group), ",", ".")
-        total = total + F.coalesce(part.try_cast("double"), F.lit(0.0)) * factor
+    # all numbers by one match, not by seven; a unit that is not there reads as 0, as a cast of empty text costs an exception
+    numbers = F.split(F.translate(F.regexp_replace(trimmed, PATTERN, _GROUPS), ",", "."), ";")
+    factors = F.array(*[F.lit(float(f)) for f in _FACTORS])
+    weighed = F.zip_with(numbers, factors, lambda n, f: n.try_cast("double") * f)
+    total = F.aggregate(weighed, F.lit(0.0), lambda a, x: a + x)
     sign = F.when(trimmed.startswith("-"), -1).otherwise(1)
     return F.when(trimmed.rlike(PATTERN), (total * sign).cast("bigint"))
 

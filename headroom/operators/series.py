@@ -442,11 +442,13 @@ def refine_points(
     A receiver without a resolution, or one not at least twice as fine, gets
     the points as they are.
     """
-    joined = df.join(receivers, key, "left")
-    own, wanted = parse_iso_duration(F.col(resolution)), parse_iso_duration(F.col(receiver_resolution))
-    scale = F.when(wanted.isNotNull() & (own > wanted) & (F.floor(own / wanted) >= 2), F.floor(own / wanted)).otherwise(1)
+    # the wanted step is read once a receiver, the own one once a point
+    wanted = receivers.withColumn("__wanted", parse_iso_duration(F.col(receiver_resolution)))
+    steps = df.join(wanted, key, "left").withColumn("__own", parse_iso_duration(F.col(resolution)))
+    times = F.floor(F.col("__own") / F.col("__wanted"))
+    scale = F.when((F.col("__own") > F.col("__wanted")) & (times >= 2), times).otherwise(1)
     return (
-        joined.withColumn("__scale", scale.cast("int"))
+        steps.withColumn("__scale", scale.cast("int")).drop("__own", "__wanted")
         .withColumn("__i", F.explode(F.sequence(F.lit(1), F.col("__scale"))))
         .withColumns(
             {
