@@ -28,25 +28,28 @@ def _result_points(spark, sf):
 
 
 def _document_text(spark, sf):
-    """Documents as text, spread evenly: parsing a document costs far more than moving it."""
-    return d.document_text(d.market_documents(_result_points(spark, sf), DOC), DOC).repartition(spark.sparkContext.defaultParallelism)
+    """Documents as text; the shuffle that collects them spreads them."""
+    return d.document_text(d.market_documents(_result_points(spark, sf), DOC), DOC)
+
+
+# what is read back of a written document: the fields in question, in one pass over its text
+WRITTEN = "`receiver_MarketParticipant.mRID` struct<_codingScheme:string,_VALUE:string>, Bid_TimeSeries array<struct<Period:struct<Point:array<struct<quantity:double>>>>>"
 
 
 def write_market_xml(spark, sf):
-    documents = _document_text(spark, sf)
+    documents = _document_text(spark, sf).select("receiver", "period_from", F.from_xml("document", WRITTEN, {"rowTag": DOC}).alias("doc"))
+    series, to = F.col("doc.Bid_TimeSeries"), F.col("doc").getField("receiver_MarketParticipant.mRID")
+    points = F.flatten(F.transform(series, lambda s: s.getField("Period").getField("Point")))
+    total = F.aggregate(points, F.lit(0.0), lambda a, p: a + p.getField("quantity"))
     return documents.select(
-        "receiver", F.col("period_from").cast("timestamp_ntz").alias("period_from"),
-        F.xpath_int("document", F.lit(f"count(/{DOC}/Bid_TimeSeries)")).alias("series"),
-        F.xpath_int("document", F.lit(f"count(/{DOC}/Bid_TimeSeries/Period/Point)")).alias("points"),
-        F.round(F.xpath_double("document", F.lit("sum(//Point/quantity)")), 4).alias("quantity"),
-        F.xpath_string("document", F.lit("//receiver_MarketParticipant.mRID")).alias("to_mrid"),
-        F.xpath_string("document", F.lit("//receiver_MarketParticipant.mRID/@codingScheme")).alias("scheme"),
+        "receiver", F.col("period_from").cast("timestamp_ntz").alias("period_from"), F.size(series).alias("series"), F.size(points).alias("points"),
+        F.round(total, 4).alias("quantity"), to.getField("_VALUE").alias("to_mrid"), to.getField("_codingScheme").alias("scheme"),
     )
 
 
 def read_market_xml(spark, sf):
     path = scratch_path(spark, "documents")
-    d.write_market_xml(_result_points(spark, sf), DOC, path)
+    d.write_market_xml(_result_points(spark, sf), DOC, path, compression="gzip")
     points = d.read_market_xml(spark, path, DOC)
     return points.select(
         "document_type", quoted("Bid_TimeSeries.mRID").cast("bigint").alias("series_id"), quoted("Point.position").alias("position"),
@@ -66,15 +69,17 @@ def parse_market_xml(spark, sf):
 
 def _odd_documents(spark, sf):
     """Documents with an element that no schema lists, and a text for the quantity of each first point."""
-    text = F.regexp_replace(F.col("document"), r"(<position>1</position>\s*<quantity>)[^<]*", "$1open")
-    noted = F.regexp_replace(text, f"</{DOC}>", F.concat(F.lit("<delivery.note kind='free'><line>"), F.col("receiver"), F.lit(f"</line><line>end</line></delivery.note></{DOC}>")))
+    def odd(point):
+        return point.withField("quantity", F.when(point.getField("position") == 1, "open").otherwise(point.getField("quantity").cast("string")))
+
+    def opened(series):
+        return series.withField("Period.Point", F.transform(series.getField("Period").getField("Point"), odd))
+
+    documents = d.market_documents(_result_points(spark, sf), DOC)
+    note = F.struct(F.lit("free").alias("_kind"), F.array("receiver", F.lit("end")).alias("line"))
+    document = F.col("document").withField("Bid_TimeSeries", F.transform(F.col("document.Bid_TimeSeries"), opened)).withField("`delivery.note`", note)
     path = scratch_path(spark, "odd")
-    # one file, under one root, for each receiver and year: a few hundred documents at most
-    year = F.date_format("period_from", "yyyy").alias("year")
-    files = _document_text(spark, sf).select("receiver", year, noted.alias("document")).groupBy("receiver", "year").agg(
-        F.concat(F.lit("<all>"), F.array_join(F.collect_list("document"), ""), F.lit("</all>")).alias("value")
-    )
-    files.write.partitionBy("receiver", "year").text(path)
+    d.write_documents(documents.withColumn("document", document), DOC, path, compression="gzip")
     return path
 
 
@@ -94,7 +99,7 @@ def read_mixed_quantities(spark, sf):
 def bounded_documents(spark, sf):
     """Documents of at most 200 points and one series: the parts of each group, read back whole."""
     path = scratch_path(spark, "parts")
-    d.write_market_xml(_result_points(spark, sf).withColumn("period_from", F.lit("1995-01-01").cast("timestamp")), DOC, path, max_points=200)
+    d.write_market_xml(_result_points(spark, sf).withColumn("period_from", F.lit("1995-01-01").cast("timestamp")), DOC, path, max_points=200, compression="gzip")
     points = d.read_market_xml(spark, path, DOC)
     per = points.groupBy("mRID", quoted("receiver_MarketParticipant.mRID").alias("receiver")).agg(F.count("*").alias("points"), F.round(F.sum(quoted("Point.quantity")), 4).alias("quantity"))
     return per.groupBy("receiver").agg(F.max(F.col("points") < 207).alias("bounded"), (F.count("*") > 1).alias("parted"), F.sum("points").alias("points"), F.round(F.sum("quantity"), 4).alias("quantity"))

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from headroom.functions.durations import parse_iso_duration
 from headroom.functions.times import format_utc, parse_datetime_any
 from headroom.operators.columns import quoted
-from headroom.scale import as_columns, epoch, join_null_safe
+from headroom.scale import as_columns, epoch
 
 # Document types with the name of their series element and of their period element.
 DOCUMENT_TYPES = {
@@ -112,7 +112,9 @@ def points_from_documents(df: DataFrame, doc_type: str, document: str | None = N
         value = F.col(parent).getField(child)
         # the fields of a level are taken out of it before its children are unfolded: no row carries the whole document
         kept = [quoted(c) for c in frame.columns if c != parent]
-        frame = frame.select(*kept, *taken(parent, kind, name, child), (F.explode(value) if repeated else value).alias(column))
+        # outer, then without nulls: for a plain explode Catalyst puts a filter on the list's size, and with it a parse of the text, below
+        frame = frame.select(*kept, *taken(parent, kind, name, child), (F.explode_outer(value) if repeated else value).alias(column))
+        frame = frame.where(F.col(column).isNotNull()) if repeated else frame
         if child == "Period":  # times are parsed once a period, not once a point
             frame = frame.withColumns({
                 "__start": epoch(parse_datetime_any(F.col("__period.timeInterval.start"))), "__step": parse_iso_duration(F.col("__period.resolution")),
@@ -218,20 +220,17 @@ def _coded(column: Column, scheme: str = "A01") -> Column:
 MAX_POINTS = 50_000
 
 
-def _numbered_parts(series: DataFrame, group: list[str], name: str, weight: str, limit: int) -> DataFrame:
-    """`series` with `__part`: the running total of `weight` within `group`, cut every `limit`.
+def _numbered_parts(series: DataFrame, totals: DataFrame, order: list[str], weight: str, limit: int) -> DataFrame:
+    """`series` with `__part`: the running total of `weight` within `__group`, cut every `limit`.
 
-    Series are ordered by a hash in chunks: totals run inside a chunk, and the
-    chunks' own totals, at most 1024 a group, are added up; no task sees a whole group.
+    Series are dealt by a hash into chunks (`__chunk`): totals run inside a chunk, and `totals`, the chunks' own
+    (`__total`, at most 1024 a group), are added up; no task sees a whole group, and a series is not moved for it.
     """
-    narrow = series.select(*group, name, F.col(weight).alias("__w")).withColumn("__chunk", F.pmod(F.xxhash64(name), F.lit(1024)))
-    keys = [*group, "__chunk"]
-    running = W.partitionBy(*keys).orderBy(name).rowsBetween(W.unboundedPreceding, W.currentRow)
-    before = W.partitionBy(*group).orderBy("__chunk").rowsBetween(W.unboundedPreceding, -1)
-    chunks = narrow.groupBy(*keys).agg(F.sum("__w").alias("__total")).withColumn("__base", F.coalesce(F.sum("__total").over(before), F.lit(0))).drop("__total")
-    placed = join_null_safe(narrow.withColumn("__run", F.sum("__w").over(running) - F.col("__w")), chunks, keys)
-    part = F.floor((F.col("__run") + F.col("__base")) / F.lit(limit)).cast("int")
-    return join_null_safe(series, placed.select(*group, name, part.alias("__part")), [*group, name])
+    running = W.partitionBy("__group", "__chunk").orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    before = W.partitionBy("__group").orderBy("__chunk").rowsBetween(W.unboundedPreceding, -1)
+    chunks = totals.withColumn("__base", F.coalesce(F.sum("__total").over(before), F.lit(0))).drop("__total")
+    placed = series.withColumn("__run", F.sum(weight).over(running) - F.col(weight)).join(chunks, ["__group", "__chunk"])
+    return placed.withColumn("__part", F.floor((F.col("__run") + F.col("__base")) / F.lit(limit)).cast("int")).drop("__run", "__base")
 
 
 def market_documents(
@@ -257,27 +256,40 @@ def market_documents(
         F.col("position").cast("int").alias("position"), F.round("value", 1).alias("quantity"),
         F.round("percentage_level", 1).alias("secondaryQuantity"),
     )
-    series = df.where("value is not null").groupBy(
-        *keys, *head, "series_id", "series_from", "series_to", "resolution", "business_type", *place
-    ).agg(F.array_sort(F.collect_list(point)).alias("__points"), F.max("version").alias("version"))
-    own = F.to_json(F.struct(*[F.col(c) for c in ("series_id", "series_from", "series_to", "resolution", "business_type", *place)]))
-    series = series.withColumns({"__series_key": own, "__weight": F.size("__points")})
-    series = _numbered_parts(series, [*keys, *head], "__series_key", "__weight", max_points)
-    interval = F.struct(format_utc(F.col("series_from")).alias("start"), format_utc(F.col("series_to")).alias("end"))
-    ends = (
-        [_coded(F.col("block")).alias("acquiring_Domain.mRID"), _coded(F.col("domain")).alias("connecting_Domain.mRID"),
-         F.lit("MAW").alias("quantity_Measurement_Unit.name"), F.lit("P1").alias("price_Measurement_Unit.name"),
-         F.lit("A01").alias("divisible"), F.col("direction").alias("flowDirection.direction")]
-        if bids else
-        [_coded(F.col("in_domain")).alias("in_Domain.mRID"), _coded(F.col("out_domain")).alias("out_Domain.mRID"),
-         F.lit("MAW").alias("measurement_Unit.name"), F.lit("P1").alias("secondary_Measurement_Unit.name")]
-    )
-    period = F.struct(interval.alias("timeInterval"), F.col("resolution"), F.col("__points").alias("Point"))
-    body = F.struct(
-        F.col("series_id").cast("string").alias("mRID"), F.col("business_type").alias("businessType"), *ends,
-        F.lit("A02").alias("curveType"), period.alias("Period"),
-    )
-    documents = series.groupBy(*keys, *head, "__part").agg(F.array_sort(F.collect_list(body)).alias("__series"), F.max("version").alias("version"))
+    group, own = [*keys, *head], ["series_id", "series_from", "series_to", "resolution", "business_type", *place]
+    # a struct of the group equals another whose fields are null in the same places, so plain joins and shuffles meet it
+    dealt = df.where("value is not null").withColumns(
+        {"__group": F.struct(*group), "__chunk": F.pmod(F.xxhash64(*own), F.lit(1024)).cast("int")}
+    ).drop(*group)
+    series = dealt.repartition("__group", "__chunk").groupBy("__group", "__chunk", *own).agg(
+        F.array_sort(F.collect_list(point)).alias("__points"), F.max("version").alias("version")
+    ).withColumn("__weight", F.size("__points"))
+    totals = dealt.groupBy("__group", "__chunk").agg(F.count("*").alias("__total"))
+    series = _numbered_parts(series, totals, own, "__weight", max_points)
+
+    def body(one: Column) -> Column:
+        def of(name: str) -> Column:
+            return one.getField(name).alias(name)
+
+        interval = F.struct(format_utc(of("series_from")).alias("start"), format_utc(of("series_to")).alias("end"))
+        ends = (
+            [_coded(F.col("block")).alias("acquiring_Domain.mRID"), _coded(of("domain")).alias("connecting_Domain.mRID"),
+             F.lit("MAW").alias("quantity_Measurement_Unit.name"), F.lit("P1").alias("price_Measurement_Unit.name"),
+             F.lit("A01").alias("divisible"), of("direction").alias("flowDirection.direction")]
+            if bids else
+            [_coded(of("in_domain")).alias("in_Domain.mRID"), _coded(of("out_domain")).alias("out_Domain.mRID"),
+             F.lit("MAW").alias("measurement_Unit.name"), F.lit("P1").alias("secondary_Measurement_Unit.name")]
+        )
+        period = F.struct(interval.alias("timeInterval"), of("resolution"), of("__points").alias("Point"))
+        return F.struct(
+            of("series_id").cast("string").alias("mRID"), of("business_type").alias("businessType"), *ends,
+            F.lit("A02").alias("curveType"), period.alias("Period"),
+        )
+
+    # the body is made after the shuffle: what is equal in all series is not moved
+    documents = series.groupBy("__group", "__part").agg(F.collect_list(F.struct(*own, "__points")).alias("__series"), F.max("version").alias("version"))
+    documents = documents.select(*[F.col("__group").getField(c).alias(c) for c in group], "__part", "__series", "version")
+    documents = documents.withColumn("__series", F.array_sort(F.transform("__series", body)))
     whole = F.struct(format_utc(F.col("period_from")).alias("start"), format_utc(F.col("period_to")).alias("end"))
     identity = F.concat_ws("_", F.lit("from"), format_utc(F.col("period_from")), F.lit("to"), format_utc(F.col("period_to")), "spacing", "block",
                            F.when(F.col("__part") > 0, F.concat(F.lit("part"), F.col("__part") + 1)))
@@ -293,15 +305,26 @@ def market_documents(
 
 
 def document_text(documents: DataFrame, doc_type: str) -> DataFrame:
-    """Document structs as XML text."""
-    return documents.withColumn("document", F.to_xml("document", {"rowTag": doc_type}))
+    """Document structs as XML text, without white space between the elements."""
+    return documents.withColumn("document", F.to_xml("document", {"rowTag": doc_type, "indent": ""}))
 
 
-def write_market_xml(df: DataFrame, doc_type: str, path: str, mode: str = "append", max_points: int = MAX_POINTS) -> None:
-    """Write result points as documents of bounded size below `path`, one folder per receiver."""
-    documents = market_documents(df, doc_type, max_points=max_points)
+FILE_POINTS = 2_000_000  # of a file, which one task reads; documents of `max_points` points are counted
+
+
+def write_documents(documents: DataFrame, doc_type: str, path: str, mode: str = "append", max_points: int = MAX_POINTS, compression: str | None = None) -> None:
+    """Write document structs below `path`, one folder per receiver, in files of bounded size."""
     kind = documents.schema["document"].dataType
     rows = documents.select(
         F.col("receiver").alias("to"), *[F.col("document").getField(f.name).alias(f.name) for f in kind.fields]
     )
-    rows.write.format("xml").option("rowTag", doc_type).option("rootTag", f"{doc_type}s").partitionBy("to").mode(mode).save(path)
+    options = {"rowTag": doc_type, "rootTag": f"{doc_type}s", "indent": "", "maxRecordsPerFile": max(1, FILE_POINTS // max_points)}
+    options |= {"compression": compression} if compression else {}
+    rows.write.format("xml").options(**options).partitionBy("to").mode(mode).save(path)
+
+
+def write_market_xml(
+    df: DataFrame, doc_type: str, path: str, mode: str = "append", max_points: int = MAX_POINTS, compression: str | None = None
+) -> None:
+    """Write result points as documents of bounded size below `path`, one folder per receiver."""
+    write_documents(market_documents(df, doc_type, max_points=max_points), doc_type, path, mode, max_points, compression)

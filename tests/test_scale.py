@@ -2,8 +2,11 @@
 
 from pyspark.sql import functions as F
 
+from headroom.catalog import document_queries as dq
 from headroom.functions import durations as du
 from headroom.operators import series as s
+from headroom.scale import scratch_path
+from headroom.sources import documents as d
 
 
 def _plan(df) -> str:
@@ -19,3 +22,22 @@ def test_durations_are_matched_once_a_point(spark):
     fine = s.refine_points(points, receivers)
     assert sorted(map(tuple, fine.select("receiver", "position", "quantity").collect())) == [("a", 1, 5.0), ("a", 2, 5.0), ("b", 2, 6.0), ("c", 2, 7.0)]
     assert _plan(fine).count("(-?)P(?=.)") <= 4  # a test and a match for either resolution
+
+
+def test_documents_are_parsed_once_and_their_files_are_bounded(spark, sf, monkeypatch):
+    plan = _plan(dq.parse_market_xml(spark, sf))
+    assert plan.count("from_xml(") == 1 and plan.count("to_xml(") == 1
+    path, documents = scratch_path(spark, "bounded"), d.market_documents(dq._result_points(spark, sf), dq.DOC, max_points=50)
+    monkeypatch.setattr(d, "FILE_POINTS", 5_000)
+    d.write_documents(documents, dq.DOC, path, max_points=50, compression="gzip")
+    read = spark.read.format("xml").option("rowTag", dq.DOC).schema(d.document_schema(dq.DOC)).load(path)
+    per_file = read.groupBy(F.input_file_name()).count().agg(F.max("count"), F.sum("count")).first()
+    assert per_file[0] <= 100 and per_file[1] == documents.count()
+
+
+def test_odd_documents_are_never_one_text(spark, sf):
+    """Files hold documents as rows of the writer, not one text that a task has put together."""
+    path = dq._odd_documents(spark, sf)
+    read = spark.read.format("xml").option("rowTag", dq.DOC).schema(d.document_schema(dq.DOC)).load(path)
+    assert read.count() == dq._result_points(spark, sf).select("receiver", "period_from").distinct().count()
+    assert not [f for f in read.inputFiles() if "year=" in f]
