@@ -29,9 +29,17 @@ def parse_datetime_any(text: Column) -> Column:
     has_clock = trimmed.rlike(r"\d:?\d{2}(:?\d{2})?(\.\d+)?\s*" + OFFSET_TEXT) & trimmed.rlike(r"[T:]")
     zone = F.when(has_clock, F.regexp_extract(trimmed, r"\s*" + OFFSET_TEXT, 1)).otherwise("")
     local = F.when(has_clock, F.regexp_replace(trimmed, r"\s*" + OFFSET_TEXT, "")).otherwise(trimmed)
-    # the layout of our own documents by its shape, as each layout that fails costs an exception
-    usual = F.when(local.rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d$"), F.try_to_timestamp(local, F.lit("yyyy-MM-dd'T'HH:mm")))
-    naive = F.coalesce(usual, *[F.try_to_timestamp(local, F.lit(layout)) for layout in LAYOUTS])
+    # one element, so that its parts are found once and not again in every place that uses them
+    parts = F.array(F.struct(local.alias("local"), zone.alias("zone")))
+    any_layout = F.transform(parts, lambda one: _utc(one.getField("local"), one.getField("zone"))).getItem(0)
+    # the layout of our own documents by its shape: a layout that fails costs an exception
+    usual = F.try_to_timestamp(trimmed, F.lit("yyyy-MM-dd'T'HH:mm'Z'")).cast("timestamp")
+    return F.when(trimmed.rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\dZ$"), usual).otherwise(any_layout)
+
+
+def _utc(local: Column, zone: Column) -> Column:
+    """UTC time of a clock text and the text of its zone."""
+    naive = F.coalesce(*[F.try_to_timestamp(local, F.lit(layout)) for layout in LAYOUTS])
     digits = F.regexp_replace(F.regexp_replace(zone, ":", ""), r"^[+-]", "")
     numeric = zone.rlike(r"^[+-]\d")
     minutes = F.substring(digits, 1, 2).try_cast("int") * 60 + F.substring(digits, 3, 2).try_cast("int")

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from headroom.catalog import document_queries as dq
 from headroom.functions import durations as du
+from headroom.functions import times as ti
 from headroom.operators import series as s
 from headroom.scale import scratch_path
 from headroom.sources import documents as d
@@ -41,3 +42,17 @@ def test_odd_documents_are_never_one_text(spark, sf):
     read = spark.read.format("xml").option("rowTag", dq.DOC).schema(d.document_schema(dq.DOC)).load(path)
     assert read.count() == dq._result_points(spark, sf).select("receiver", "period_from").distinct().count()
     assert not [f for f in read.inputFiles() if "year=" in f]
+
+
+def test_times_are_taken_apart_once(spark):
+    texts = ["2024-05-01T10:20Z", "2024-13-01T10:20Z", "2024-05-01T10:20+02:00", "2024-05-01T10:20A", "20240501T102030", "1 May 2024", "x", None]
+    found = spark.createDataFrame([(t,) for t in texts], "t string").select(ti.parse_datetime_any(F.col("t")).cast("string").alias("t"))
+    assert [r.t for r in found.collect()] == ["2024-05-01 10:20:00", None, "2024-05-01 08:20:00", "2024-05-01 11:20:00", "2024-05-01 10:20:30", "2024-05-01 00:00:00", None, None]
+    assert 0 < _plan(spark.range(9).select(ti.parse_datetime_any(F.col("id").cast("string")))).count("RLIKE(") <= 10
+
+
+def test_files_to_validate_are_bounded(spark, sf, monkeypatch):
+    monkeypatch.setattr(dq, "FILE_ROWS", 500)
+    rows = {r.valid: (r.n, r.quantity) for r in dq.validate_market_xml(spark, sf).collect()}
+    files = spark.read.format("xml").option("rowTag", "Series").schema("mRID string").load(dq._to_validate(spark, sf)[0]).groupBy(F.input_file_name()).count()
+    assert set(rows) == {True, False} and files.agg(F.max("count")).first()[0] <= 500
