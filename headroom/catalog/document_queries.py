@@ -111,13 +111,21 @@ XSD = """<?xml version="1.0"?>
 <xs:element name="quantity" type="xs:decimal"/></xs:sequence></xs:complexType></xs:element></xs:schema>"""
 
 
-def validate_market_xml(spark, sf):
+FILE_ROWS = 500_000  # of a file to validate: one task reads a file whole
+
+
+def _to_validate(spark, sf):
+    """Path of one element a step, some with a text for the quantity, and the schema of their columns."""
     path = scratch_path(spark, "checked")
-    xsd = put_text(spark, f"{scratch_path(spark, 'schema')}/series.xsd", XSD)
     broken = F.when(F.col("series_id") % 10 == 0, "much").otherwise(F.col("quantity").cast("string"))
     rows = v.steps(spark, sf).select(F.col("series_id").cast("string").alias("mRID"), "position", broken.alias("quantity"))
-    rows.write.format("xml").option("rowTag", "Series").option("rootTag", "All").save(path)
-    kind = rows.limit(0).select("mRID", "position", F.lit(0.0).alias("quantity")).schema
+    rows.write.format("xml").options(rowTag="Series", rootTag="All", indent="", maxRecordsPerFile=FILE_ROWS, compression="gzip").save(path)
+    return path, rows.limit(0).select("mRID", "position", F.lit(0.0).alias("quantity")).schema
+
+
+def validate_market_xml(spark, sf):
+    xsd = put_text(spark, f"{scratch_path(spark, 'schema')}/series.xsd", XSD)
+    path, kind = _to_validate(spark, sf)
     checked = d.validate_market_xml(spark, path, xsd, "Series", kind)
     return checked.groupBy("valid").agg(F.count("*").alias("n"), F.round(F.sum("quantity"), 4).alias("quantity"))
 
