@@ -29,8 +29,8 @@ def fill_ordered(
     split = split is not False
     pick = F.last if forward else F.first
 
-    def filled(keys: list[str], frame: DataFrame) -> DataFrame:
-        window = W.partitionBy(*keys).orderBy(time, *tie)
+    def filled(keys: list[str], frame: DataFrame, *place: Column) -> DataFrame:
+        window = W.partitionBy(*keys).orderBy(*place, time, *tie)
         window = (
             window.rowsBetween(W.unboundedPreceding, W.currentRow) if forward
             else window.rowsBetween(W.currentRow, W.unboundedFollowing)
@@ -52,10 +52,12 @@ def fill_ordered(
     carried = summary.select(
         *by, "__chunk", *[F.last(f"__edge_{c}", ignorenulls=True).over(before).alias(f"__carry_{c}") for c in columns]
     )
-    joined = join_null_safe(filled([*by, "__chunk"], chunked), carried, [*by, "__chunk"], "left")
-    return joined.withColumns({c: F.coalesce(F.col(c), F.col(f"__carry_{c}")) for c in columns}).drop(
-        "__chunk", *[f"__carry_{c}" for c in columns]
+    # carried values stand in front of (behind) their chunk's rows in the same window: no join, which would deal all rows anew
+    rows = chunked.withColumn("__carried", F.lit(False)).unionByName(
+        carried.select(*by, "__chunk", *[F.col(f"__carry_{c}").alias(c) for c in columns], F.lit(True).alias("__carried")), allowMissingColumns=True
     )
+    place = F.col("__carried").desc() if forward else F.col("__carried").asc()
+    return filled([*by, "__chunk"], rows, place).where("not __carried").drop("__chunk", "__carried")
 
 
 def fill_missing(df: DataFrame, value: str, by=None, time: str = "valid_from", method: str | None = "ffill", **options) -> DataFrame:

@@ -56,3 +56,12 @@ def test_files_to_validate_are_bounded(spark, sf, monkeypatch):
     rows = {r.valid: (r.n, r.quantity) for r in dq.validate_market_xml(spark, sf).collect()}
     files = spark.read.format("xml").option("rowTag", "Series").schema("mRID string").load(dq._to_validate(spark, sf)[0]).groupBy(F.input_file_name()).count()
     assert set(rows) == {True, False} and files.agg(F.max("count")).first()[0] <= 500
+
+
+def test_chunks_are_filled_without_a_join(spark):
+    rows = [("a", "2024-01-01", 1.0), ("a", "2024-01-02", None), ("a", "2024-02-01", None), ("a", "2024-02-02", 2.0), (None, "2024-01-05", 3.0), (None, "2024-03-01", None)]
+    df = spark.createDataFrame(rows, "k string, t string, v double").withColumn("valid_from", F.col("t").cast("timestamp"))
+    for direction, want in (("forward", [1.0, 1.0, 1.0, 2.0, 3.0, 3.0]), ("backward", [1.0, 2.0, 2.0, 2.0, 3.0, None])):
+        filled = s.fill_ordered(df, "v", "k", direction=direction)
+        assert [r.v for r in filled.orderBy(F.col("k").asc_nulls_last(), "t").collect()] == want
+        assert filled.columns == df.columns and "Join" not in _plan(filled)
