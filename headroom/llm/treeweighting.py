@@ -10,14 +10,14 @@ the mixture by which a text is coded; its code length is the score.
 Texts are dealt into blocks of about `BLOCK` bytes.  A block names each of its byte strings
 of DEPTH + 1 once, with how often learning texts hold it, as sorted numbers packed by
 their differences; every context that was seen is in the tree.  Contexts in the order of
-their nearest byte, then the next, are dealt into parts of about `CODES` such names, so
-that a subtree lies in one part but for the contexts at the parts' bounds, at most two a
-depth and part.  Those send their counts and the sums of their whole children to the
-driver, which weighs them and gives the weights back; then each part knows the
-probability of each of its strings and answers the blocks that named them, with logs
-rounded to `LOG_BITS` binary places.  What moves grows with the strings of a block, not
-with its bytes.  A context that was never seen
-predicts as the longest one that was.
+their nearest byte, then the next, are dealt into parts of about `CODES` such names (more
+from `MANY` blocks on), so that a subtree lies in one part but for the contexts at the
+parts' bounds, at most two a depth and part.  Those send their counts and the sums of
+their whole children to the driver, which weighs them and gives the weights back; then
+each part knows the probability of each of its strings and answers the blocks that named
+them, with logs rounded to `LOG_BITS` binary places.  What moves grows with the strings
+of a block, not with its bytes.  A context that was never seen predicts as the longest
+one that was.
 
 A block looks its strings up in a hash table; strings with a share of at least
 `CODE_SHARE` of the learning texts, at most 1 / CODE_SHARE of them, are in a small one
@@ -52,6 +52,8 @@ BLOCK = 32 << 20  # bytes of the texts that name their strings together, about
 LOG_BITS = 36  # of the logs' 52 binary places that are sent: a share of 1e-11
 COUNTED = 1 << 22  # bytes whose strings are sorted at once
 CODES = 1 << 19  # byte strings of a part of the tree, about, as named by each block
+MANY = 512  # blocks from which on parts grow with them, so that a block's piece of a part stays at some 1,000 strings
+MOST = 16  # times that they grow at most, as a task holds a part
 CODE_SHARE = 2.0**-20  # for a byte string to be looked up first
 WORD_SHARE = 2.0**-21  # for a word to be looked up without a shuffle
 END = 10  # code of the end sign
@@ -496,11 +498,16 @@ def _answers(bounds: np.ndarray, held, least: float):
     return answer
 
 
+def _part_size(codes: int, blocks: int) -> int:
+    """Strings of a part: pieces are as many as blocks times parts, which otherwise grew with the square of the input."""
+    return codes * min(max(1, blocks // MANY), MOST)
+
+
 def code_logs(texts: DataFrame, codes: int = CODES) -> tuple[DataFrame, DataFrame]:
     """texts (block, learn, text) -> each block's strings with their log10 probabilities after learning, and the stored table they are made from."""
     asked = stored(texts.mapInArrow(_asked(max(1, codes >> 8)), ASKED), "asked")
-    total, learned = asked.agg(F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.sum("learned"), F.lit(0))).first()
-    many = -(-total // codes)
+    total, learned, blocks = asked.agg(F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.sum("learned"), F.lit(0)), F.count(F.lit(1))).first()
+    many = -(-total // _part_size(codes, blocks))
     bounds = []
     if many > 1:  # a context of full length has at most 256 strings a block, so parts are of like size
         bounds = asked.select(F.explode("marks").alias("mark")).select(F.percentile_approx("mark", [k / many for k in range(1, many)], max(10_000, 20 * many))).first()[0]

@@ -184,5 +184,14 @@ def test_answers_of_many_blocks_and_rows_agree_with_brute_force(table, monkeypat
     rows = [(i, " ".join(text.split()[i % 5 :][: 3 + i % 7])) for i in range(60)] + [(None, "the cat"), (73, "zebra zz the"), (74, None)]
     monkeypatch.setattr(c, "BLOCK", 200)
     monkeypatch.setattr(c, "COUNTED", 50)
+    monkeypatch.setattr(c, "MANY", 8)
     monkeypatch.setattr(c._asked, "__defaults__", (40,))
     check(rows, c.scored(table(rows), c.share_of("doc_id", 10) == 0, codes=50).collect())
+
+
+def test_pieces_of_a_block_stay_large():
+    """Blocks times parts would grow with the square of the input."""
+    names = 1_000_000  # of a block
+    for blocks in (10, 512, 2000, 8000):
+        size = c._part_size(c.CODES, blocks)
+        assert c.CODES <= size <= c.MOST * c.CODES and names / -(-blocks * names // size) > 500
