@@ -88,3 +88,28 @@ def test_cells_cover_every_suffix_of_an_anchor():
         for at in range(low, high + 1):
             strings.setdefault(text[at : at + 50].tobytes(), set()).add(digit)
     assert all(len(digits) == 1 for digits in strings.values())  # equal suffixes meet in one core
+
+
+def test_anchors_spread_over_all_parts():
+    """An anchor is the least of many hashes; its digit must not be, else the first part gets a quarter of them."""
+    text = np.frombuffer("".join(random.Random(4).choices("abcdefgh ", k=300_000)).encode(), np.uint8)
+    a = suffixes.anchored(text, np.array([0, len(text)]))
+    rows = list(suffixes._dealt(1, suffixes._entries(a, np.array([7])), 64))
+    sizes = [len(keys) // 8 for _, _, _, keys, _ in rows]
+    assert len(rows) == 64 and max(sizes) < 2 * sum(sizes) / 64
+
+
+def test_a_shared_passage_is_one_entry_a_block(spark, table):
+    """Copies in one block send each key once; wide and negative ids keep their order."""
+    draw = random.Random(6)
+    passage = np.frombuffer("".join(draw.choice("abcdefgh ") for _ in range(2000)).encode(), np.uint8)
+    one = suffixes.anchored(passage, np.array([0, 2000]))
+    many = suffixes.anchored(np.tile(passage, 40), np.arange(41) * 2000)
+    ids = np.array([draw.randrange(-(2**63), 2**63) for _ in range(40)])
+    rows = list(suffixes._dealt(1, suffixes._entries(many, ids), 4))
+    assert sum(len(keys) // 8 for _, _, _, keys, _ in rows) <= len(one["at"])
+    assert {base for _, _, base, _, _ in rows} == {ids.min()}
+    rows = [(int(i), passage.tobytes().decode()[: 1900 + k] + "x" * (k % 3)) for k, i in enumerate(ids)]
+    found = suffixes.repeated_passages(table(rows).repartition(3), parts=3)
+    got = [(r.doc, r.size, r.size - len(r.text), len(r.starts), hashlib.sha256(r.text).hexdigest()) for r in found.collect()]
+    assert sorted(got, key=repr) == brute(rows)
