@@ -113,3 +113,8 @@ def test_a_shared_passage_is_one_entry_a_block(spark, table):
     found = suffixes.repeated_passages(table(rows).repartition(3), parts=3)
     got = [(r.doc, r.size, r.size - len(r.text), len(r.starts), hashlib.sha256(r.text).hexdigest()) for r in found.collect()]
     assert sorted(got, key=repr) == brute(rows)
+
+
+def test_number_of_parts():
+    assert suffixes.number_of_parts(0, 4) == 8 and suffixes.number_of_parts(1685, 51) == 105
+    assert suffixes.number_of_parts(98_000, 3000) == 1531  # four times as many blocks a part, not 6,125 parts of few entries
